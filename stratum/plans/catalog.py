@@ -51,5 +51,8 @@ for _name, _attr in [
     _plan_node(_name, _attr)
 
 
+from stratum.plans import queries  # noqa: E402,F401  (registers the operator queries)
+
+
 def oracle() -> dict[str, str]:
     return {k: v for k, v in oracle_sql.sql().items() if k in QUERIES}

@@ -225,4 +225,173 @@ bounds AS (SELECT date_trunc('month', min(pickup_date)) AS start_d,
              AS revenue_change_vs_prior_day
   FROM daily JOIN dates d ON daily.pickup_date = d.date_key""")
     q["dim_locations"] = w(ZONES, "SELECT * FROM zones")
+    q.update(extra_sql())
+    return q
+
+
+# ------------------------------------------------------------ operator queries
+def _res(model: str, check: str, column: str | None, failures: str, severity: str, source: str) -> str:
+    col = f"'{column}'" if column else "CAST(NULL AS VARCHAR)"
+    return f"""SELECT '{model}' AS model, '{check}' AS "check", {col} AS "column",
+       CAST(f AS BIGINT) AS failures, '{severity}' AS severity,
+       CASE WHEN f = 0 THEN 'pass' WHEN '{severity}' = 'warn' THEN 'warn' ELSE 'fail' END AS status,
+       (f = 0 OR '{severity}' = 'warn') AS passed
+FROM (SELECT {failures} AS f FROM {source})"""
+
+
+def _orphans(child: str, col: str, parent: str, pcol: str) -> str:
+    return (f"count(*) FILTER (WHERE {col} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col}))")
+
+
+FILTERS = [f.strip() for f in QUALITY.split("AND")]
+# The date filter contains no AND; splitting on AND gives the seven filters.
+
+FCT_CHECKS = [
+    ("not_null", "trip_id", "count(*) FILTER (WHERE trip_id IS NULL)", "error"),
+    ("accepted_values", "payment_type_id",
+     "count(*) FILTER (WHERE payment_type_id IS NOT NULL AND payment_type_id NOT IN (1,2,3,4,5,6))", "warn"),
+    ("accepted_range", "trip_duration_minutes",
+     "count(*) FILTER (WHERE trip_duration_minutes IS NOT NULL AND NOT (trip_duration_minutes >= 1 "
+     "AND trip_duration_minutes <= 720))", "error"),
+    ("positive_value", "fare_amount", "count(*) FILTER (WHERE fare_amount < 0)", "error"),
+    ("fare_not_exceeds_total", None,
+     "count(*) FILTER (WHERE coalesce(total_amount > 0 AND fare_amount > total_amount + 0.01, false))", "error"),
+    ("trip_duration_positive", None, "count(*) FILTER (WHERE coalesce(trip_duration_minutes < 0, false))", "error"),
+    ("not_null", "pickup_zone", "count(*) FILTER (WHERE pickup_zone IS NULL)", "warn"),
+]
+
+
+def _fct_checks_sql() -> str:
+    parts = [_res("fct_trips", c, col, f, sev, "fct") for c, col, f, sev in FCT_CHECKS]
+    parts.append(_res("fct_trips", "unique", "trip_id", "count(*)", "error",
+                      "(SELECT trip_id FROM fct WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING count(*) > 1)"))
+    return "\nUNION ALL\n".join(parts)
+
+
+def _layers_cte() -> str:
+    return SILVER + """,
+layers AS (
+  SELECT 'events' AS layer, count(*) AS n FROM events
+  UNION ALL SELECT 'bronze', count(*) FROM bronze
+  UNION ALL SELECT 'silver', count(*) FROM silver
+  UNION ALL SELECT 'dlq', 0)"""
+
+
+def extra_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    li_key = "l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey"
+    q["scan_parquet"] = "SELECT * FROM lineitem"
+    q["row_cap"] = f"SELECT * FROM lineitem ORDER BY {li_key} LIMIT 1000"
+    iso = "strftime({c}, '%Y-%m-%dT%H:%M:%S')"
+    payload = ", ".join(
+        f"{c} := {iso.format(c=c) if c in ('tpep_pickup_datetime', 'tpep_dropoff_datetime') else c}"
+        for c in KEY[:1] + ("tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count",
+                            "trip_distance", "RatecodeID", "store_and_fwd_flag", "PULocationID",
+                            "DOLocationID", "payment_type", "fare_amount", "extra", "mta_tax",
+                            "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount",
+                            "congestion_surcharge", "Airport_fee"))
+    q["encode_events"] = w(SRC, f"""SELECT coalesce(CAST(PULocationID AS VARCHAR), '') AS key,
+       CAST(to_json(struct_pack({payload})) AS VARCHAR) AS value FROM src""")
+    q["bronze_parse"] = w(BRONZE, "SELECT * FROM bronze")
+    q["schema_gate_valid"] = w(SRC, """SELECT coalesce(CAST(PULocationID AS VARCHAR), '') AS key,
+       strftime(tpep_pickup_datetime, '%Y-%m-%dT%H:%M:%S') AS tpep_pickup_datetime, total_amount
+  FROM src WHERE tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL""")
+    q["schema_gate_rejected"] = w(SRC, """SELECT coalesce(CAST(PULocationID AS VARCHAR), '') AS key,
+       CASE WHEN tpep_pickup_datetime IS NULL THEN 'tpep_pickup_datetime: null is not of type ''string'''
+            ELSE 'tpep_dropoff_datetime: null is not of type ''string''' END AS error
+  FROM src WHERE tpep_pickup_datetime IS NULL OR tpep_dropoff_datetime IS NULL""")
+    q["surrogate_key"] = w(BRONZE, f"SELECT {TRIP_ID} AS trip_id, {', '.join(KEY)} FROM bronze")
+    q["quality_filter"] = w(BRONZE, f"SELECT * FROM bronze WHERE {QUALITY}")
+    q["silver_project"] = w(BRONZE, f"{SILVER_SELECT} FROM bronze")
+    q["dedup_latest"] = """SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn
+  FROM lineitem) WHERE rn = 1"""
+    audit = []
+    for i, f in enumerate(FILTERS):
+        earlier = " AND ".join(f"coalesce({g}, false)" for g in FILTERS[:i]) or "true"
+        audit.append(f"""SELECT {i + 1} AS position, '{f.replace("'", "''")}' AS rule,
+       count(*) FILTER (WHERE NOT coalesce({f}, false)) AS failing_rows,
+       count(*) FILTER (WHERE ({earlier}) AND NOT coalesce({f}, false)) AS first_failing_rows,
+       count(*) AS total_rows FROM bronze""")
+    q["rule_audit"] = w(BRONZE, "\nUNION ALL\n".join(audit))
+    rng = [("passenger_count", "passenger_count >= 0"), ("total_amount", "total_amount > 0"),
+           ("trip_distance_miles", "trip_distance_miles >= 0")]
+    q["derived_range_checks"] = w(SILVER, "\nUNION ALL\n".join(
+        _res("silver", "accepted_range", c, f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({cond}))",
+             "warn", "silver") for c, cond in rng))
+    q["stg_generic"] = w(SILVER, "SELECT * FROM silver WHERE pickup_datetime IS NOT NULL")
+    pay_case = ("CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3 "
+                "WHEN 'signup' THEN 4 WHEN 'error' THEN 5 END")
+    q["dim_payment_types"] = f"""SELECT DISTINCT CAST({pay_case} AS INT) AS payment_type_id,
+       event_type AS payment_type_name FROM events"""
+    q["dim_rate_codes"] = "SELECT CAST(r_regionkey + 1 AS INT) AS rate_code_id, r_name AS rate_code_name FROM region"
+    q["dim_vendors"] = """SELECT s_suppkey AS vendor_id, s_name AS vendor_name,
+       'V' || CAST(s_suppkey AS VARCHAR) AS vendor_abbr FROM supplier"""
+    q["stg_lookups"] = w(ZONES, f"""SELECT 'zones' AS lookup, location_id AS id, zone_name AS name, borough AS attribute FROM zones
+UNION ALL SELECT DISTINCT 'payment_types', CAST({pay_case} AS BIGINT), event_type, CAST(NULL AS VARCHAR) FROM events
+UNION ALL SELECT 'rate_codes', CAST(r_regionkey + 1 AS BIGINT), r_name, CAST(NULL AS VARCHAR) FROM region
+UNION ALL SELECT 'vendors', s_suppkey, s_name, 'V' || CAST(s_suppkey AS VARCHAR) FROM supplier""")
+    q["duration_minutes"] = w(STG, """SELECT trip_id, pickup_datetime, dropoff_datetime,
+       datediff('minute', pickup_datetime, dropoff_datetime) AS trip_duration_minutes FROM stg""")
+    q["mode_per_group"] = w(METRICS, """SELECT pickup_location_id,
+       mode() WITHIN GROUP (ORDER BY pickup_hour) AS peak_pickup_hour
+  FROM tm WHERE pickup_hour IS NOT NULL GROUP BY pickup_location_id""")
+    split = """target AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+batch AS (SELECT * REPLACE ('F' AS o_orderstatus) FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')"""
+    q["upsert_by_key"] = w(split, """SELECT * FROM target t
+  WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.o_orderkey = t.o_orderkey)
+UNION ALL SELECT * FROM batch""")
+    q["incremental_filter"] = w(split, "SELECT * FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM target)")
+    q["run_checks"] = w(FCT, _fct_checks_sql())
+    q["unique_check"] = "\nUNION ALL\n".join([
+        _res("orders", "unique", "o_orderkey", "count(*)", "error",
+             "(SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"),
+        _res("lineitem", "unique", "l_orderkey", "count(*)", "warn",
+             "(SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")])
+    q["accepted_values_check"] = "\nUNION ALL\n".join([
+        _res("events", "accepted_values", "event_type",
+             "count(*) FILTER (WHERE event_type IS NOT NULL AND event_type NOT IN ('click','view','purchase','signup'))",
+             "warn", "events"),
+        _res("orders", "accepted_values", "o_orderstatus",
+             "count(*) FILTER (WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('O','F','P'))",
+             "error", "orders")])
+    q["accepted_range_check"] = "\nUNION ALL\n".join([
+        _res("events", "accepted_range", "value",
+             "count(*) FILTER (WHERE value IS NOT NULL AND NOT (value >= 0 AND value <= 400))", "warn", "events"),
+        _res("lineitem", "accepted_range", "l_discount",
+             "count(*) FILTER (WHERE l_discount IS NOT NULL AND NOT (l_discount >= 0 AND l_discount <= 0.1))",
+             "error", "lineitem"),
+        _res("lineitem", "accepted_range", "l_quantity",
+             "count(*) FILTER (WHERE l_quantity IS NOT NULL AND NOT (l_quantity > 0 AND l_quantity < 50))",
+             "warn", "lineitem")])
+    q["relationship_check"] = w(METRICS + "," + ZONES, "\nUNION ALL\n".join([
+        _res("orders", "relationships:c_custkey", "o_custkey",
+             _orphans("orders", "o_custkey", "customer", "c_custkey"), "error", "orders c"),
+        _res("lineitem", "relationships:p_partkey", "l_partkey",
+             _orphans("lineitem", "l_partkey", "part", "p_partkey"), "error", "lineitem c"),
+        _res("trip_metrics", "relationships:location_id", "pickup_location_id",
+             _orphans("tm", "pickup_location_id", "zones", "location_id"), "warn", "tm c"),
+        _res("trip_metrics", "relationships:location_id", "dropoff_location_id",
+             _orphans("tm", "dropoff_location_id", "zones", "location_id"), "warn", "tm c")]))
+    q["freshness"] = """SELECT 'events' AS source, max_loaded_at,
+       round(CAST(epoch_us(TIMESTAMP '2024-02-01 12:00:00') - epoch_us(max_loaded_at) AS DOUBLE)
+             / 3600000000.0::DOUBLE, 3) AS age_hours,
+       CASE WHEN max_loaded_at IS NULL THEN 'error'
+            WHEN CAST(epoch_us(TIMESTAMP '2024-02-01 12:00:00') - epoch_us(max_loaded_at) AS DOUBLE)
+                 / 3600000000.0::DOUBLE > 48 THEN 'error'
+            WHEN CAST(epoch_us(TIMESTAMP '2024-02-01 12:00:00') - epoch_us(max_loaded_at) AS DOUBLE)
+                 / 3600000000.0::DOUBLE > 24 THEN 'warn' ELSE 'pass' END AS status
+  FROM (SELECT max(ts) AS max_loaded_at FROM events)"""
+    q["layer_counts"] = w(_layers_cte(), """SELECT layer, CAST(n AS BIGINT) AS rows, true AS ok,
+       CAST(NULL AS VARCHAR) AS message FROM layers""")
+    q["row_accounting"] = """SELECT bronze_rows, passing_rows, silver_rows,
+       bronze_rows - passing_rows AS filtered_rows, passing_rows - silver_rows AS deduplicated_rows
+FROM (SELECT count(*) AS bronze_rows,
+             count(*) FILTER (WHERE l_quantity > 0 AND l_discount <= 0.08
+                              AND l_shipdate >= DATE '1996-01-01') AS passing_rows,
+             count(DISTINCT (l_orderkey, l_linenumber)) FILTER (WHERE l_quantity > 0 AND l_discount <= 0.08
+                              AND l_shipdate >= DATE '1996-01-01') AS silver_rows
+      FROM lineitem)"""
     return q
