@@ -165,7 +165,7 @@ def compact(spark: SparkSession, path: str, partition_col: str,
     # One row per partition to rewrite: bounded by the partition count.
     summary = summary.withColumn(
         "_n_out", F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target_file_bytes))).cast("int"))
-    n_total = summary.agg(F.sum("_n_out")).first()[0]
+    n_total, n_parts = summary.agg(F.sum("_n_out"), F.count(F.lit(1))).first()
     if not n_total:
         return 0
     rows = spark.read.parquet(path).join(
@@ -177,4 +177,4 @@ def compact(spark: SparkSession, path: str, partition_col: str,
     stage = staging_path(spark, "compact")
     out.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
     write_partitioned(spark.read.parquet(stage), path, partition_col, rebalance=False)
-    return int(summary.count())
+    return int(n_parts)
