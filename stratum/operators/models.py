@@ -244,22 +244,50 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def mart_location_performance(fct: DataFrame) -> DataFrame:
-    """AG5: per pickup zone, with the most common dropoff zone and hour."""
+    """AG5: per pickup zone, with the most common dropoff zone and hour.
+
+    One pass over the fact: a partial aggregate at (zone, dropoff zone, hour)
+    grain carries exact sums and counts; the per-zone figures and both modes
+    are rolled up from it. The three roll-ups read the same shuffle (Spark
+    reuses the identical exchange), and every average is an exact sum divided
+    once, so the result equals a direct aggregation.
+    """
     keys = ["pickup_location_id", "pickup_borough", "pickup_zone"]
+    dec = T.DecimalType(38, 6)
     trips = fct.filter(F.col("pickup_zone").isNotNull())
-    main = trips.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_pickups"),
-        _r2(avg_stable("trip_distance_miles")).alias("avg_trip_distance"),
-        _r2(F.avg("trip_duration_minutes")).alias("avg_trip_duration_min"),
-        sum_decimal("total_amount").alias("total_revenue"),
-        _r2(avg_double("total_amount")).alias("avg_revenue_per_trip"),
-        _r2(avg_stable("tip_percentage")).alias("avg_tip_pct"),
-        _r2(F.avg("passenger_count")).alias("avg_passengers"))
-    zone = mode_per_group(trips, keys, "dropoff_zone", "most_common_dropoff_zone")
-    hour = mode_per_group(trips, keys, "pickup_hour", "peak_pickup_hour")
+    fine = trips.groupBy(*keys, "dropoff_zone", "pickup_hour").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("trip_distance_miles").cast(dec)).alias("dist_s"), F.count("trip_distance_miles").alias("dist_n"),
+        F.sum("trip_duration_minutes").alias("dur_s"), F.count("trip_duration_minutes").alias("dur_n"),
+        F.sum("total_amount").alias("tot_s"), F.count("total_amount").alias("tot_n"),
+        F.sum(F.col("tip_percentage").cast(dec)).alias("tip_s"), F.count("tip_percentage").alias("tip_n"),
+        F.sum("passenger_count").alias("pax_s"), F.count("passenger_count").alias("pax_n"))
+
+    def mean(s: str, n: str) -> Column:
+        return F.try_divide(F.sum(s).cast("double"), F.sum(n).cast("double"))
+
+    main = fine.groupBy(*keys).agg(
+        F.sum("n").cast("bigint").alias("total_pickups"),
+        _r2(mean("dist_s", "dist_n")).alias("avg_trip_distance"),
+        _r2(mean("dur_s", "dur_n")).alias("avg_trip_duration_min"),
+        F.sum("tot_s").cast(T.DecimalType(38, 2)).alias("total_revenue"),
+        _r2(mean("tot_s", "tot_n")).alias("avg_revenue_per_trip"),
+        _r2(mean("tip_s", "tip_n")).alias("avg_tip_pct"),
+        _r2(mean("pax_s", "pax_n")).alias("avg_passengers"))
+    zone = _mode_from_counts(fine, keys, "dropoff_zone", "most_common_dropoff_zone")
+    hour = _mode_from_counts(fine, keys, "pickup_hour", "peak_pickup_hour")
     return _join_on_keys(_join_on_keys(main, zone, keys), hour, keys)
 
 
+def _mode_from_counts(counts: DataFrame, keys: Sequence[str], value: str, alias: str,
+                      count_col: str = "n") -> DataFrame:
+    """AG6 over pre-counted rows: most frequent non-NULL value, smallest on ties."""
+    per_value = (counts.filter(F.col(value).isNotNull())
+                 .groupBy(*keys, value).agg(F.sum(count_col).alias("_n")))
+    return per_value.groupBy(*keys).agg(
+        F.min_by(F.col(value), F.struct((-F.col("_n")).alias("n"), F.col(value).alias("v"))).alias(alias))
+
+
 def mart_daily_revenue(daily: DataFrame, dates: DataFrame) -> DataFrame:
     """WN4: daily figures on the calendar (days outside it drop out) with a
     running revenue total (WN2) and the change against the previous row (WN3).

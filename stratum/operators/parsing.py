@@ -112,6 +112,13 @@ def parse_events(topic: DataFrame, manifest: Manifest, ingestion_ts=None,
                                  F.lit("OBJECT")), F.lit(True)),
     ).otherwise(F.lit(False))
     staged = staged.withColumn("_bad_doc", not_object)
+    # Run metrics of the parse (RC8: messages read, messages rejected). The
+    # observation point also keeps later filters on parsed fields (quality
+    # filters, de-dup keys) above it: pushed below, each predicate would
+    # re-parse the document, and they can never reach the source scan anyway.
+    staged = staged.observe(f"bronze_parse_{uuid.uuid4().hex[:8]}",
+                            F.count(F.lit(1)).alias("messages"),
+                            F.count_if(F.col("_bad_doc")).alias("rejected"))
     rows = staged.filter(~F.col("_bad_doc")).select(
         *bronze_columns(manifest, p), _ingestion_ts(ingestion_ts).alias("ingestion_ts"))
     rejects = staged.filter(F.col("_bad_doc")).select(

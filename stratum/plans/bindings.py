@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.sources.tables import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # Fixed values of the bindings.
@@ -33,7 +35,14 @@ RUN_TS = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Fact-sized tables are spread over the cluster's cores
+    when the file is under-split (see ``sources.tables.spread``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in SPREAD_TABLES else df
+
+
+# Tables whose per-row work (JSON, enrichment, de-dup) dominates a query.
+SPREAD_TABLES = ("events", "lineitem", "orders")
 
 
 def _payment_code(event_type):
