@@ -394,4 +394,37 @@ FROM (SELECT count(*) AS bronze_rows,
              count(DISTINCT (l_orderkey, l_linenumber)) FILTER (WHERE l_quantity > 0 AND l_discount <= 0.08
                               AND l_shipdate >= DATE '1996-01-01') AS silver_rows
       FROM lineitem)"""
+    q["validation_report"] = w(FCT + """,
+layers AS (
+  SELECT 'events' AS layer, count(*) AS n FROM events
+  UNION ALL SELECT 'bronze', count(*) FROM bronze
+  UNION ALL SELECT 'silver', count(*) FROM silver
+  UNION ALL SELECT 'dlq', 0),
+lw AS (SELECT max(n) FILTER (WHERE layer = 'bronze') AS bronze, max(n) FILTER (WHERE layer = 'silver') AS silver,
+              max(n) FILTER (WHERE layer = 'dlq') AS dlq, max(n) FILTER (WHERE layer = 'events') AS events FROM layers),
+need AS (SELECT *, CAST(floor(CAST(events AS DOUBLE) * 0.95::DOUBLE) AS BIGINT) AS need FROM lw),
+chk AS (""" + _fct_checks_sql() + """),
+decisions AS (
+  SELECT 'bronze' AS stage, 'bronze_completeness' AS name,
+         CASE WHEN bronze = 0 THEN false ELSE bronze >= need END AS passed,
+         CASE WHEN bronze = 0 THEN 'bronze is empty' ELSE printf('bronze=%d, need >= %d', bronze, need) END AS message,
+         CAST(NULL AS VARCHAR) AS detail FROM need
+  UNION ALL
+  SELECT 'silver', 'silver_min_rows', CASE WHEN silver = 0 THEN false ELSE silver >= 1 END,
+         CASE WHEN silver = 0 THEN 'silver is empty' ELSE printf('silver=%d, need >= %d', silver, 1) END, NULL FROM lw
+  UNION ALL
+  SELECT 'silver', 'silver_not_above_bronze', silver <= greatest(bronze, 1),
+         CASE WHEN silver <= greatest(bronze, 1) THEN printf('silver=%d <= bronze=%d', silver, bronze)
+              ELSE printf('impossible: silver=%d > bronze=%d', silver, bronze) END, NULL FROM lw
+  UNION ALL
+  SELECT 'dlq', 'dlq_threshold', coalesce(dlq, 0) <= 0, printf('dlq=%d, max %d', coalesce(dlq, 0), 0), NULL FROM lw),
+tests AS (
+  SELECT 'tests' AS stage, concat_ws(':', model, "check", coalesce("column", '')) AS name, passed,
+         printf('%s: %d failing rows', status, failures) AS message, severity AS detail FROM chk),
+allc AS (SELECT * FROM decisions UNION ALL SELECT * FROM tests)""", """SELECT *, CAST(CASE stage WHEN 'producer' THEN 1 WHEN 'metrics' THEN 2 WHEN 'bronze' THEN 3
+       WHEN 'silver' THEN 4 WHEN 'dlq' THEN 5 WHEN 'marts' THEN 6 WHEN 'tests' THEN 7 END AS BIGINT) AS stage_order
+FROM allc
+UNION ALL
+SELECT 'overall', 'all_checks', coalesce(bool_and(passed), false),
+       printf('%d failed', count(*) FILTER (WHERE NOT passed)), CAST(NULL AS VARCHAR), CAST(99 AS BIGINT) FROM allc""")
     return q
