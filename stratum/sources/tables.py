@@ -50,8 +50,7 @@ def first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
 def read_lookup(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """SRC6: a CSV lookup with header and declared column types. Values are
     read as text where declared so (e.g. the literal ``N/A`` stays a string)."""
-    return (spark.read.schema(ddl).option("header", True).option("mode", "FAILFAST")
-            .option("nullValue", None).csv(path))
+    return spark.read.schema(ddl).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
 # Declared types of the trip lookups (seeds).
