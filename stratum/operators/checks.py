@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from stratum.functions import round_half_away
 from stratum.manifest import Manifest, is_numeric_type
-from stratum.operators.joins import BROADCAST_MAX_ROWS, small_side
+from stratum.operators.joins import BROADCAST_MAX_ROWS, fits
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
@@ -156,7 +156,10 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column:
     carries one row per key and map task, however skewed the child is."""
     per_key = (child.select(F.col(column).alias("_k")).filter(F.col("_k").isNotNull())
                .groupBy("_k").agg(F.count(F.lit(1)).alias("n_rows")))
-    parents = small_side(parent.select(F.col(parent_column).alias("_p")).distinct(), max_parent_rows)
+    # Bound the parent by its row count (>= its distinct keys): the check
+    # then stops after max_parent_rows + 1 rows instead of aggregating first.
+    raw = parent.select(F.col(parent_column).alias("_p"))
+    parents = F.broadcast(raw.distinct()) if fits(raw, max_parent_rows) else raw.distinct()
     return (per_key.join(parents, per_key["_k"] == parents["_p"], "left_anti")
             .select(F.col("_k").alias(column), "n_rows"))
 

@@ -34,7 +34,8 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     the map side) so the join shuffles keys, not rows.
     """
     keys = child.select(F.col(child_key).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
-    parents = small_side(parent.select(F.col(parent_key).alias("_p")).distinct(), max_parent_rows)
+    raw = parent.select(F.col(parent_key).alias("_p"))
+    parents = F.broadcast(raw.distinct()) if fits(raw, max_parent_rows) else raw.distinct()
     return (keys.join(parents, keys["_k"] == parents["_p"], "left_anti")
             .select(F.col("_k").alias(child_key)))
 
