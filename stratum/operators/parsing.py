@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,13 +91,15 @@ def bronze_columns(manifest: Manifest, parsed: Column) -> list[Column]:
 
 
 def parse_events(topic: DataFrame, manifest: Manifest, ingestion_ts=None,
-                 value_col: str = "value") -> Parsed:
+                 value_col: str = "value", observation: Observation | None = None) -> Parsed:
     """Bronze parse of a topic of JSON documents.
 
     * a field that does not fit its declared type becomes NULL, the row stays;
     * a message that is not a JSON object at all goes to ``rejects``;
     * ``ingestion_ts`` is one value per batch (``current_timestamp()`` unless a
-      fixed run time is given).
+      fixed run time is given);
+    * pass an ``Observation`` to read the run metrics (``messages``,
+      ``rejected``) after the first action.
     """
     schema = manifest.topic_schema().add(CORRUPT_COL, T.StringType())
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
@@ -116,7 +118,7 @@ def parse_events(topic: DataFrame, manifest: Manifest, ingestion_ts=None,
     # observation point also keeps later filters on parsed fields (quality
     # filters, de-dup keys) above it: pushed below, each predicate would
     # re-parse the document, and they can never reach the source scan anyway.
-    staged = staged.observe(f"bronze_parse_{uuid.uuid4().hex[:8]}",
+    staged = staged.observe(observation or f"bronze_parse_{uuid.uuid4().hex[:8]}",
                             F.count(F.lit(1)).alias("messages"),
                             F.count_if(F.col("_bad_doc")).alias("rejected"))
     rows = staged.filter(~F.col("_bad_doc")).select(

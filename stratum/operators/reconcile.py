@@ -161,6 +161,21 @@ METRICS_SCHEMA = T.StructType([
 ])
 
 
+def run_metrics(spark: SparkSession, observed: Mapping[str, int], elapsed_seconds: float, *, mode: str,
+                dataset: str, topic: str, data_path: str, run_id: str, broker: str = "",
+                schema_validation: bool = False, produced_at: _dt.datetime | None = None) -> DataFrame:
+    """RC8: one run-metrics row from the observed counts of a parse or gate
+    (``messages``/``events`` and ``rejected``/``invalid``)."""
+    events = int(observed.get("events", observed.get("messages", 0)))
+    invalid = int(observed.get("invalid", observed.get("rejected", 0)))
+    valid = events - invalid
+    at = (produced_at or _dt.datetime.now(_dt.UTC)).isoformat()
+    row = (valid, invalid, round(elapsed_seconds, 3),
+           round(valid / elapsed_seconds, 1) if elapsed_seconds > 0 else 0.0,
+           mode, broker, dataset, topic, data_path, at, run_id, schema_validation)
+    return spark.createDataFrame([row], METRICS_SCHEMA)
+
+
 def metrics_trust(metrics: DataFrame, dataset: str, topic: str, data_path: str,
                   now: _dt.datetime | None = None, override: bool = False,
                   max_age_minutes: int = METRICS_MAX_AGE_MIN) -> DataFrame:

@@ -12,6 +12,10 @@
 * ``start_dedup_stream`` (ST5): first event per key with bounded state
   (``dropDuplicatesWithinWatermark``); events later than the watermark are
   dropped, and the drop count shows up in the query progress.
+* ``start_latest_wins_stream`` (ST5, latest-wins variant): each micro-batch
+  is de-duplicated with the batch operator and upserted by surrogate key
+  into the touched Silver dates. Re-running a batch after a failure rewrites
+  the same rows, so the sink is idempotent.
 """
 
 from __future__ import annotations
@@ -94,3 +98,24 @@ def start_dedup_stream(spark: SparkSession, manifest: Manifest, topic: DataFrame
               .partitionBy(manifest.partition_date_col)
               .option("checkpointLocation", f"{checkpoint.rstrip('/')}/silver"))
     return _trigger(writer, available_now, interval).start(silver_path)
+
+
+def start_latest_wins_stream(spark: SparkSession, manifest: Manifest, topic: DataFrame | str, silver_path: str,
+                             checkpoint: str, available_now: bool = False,
+                             interval: str | None = None) -> StreamingQuery:
+    """ST5, latest wins: ``foreachBatch`` → batch Silver of the micro-batch →
+    upsert by surrogate key into Silver (only the dates it touches)."""
+    from stratum.operators.silver import silver
+    from stratum.sinks.tables import upsert_by_key
+
+    if isinstance(topic, str):
+        topic = stream_file_topic(spark, topic)
+    rows = parse_events(topic, manifest).rows
+
+    def merge(batch: DataFrame, _batch_id: int) -> None:
+        upsert_by_key(batch.sparkSession, silver_path, silver(batch, manifest),
+                      manifest.resolved_surrogate_key_name, manifest.partition_date_col)
+
+    writer = (rows.writeStream.foreachBatch(merge)
+              .option("checkpointLocation", f"{checkpoint.rstrip('/')}/silver_latest"))
+    return _trigger(writer, available_now, interval).start()

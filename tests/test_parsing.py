@@ -48,3 +48,18 @@ def test_dlq_envelope(spark):
     env = [json.loads(r.value) for r in parsing.dlq_envelope(rej, at="2024-02-01 00:00:00").collect()]
     assert env[0] == {"error": "boom", "row": {"a": 1}, "timestamp": "2024-02-01T00:00:00"}
     assert env[1]["row"] == "oops"
+
+
+def test_parse_run_metrics(spark, taxi):
+    from pyspark.sql import Observation
+
+    from stratum.operators import reconcile
+
+    obs = Observation("parse")
+    msgs = spark.createDataFrame([('{"VendorID": 1}',), ("garbage",), ('{"VendorID": 2}',)], "value string")
+    p = parsing.parse_events(msgs, taxi, observation=obs)
+    assert p.rows.count() == 2
+    assert obs.get == {"messages": 3, "rejected": 1}
+    row = reconcile.run_metrics(spark, obs.get, 2.0, mode="batch", dataset="taxi", topic="t",
+                                data_path="/d", run_id="r1").first()
+    assert (row.events, row.invalid, row.events_per_second) == (2, 1, 1.0)

@@ -39,3 +39,17 @@ def test_dedup_stream_first_per_key(spark, taxi, tmp):
     got = spark.read.parquet(out)
     assert got.count() == want["silver"]
     assert got.select("trip_id").distinct().count() == want["silver"]
+
+
+def test_latest_wins_stream(spark, taxi, tmp):
+    from stratum.streaming.bronze import start_latest_wins_stream
+
+    rows, want = edge_set(taxi.quality_filters)
+    topic, out, ckpt = f"{tmp}/topic", f"{tmp}/silver", f"{tmp}/ckpt"
+    _publish(spark, taxi, topic, rows)
+    start_latest_wins_stream(spark, taxi, topic, out, ckpt, available_now=True).awaitTermination()
+    assert spark.read.parquet(out).count() == want["silver"]
+    _publish(spark, taxi, topic, rows[:30])  # replays: replaced in place, not added
+    start_latest_wins_stream(spark, taxi, topic, out, ckpt, available_now=True).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == want["silver"] and got.select("trip_id").distinct().count() == want["silver"]
