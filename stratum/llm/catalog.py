@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import mixing
+from stratum.llm import licenses, mixing
 from stratum.llm.fingerprints import op1_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op3_mixing": mixing.op3_mixing,
+    "op5_licenses": licenses.op5_licenses,
 }
 
 ORACLE_SQL: dict[str, str] = {
