@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import licenses, mixing, neardup
+from stratum.llm import embeddings, licenses, mixing, neardup
 from stratum.llm.fingerprints import op1_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_nn_descent": embeddings.op2_nn_descent,
     "op3_mixing": mixing.op3_mixing,
     "op5_licenses": licenses.op5_licenses,
     "op9_minhash": neardup.op9_minhash,
