@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import embeddings, licenses, mixing, neardup
+from stratum.llm import attribution, embeddings, licenses, mixing, neardup, tokenfile
 from stratum.llm.fingerprints import op1_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_nn_descent": embeddings.op2_nn_descent,
     "op3_mixing": mixing.op3_mixing,
+    "op4_token_files": tokenfile.op4_token_files,
     "op5_licenses": licenses.op5_licenses,
+    "op6_token_counts": attribution.op6_token_counts,
     "op9_minhash": neardup.op9_minhash,
 }
 
