@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import attribution, embeddings, licenses, mixing, neardup, tokenfile
+from stratum.llm import attribution, embeddings, licenses, mixing, neardup, pieces, tokenfile
 from stratum.llm.fingerprints import op1_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": tokenfile.op4_token_files,
     "op5_licenses": licenses.op5_licenses,
     "op6_token_counts": attribution.op6_token_counts,
+    "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_minhash": neardup.op9_minhash,
 }
 
