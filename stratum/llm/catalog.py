@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import attribution, embeddings, licenses, mixing, neardup, pieces, tokenfile
+from stratum.llm import attribution, embeddings, licenses, mixing, neardup, pieces, pii, tokenfile
 from stratum.llm.fingerprints import op1_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": attribution.op6_token_counts,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_minhash": neardup.op9_minhash,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
