@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import attribution, embeddings, licenses, mixing, neardup, pieces, pii, tokenfile
+from stratum.llm import attribution, embeddings, language, licenses, mixing, neardup, pieces, pii, tokenfile
 from stratum.llm.fingerprints import op1_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,9 +17,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": tokenfile.op4_token_files,
     "op5_licenses": licenses.op5_licenses,
     "op6_token_counts": attribution.op6_token_counts,
+    "op7_language_id": language.op7_language_id,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_minhash": neardup.op9_minhash,
     "op10_pii": pii.op10_pii,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {

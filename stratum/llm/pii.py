@@ -332,18 +332,20 @@ def find_spans(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "
     return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def redact(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, model, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """``docs`` with every span of its text replaced by ``<KIND>``; overlapping spans are replaced as
-    one, by the kind of the first. All other columns stay; texts without spans (null ones too) stay as they are."""
+    one, by the kind of the first. ``length_col``, if there, takes the new length of changed texts. All
+    other columns stay; texts without spans (null ones too) stay as they are."""
     schema = docs.schema
     place = docs.columns.index(text_col)
+    length_place = docs.columns.index(length_col) if length_col else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             column = batch.column(place)
-            texts = column.to_pylist()
+            texts, changed = column.to_pylist(), set()
             plain = pa.RecordBatch.from_arrays([pc.fill_null(column, "")], names=["text"])
             for i, text, _, spans in _per_text(plain, model):
                 if not spans:
@@ -354,8 +356,12 @@ def redact(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
                         out += [text[done:a], f"<{KINDS[k].upper()}>"]
                     done = max(done, b)
                 texts[i] = "".join(out) + text[done:]
+                changed.add(i)
             columns = list(batch.columns)
             columns[place] = pa.array(texts, column.type)
+            if length_place is not None:
+                old = columns[length_place]
+                columns[length_place] = pa.array([len(texts[i]) if i in changed else n for i, n in enumerate(old.to_pylist())], old.type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return docs.mapInArrow(run, schema)
