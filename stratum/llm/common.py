@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,9 +75,24 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(at, step)
 
 
-def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` for a function from record batches to record batches."""
-    return df.mapInArrow(fn, schema)
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of equal ``key`` of rows that come ordered by it; groups are bounded by their makers."""
+    held: list[pa.Table] = []
+    held_key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        keys = np.asarray(batch.column(key))
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, z in zip(cuts, cuts[1:]):
+            if held and keys[a] != held_key:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(t.slice(a, z - a))
+            held_key = keys[a]
+    if held:
+        yield pa.concat_tables(held)
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import Scratch, components, partitions, table
+from stratum.llm.common import Scratch, components, groups, partitions, table
 
 THRESHOLD = 0.95
 MARGIN = 0.004  # of half-precision cosines
@@ -74,26 +74,6 @@ def _half(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(q, pa.binary())], names=[*b.schema.names, "q"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Tables of equal ``key`` of rows that come ordered by it; groups are bounded by their makers."""
-    held: list[pa.Table] = []
-    held_key = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        t = pa.Table.from_batches([batch])
-        keys = np.asarray(batch.column(key))
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-        for a, z in zip(cuts, cuts[1:]):
-            if held and keys[a] != held_key:
-                yield pa.concat_tables(held)
-                held = []
-            held.append(t.slice(a, z - a))
-            held_key = keys[a]
-    if held:
-        yield pa.concat_tables(held)
-
-
 def _emit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     a, b, s = (np.concatenate(x) for x in zip(*rows))
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s.astype(np.float32))], names=["src", "dst", "sim"])
@@ -114,7 +94,7 @@ def _batched(chunks: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 def _leaf_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each member's best neighbours inside its leaf."""
     def chunks():
-        for g in _groups(batches, "grp"):
+        for g in groups(batches, "grp"):
             n = g.num_rows
             if n < 2:
                 continue
@@ -132,7 +112,7 @@ def _leaf_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs around one vector of which one member is new, if either one's list gains by it."""
     def chunks():
-        for g in _groups(batches, "grp"):
+        for g in groups(batches, "grp"):
             fresh = g.column("fresh").to_numpy(zero_copy_only=False).astype(bool)
             if g.num_rows < 2 or not fresh.any():
                 continue
@@ -241,7 +221,7 @@ def _links(scratch: Scratch, lists: DataFrame, vectors: DataFrame) -> DataFrame:
 
 def _block_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per member of a pair of blocks: the vectors of the other block it links with."""
-    for g in _groups(batches, "grp"):
+    for g in groups(batches, "grp"):
         ids, side = g.column("id").to_numpy(), g.column("side").to_numpy()
         size = g.column("size").to_numpy().astype(np.float64)
         u = _matrix(g.column("u"), np.float64)

@@ -10,10 +10,13 @@ T' * T' tables, so the minhash work falls to about a square root.
 2. Tables: representatives meet in buckets of equal keys; buckets of one are dropped.
    Round one pairs every member with the bucket's smallest id only, so a bucket of m
    gives m - 1 pairs, and confirms the pairs on the full sets.
-3. Round two looks at buckets that still hold several components, and pairs members
-   of different components there, after a sieve by set size and packed minhashes in
-   the join condition. So nothing that the tables bring together stays unlooked at,
-   but members that are connected already are not paired again.
+3. Round two looks at the buckets that still hold several components. Their members'
+   full sets meet in blocks (groups of one half band, cut to BLOCK members and compared
+   pair of blocks by pair of blocks); pairs of different components that share a table
+   are compared there and only links leave the task. So nothing that the tables bring
+   together stays unlooked at, connected members are not paired again, and no pair
+   that is no link is written or shuffled. Work in one bucket grows with the square of
+   its unconnected members, in tasks of bounded size.
 
 Chance of a miss: two sets of similarity s meet with probability
 (1 - (1 - s^2)^8)^2, 0.997 at s = 0.75 and 0.99995 at 0.85, before paths over others.
@@ -34,13 +37,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import Scratch, components, slices, table, text_or_empty
+from stratum.llm.common import Scratch, components, groups, partitions, slices, table, text_or_empty
 
 SHINGLE = 5
 SIMILAR_NUM, SIMILAR_DEN = 75, 100
 HALF_ROWS = 2  # minhashes of a half band
 HALF_BANDS = 8  # half bands of each collection
 MINHASHES = 2 * HALF_BANDS * HALF_ROWS
+BLOCK = 1024  # members of a bucket that are compared at once
 SIEVE = 14  # of 32 packed 4-bit minhashes; 24.5 are expected to agree at similarity 0.75
 
 _rng = np.random.default_rng(20240917)
@@ -108,21 +112,63 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
 
+def _read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        sets = [shingle_set(t).tobytes() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], names=["id", "s"])
+
+
+def similar(x: int, y: int, both: int) -> bool:
+    return SIMILAR_DEN * both >= SIMILAR_NUM * (x + y - both)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with both texts: those with 100 * intersection >= 75 * union of the full sets."""
-    last: tuple = (None, None)
+    """Pairs with both full sets: those with 100 * intersection >= 75 * union."""
     for batch in batches:
+        keep = []
+        for sa, sb in zip(batch.column("sa"), batch.column("sb")):
+            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (sa, sb))
+            keep.append(similar(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Similar pairs of different components in one bucket, or between two blocks of it.
+
+    A pair is looked at only in the bucket of the first half band that it shares, and
+    only if it also shares one of the other collection: exactly the tables' candidates.
+    """
+    for g in groups(batches, "grp"):
+        n, m = np.asarray(g.column("n")), g.num_rows
+        ids, component, side = (np.asarray(g.column(c)) for c in ("id", "component", "side"))
+        bands = np.array(g.column("bands").to_pylist(), np.int64)
+        index = g.column("i")[0].as_py()
+        wanted = component[:, None] != component[None, :]
+        if g.column("lo")[0].as_py() != g.column("hi")[0].as_py():
+            wanted &= side[:, None] != side[None, :]
+        wanted &= SIMILAR_DEN * np.minimum(n[:, None], n[None, :]) >= SIMILAR_NUM * np.maximum(n[:, None], n[None, :])
+        for j in range(index):
+            wanted &= bands[:, None, j] != bands[None, :, j]
+        shared = np.zeros((m, m), bool)
+        for j in range(HALF_BANDS, 2 * HALF_BANDS):
+            shared |= bands[:, None, j] == bands[None, :, j]
+        wanted = np.triu(wanted & shared, 1)
+        if not wanted.any():
+            continue
+        sets = [np.frombuffer(x, np.uint64) for x in g.column("s").to_pylist()]
+        starts = np.cumsum([0, *map(len, sets)])
+        codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        mark = np.zeros(codes.max() + 1, np.int32)
         a_out, b_out = [], []
-        a, b, ta, tb = (batch.column(c) for c in ("a", "b", "ta", "tb"))
-        for i in range(batch.num_rows):
-            key = a[i].as_py()
-            if last[0] != key:
-                last = (key, shingle_set(ta[i].as_py()))
-            x, y = last[1], shingle_set(tb[i].as_py())
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if SIMILAR_DEN * both >= SIMILAR_NUM * (len(x) + len(y) - both):
-                a_out.append(key)
-                b_out.append(b[i].as_py())
+        for x in np.flatnonzero(wanted.any(axis=1)).tolist():
+            others = np.flatnonzero(wanted[x])
+            own = codes[starts[x]:starts[x + 1]]
+            mark[own] = 1
+            for y in others.tolist():
+                if similar(n[x], n[y], int(mark[codes[starts[y]:starts[y + 1]]].sum())):
+                    a_out.append(min(ids[x], ids[y]))
+                    b_out.append(max(ids[x], ids[y]))
+            mark[own] = 0
         yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
 
@@ -137,15 +183,20 @@ def sieve(x: str, y: str) -> str:
             f"AND {MINHASHES} - {agree[0]} - {agree[1]} >= {SIEVE}")
 
 
-def _confirm(scratch: Scratch, pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of representatives, confirmed on their full sets."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = scratch.write(wanted.join(reps.select("id", "tid"), "id"), "wanted")
-    read = scratch.write(texts.join(wanted, ["id", "tid"], "left_semi").dropDuplicates(["id"]).select("id", "text"), "texts")
-    with_texts = (pairs.join(read.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-                  .join(read.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"))
-    links = scratch.write(with_texts.select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long"), "links")
-    scratch.drop(wanted, read)
+def _across(scratch: Scratch, open_rows: DataFrame, reps: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components that still share buckets; ``open_rows`` (id, i) names the half
+    bands to look at. Buckets are cut into blocks and compared block by block, so that hot ones spread over tasks."""
+    rows = (open_rows.join(reps.select("id", "n", "bands"), "id").join(found, "id", "left")
+            .withColumn("component", F.coalesce("component", "id")).withColumn("band", F.expr("get(bands, i)")))
+    rows = scratch.write(rows, "open")
+    blocks = rows.groupBy("i", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    placed = (rows.join(blocks, ["i", "band"]).join(sets, "id").withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")))
+              .withColumn("other", F.explode(F.expr("sequence(CAST(0 AS BIGINT), blocks - 1)")))
+              .withColumn("lo", F.least("side", "other")).withColumn("hi", F.greatest("side", "other"))
+              .withColumn("grp", F.xxhash64("i", "band", "lo", "hi")).select("grp", "i", "lo", "hi", "side", "id", "n", "component", "bands", "s"))
+    grouped = placed.repartition(partitions(rows.sparkSession), "grp").sortWithinPartitions("grp")
+    links = scratch.write(grouped.mapInArrow(_compare_blocks, "a long, b long"), "across")
+    scratch.drop(rows)
     return links
 
 
@@ -167,30 +218,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          .select("set_hash", "r.*"), "representatives")
     half = HALF_BANDS
     keys = f"transform(sequence(0, {half * half - 1}), i -> xxhash64(i, get(bands, i div {half}), get(bands, {half} + i % {half})))"
-    keyed = reps.select("id", F.explode(F.expr(keys)).alias("key"))
+    keyed = reps.select("id", F.posexplode(F.expr(keys)).alias("t", "key"))
     shared = keyed.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("top")).where("leader < top").select("key", "leader")
     tables = scratch.write(keyed.join(shared, "key"), "tables")
+    wanted = tables.select("id").distinct().join(reps.select("id", "tid"), "id")
+    sets = scratch.write(texts.join(wanted, ["id", "tid"], "left_semi").dropDuplicates(["id"]).select("id", "text")
+                         .mapInArrow(_read_sets, "id long, s binary"), "sets")
 
     small = reps.select("id", "n", "p0", "p1")
     stars = (tables.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct().alias("c")
              .join(small.alias("y"), F.expr("c.b = y.id")).join(small.alias("x"), F.expr("c.a = x.id AND " + sieve("x", "y"))).select("c.a", "c.b"))
-    stars = scratch.write(stars, "stars")
-    links = _confirm(scratch, stars, reps, texts)
+    with_sets = (stars.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+                 .join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a"))
+    links = scratch.write(with_sets.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"), "links")
     found = scratch.write(components(scratch, links), "first-components")
 
-    placed = tables.select("id", "key").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = tables.select("id", "t", "key").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     placed = scratch.write(placed, "placed")
     open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    still = scratch.write(placed.join(open_keys, "key").join(small, "id"), "open")
-    crossing = (still.alias("x").join(still.alias("y"), F.expr("x.key = y.key AND x.component < y.component AND " + sieve("x", "y")))
-                .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
-    crossing = scratch.write(crossing.join(stars, ["a", "b"], "left_anti"), "crossing")
-    more = _confirm(scratch, crossing, reps, texts)
+    open_rows = placed.join(open_keys, "key").select("id", F.expr(f"CAST(t div {half} AS INT)").alias("i")).distinct()
+    more = _across(scratch, open_rows, reps, found, sets)
     # equal sets are links too
     copies = (members.select("id", "set_hash").join(reps.select("set_hash", F.col("id").alias("b")), "set_hash")
               .select(F.col("id").alias("a"), "b").where("a <> b"))
     joined = components(scratch, links.unionByName(more).unionByName(copies))
-    scratch.drop(tables, placed, still, stars, crossing)
+    scratch.drop(tables, placed, sets)
     return (single.select("id", "n").join(joined, "id", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
 
