@@ -13,8 +13,8 @@ Four kinds of evidence about a row's language are combined as log-odds:
 
 The text model is trained on a bounded sample of labelled rows (about TRAIN_ROWS, kept by
 a hash of the id, cut at twice that); all other statistics cover all rows. A row is rejected if
-its text has no letters, if its trigrams are much less likely under any language than under an
-even spread, or if no language reaches CONFIDENT.
+its text has no letters, if training saw less than KNOWN_SHARE of its trigrams in any
+language, or if no language reaches CONFIDENT.
 
 Defined cases: null and empty texts have no letters; missing evidence counts as none;
 repeated rows are judged alike; an empty table gives an empty result; without labelled rows
@@ -39,12 +39,12 @@ from stratum.llm.common import SLICE_BYTES, Scratch, table
 LANGUAGES = ("de", "en", "es", "fr")
 #: Country domains and the language they speak for (fixed values).
 DOMAINS = {"de": "de", "at": "de", "uk": "en", "us": "en", "au": "en", "ie": "en", "es": "es", "mx": "es", "ar": "es", "fr": "fr"}
-BUCKETS = 4096
+BUCKETS = 1 << 16
 TRAIN_ROWS = 2000
 EFFECTIVE = 60
 CONFIDENT = 0.5
 HOST_STRENGTH, DOMAIN_STRENGTH = 8.0, 16.0
-EVEN_MARGIN = -1.5  # nats a trigram: short texts of rare words stay, other scripts do not
+KNOWN_SHARE = 0.4  # of a text's trigrams, seen in training: below it the text is in none of the languages
 
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _DROP = re.compile(r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
@@ -56,18 +56,17 @@ def html_text(page: str) -> str:
     return html_entities.unescape(_DROP.sub(" ", page))
 
 
-def trigram_counts(text: str) -> tuple[np.ndarray, int]:
-    """(counts of hashed byte trigrams of letters, their number); white space and marks are one gap."""
+def trigrams(text: str) -> np.ndarray:
+    """Buckets of the byte trigrams of a text's letters; white space and marks are one gap."""
     data = b" ".join(text.encode().translate(_TABLE).split())
     if not data:
-        return np.zeros(BUCKETS, np.int64), 0
+        return np.zeros(0, np.uint32)
     b = np.frombuffer(b" " + data + b" ", np.uint8).astype(np.uint32)
-    h = (b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16)) * np.uint32(2654435761) >> np.uint32(20)
-    return np.bincount(h, minlength=BUCKETS), len(h)
+    return (b[:-2] | b[1:-1] << np.uint32(8) | b[2:] << np.uint32(16)) * np.uint32(2654435761) >> np.uint32(16)
 
 
 def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray | None:
-    """Log-probabilities of the trigram buckets (languages x buckets) from a bounded sample."""
+    """Per trigram bucket the log-probabilities of the languages and whether training saw it, from a bounded sample."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("lang").isin(*languages) & F.col("text").isNotNull())
     step = max(1, rows.select("lang").count() // TRAIN_ROWS)
@@ -78,7 +77,7 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, language
         totals = np.zeros((len(languages), BUCKETS), np.int64)
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-                totals[languages.index(lang)] += trigram_counts(text)[0]
+                totals[languages.index(lang)] += np.bincount(trigrams(text), minlength=BUCKETS)
         l, k = np.nonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(l.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(totals[l, k])], names=["l", "k", "n"])
 
@@ -86,10 +85,11 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, language
              .groupBy("l", "k").agg(F.sum("n").alias("n")).collect())  # at most languages x buckets rows
     if not found:
         return None
-    counts = np.full((len(languages), BUCKETS), 0.5)
+    counts = np.full((BUCKETS, len(languages)), 0.1)
     for r in found:
-        counts[r.l, r.k] += r.n
-    return np.log(counts / counts.sum(axis=1, keepdims=True))
+        counts[r.k, r.l] += r.n
+    seen = (counts.max(axis=1) > 1).astype(np.float64)
+    return np.column_stack([np.log(counts / counts.sum(axis=0)), seen])
 
 
 def _score(model: np.ndarray | None, place: int, markup: bool, n_languages: int):
@@ -104,11 +104,11 @@ def _score(model: np.ndarray | None, place: int, markup: bool, n_languages: int)
                 for i, text in enumerate(batch.column(place).to_pylist()):
                     if not text or model is None:
                         continue
-                    counts, n = trigram_counts(html_text(text) if markup else text)
-                    if n:
-                        mean = model @ counts / n
-                        letters[i] = mean.max() > EVEN_MARGIN - math.log(BUCKETS)
-                        out[i] = mean * min(n, EFFECTIVE)
+                    buckets = trigrams(html_text(text) if markup else text)
+                    if len(buckets):
+                        mean = model[buckets].mean(axis=0)
+                        letters[i] = mean[-1] >= KNOWN_SHARE
+                        out[i] = mean[:-1] * min(len(buckets), EFFECTIVE)
                 lists = pa.ListArray.from_arrays(np.arange(0, out.size + 1, n_languages, dtype=np.int32), out.ravel())
                 yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(letters)], names=[*batch.schema.names, "_text_ll", "_spoken"])
     return run
