@@ -66,7 +66,7 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray | None:
-    """Per trigram bucket the log-probabilities of the languages and whether training saw it, from a bounded sample."""
+    """Per trigram bucket the log-probabilities of the languages and whether at least two texts of training have it, from a bounded sample."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("lang").isin(*languages) & F.col("text").isNotNull())
     step = max(1, rows.select("lang").count() // TRAIN_ROWS)
@@ -74,22 +74,24 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, language
     sample = rows.where(F.pmod(key, F.lit(step)) == 0).select(key.alias("k"), "lang", "text").orderBy("k").limit(2 * TRAIN_ROWS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((len(languages), BUCKETS), np.int64)
+        totals = np.zeros((len(languages) + 1, BUCKETS), np.int64)  # the last row counts texts
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-                totals[languages.index(lang)] += np.bincount(trigrams(text), minlength=BUCKETS)
+                own = np.bincount(trigrams(text), minlength=BUCKETS)
+                totals[languages.index(lang)] += own
+                totals[-1] += own > 0
         l, k = np.nonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(l.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(totals[l, k])], names=["l", "k", "n"])
 
     found = (sample.repartition(8).select("lang", "text").mapInArrow(count, "l int, k int, n long")
-             .groupBy("l", "k").agg(F.sum("n").alias("n")).collect())  # at most languages x buckets rows
+             .groupBy("l", "k").agg(F.sum("n").alias("n")).collect())  # at most (languages + 1) x buckets rows
     if not found:
         return None
-    counts = np.full((BUCKETS, len(languages)), 0.1)
+    counts = np.full((BUCKETS, len(languages) + 1), 0.1)
     for r in found:
         counts[r.k, r.l] += r.n
-    seen = (counts.max(axis=1) > 1).astype(np.float64)
-    return np.column_stack([np.log(counts / counts.sum(axis=0)), seen])
+    seen = (counts[:, -1] >= 2).astype(np.float64)
+    return np.column_stack([np.log(counts[:, :-1] / counts[:, :-1].sum(axis=0)), seen])
 
 
 def _score(model: np.ndarray | None, place: int, markup: bool, n_languages: int):
