@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +27,15 @@ def shared_root(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="stratum-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return root.rstrip("/")
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="stratum-llm-")
+
+
 class Scratch:
     """Tables of one operator run, written below the shared folder.
 
