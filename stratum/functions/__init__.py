@@ -4,6 +4,7 @@ from stratum.functions.columns import (  # noqa: F401
     calendar_parts,
     canon,
     dow_sunday0,
+    double_text,
     hash_key,
     hour_of_day,
     in_dates,
@@ -14,6 +15,5 @@ from stratum.functions.columns import (  # noqa: F401
     round_half_away,
     safe_ratio,
     sum_decimal,
-    to_day,
     weekday_name,
 )

@@ -57,17 +57,20 @@ def avg_double(x: ColumnOrName) -> Column:
     return F.sum(x).cast("double") / F.count(x)
 
 
-def avg_stable(x: ColumnOrName, scale: int = 6) -> Column:
+def avg_stable(x: ColumnOrName, scale: int = 15) -> Column:
     """Average of a DOUBLE column from an exact DECIMAL(38, scale) sum.
 
     A plain double sum depends on the order rows meet in the partial
     aggregates, so a mean that sits on a rounding boundary (``x.xx5``) can
     round either way from one run to the next. Summing exactly first makes
-    the result independent of partitioning.
+    the result independent of partitioning. Columns with NaN, infinite or
+    very large values (1e12 and more) have the plain average, which keeps them.
     """
-    x = _c(x)
-    return F.try_divide(F.sum(x.cast(T.DecimalType(38, scale))).cast("double"),
-                        F.count(x).cast("double"))
+    x = _c(x).cast("double")
+    plain = F.abs(x) < F.lit(1e12)  # false for NaN, which compares as the largest value
+    exact = F.sum(F.when(plain, x).cast(T.DecimalType(38, scale))).cast("double")
+    return F.when(F.count_if(x.isNotNull() & ~plain) > 0, F.avg(x)).otherwise(
+        F.try_divide(exact, F.count(x).cast("double")))
 
 
 def sum_decimal(x: ColumnOrName, precision: int = 38, scale: int = 2) -> Column:
@@ -87,10 +90,6 @@ def safe_ratio(num: ColumnOrName, den: ColumnOrName, digits: int = 2,
 
 
 # ----------------------------------------------------------------- calendar
-def to_day(ts: ColumnOrName) -> Column:
-    return F.to_date(_c(ts))
-
-
 def hour_of_day(ts: ColumnOrName) -> Column:
     return F.hour(_c(ts)).cast("bigint")
 
@@ -133,18 +132,35 @@ def in_dates(d: ColumnOrName, dates: Iterable[_dt.date | str]) -> Column:
 
 
 # --------------------------------------------------------------- canonical text
+def double_text(c: ColumnOrName) -> Column:
+    """Text that tells any two different doubles apart, in whole numbers that every engine
+    prints alike: ``floor.fraction`` with the fraction as a multiple of 2^-62.
+
+    From 2^-9 to 2^53 that is exact; values beyond (and NaN) are ``d`` and the
+    engine's own text. Zero has one text whatever its sign, as grouping sees it.
+    """
+    x = _c(c).cast("double") + F.lit(0.0)
+    size = F.abs(x)
+    whole = F.floor(x)
+    part = ((x - whole) * F.lit(float(1 << 62))).cast("bigint")
+    return F.when((x == 0) | ((size >= F.lit(2.0 ** -9)) & (size < F.lit(2.0 ** 53))),
+                  F.concat(whole.cast("string"), F.lit("."), part.cast("string"))).otherwise(
+        F.concat(F.lit("d"), x.cast("string")))
+
+
 def canon(c: ColumnOrName, dtype: T.DataType) -> Column:
-    """Engine-independent text of a value, used inside hash keys.
+    """Engine-independent text of a value, used inside hash keys: two values have one
+    text only if grouping takes them as equal.
 
-    Integers and strings as is; floating point as DECIMAL(38, 10) text (no
-    exponent notation); decimals at their own scale; timestamps as
-    ``yyyy-MM-dd HH:mm:ss.SSS``; dates ISO; booleans ``true``/``false``.
+    Integers and strings as is; floating point by ``double_text``; decimals at
+    their own scale; timestamps as ``yyyy-MM-dd HH:mm:ss.SSSSSS``; dates ISO;
+    booleans ``true``/``false``.
     """
     c = _c(c)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return c.try_cast(T.DecimalType(38, 10)).cast("string")
+        return double_text(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSS")
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     if isinstance(dtype, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(dtype, T.BooleanType):

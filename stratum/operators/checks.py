@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions import round_half_away
-from stratum.manifest import Manifest, is_numeric_type
-from stratum.operators.joins import BROADCAST_MAX_ROWS, fits
+from stratum.manifest import Manifest
+from stratum.operators.joins import orphan_keys
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
@@ -149,24 +149,9 @@ def unique_check(df: DataFrame, column: str, model: str, severity: str = "error"
     return failures.select(F.inline(F.array(_result(model, "unique", column, F.col("_f"), severity))))
 
 
-def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                max_parent_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (DT4/JN3), as counts per
-    key: ``(key, n_rows)``. Keys are counted before the join, so the shuffle
-    carries one row per key and map task, however skewed the child is."""
-    per_key = (child.select(F.col(column).alias("_k")).filter(F.col("_k").isNotNull())
-               .groupBy("_k").agg(F.count(F.lit(1)).alias("n_rows")))
-    # Bound the parent by its row count (>= its distinct keys): the check
-    # then stops after max_parent_rows + 1 rows instead of aggregating first.
-    raw = parent.select(F.col(parent_column).alias("_p"))
-    parents = F.broadcast(raw.distinct()) if fits(raw, max_parent_rows) else raw.distinct()
-    return (per_key.join(parents, per_key["_k"] == parents["_p"], "left_anti")
-            .select(F.col("_k").alias(column), "n_rows"))
-
-
 def relationships_check(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
                         model: str, severity: str = "error") -> DataFrame:
-    failures = orphan_rows(child, column, parent, parent_column).agg(
+    failures = orphan_keys(child, column, parent, parent_column).agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("_f"))
     return failures.select(F.inline(F.array(
         _result(model, f"relationships:{parent_column}", column, F.col("_f"), severity))))
@@ -188,11 +173,9 @@ def run_checks(df: DataFrame, checks: Sequence[Check], model: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- contracts
-def contract_check(df: DataFrame, expected: T.StructType | str, model: str,
-                   spark: SparkSession | None = None) -> DataFrame:
-    """DT8/UP4: output column names and types equal the declared contract.
+def contract_result(df: DataFrame, expected: T.StructType | str, model: str) -> tuple:
+    """DT8/UP4: output column names and types against the declared contract, as a result row.
     Compares schemas only; reads no data."""
-    spark = spark or df.sparkSession
     if isinstance(expected, str):
         expected = T._parse_datatype_string(expected)  # DDL "a INT, b STRING"
     want = [(f.name, f.dataType.simpleString()) for f in expected.fields]
@@ -201,9 +184,12 @@ def contract_check(df: DataFrame, expected: T.StructType | str, model: str,
     extra = [n for n, _ in got if n not in dict(want)]
     wrong = [n for n, t in want if n in dict(got) and dict(got)[n] != t]
     failures = len(missing) + len(extra) + len(wrong)
-    row = (model, "contract", ",".join(missing + extra + wrong) or None, failures, "error",
-           "pass" if failures == 0 else "fail", failures == 0)
-    return spark.createDataFrame([row], RESULT_SCHEMA)
+    return (model, "contract", ",".join(missing + extra + wrong) or None, failures, "error",
+            "pass" if failures == 0 else "fail", failures == 0)
+
+
+def contract_check(df: DataFrame, expected: T.StructType | str, model: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([contract_result(df, expected, model)], RESULT_SCHEMA)
 
 
 # ---------------------------------------------------------------- freshness
@@ -251,46 +237,62 @@ def rule_audit(df: DataFrame, filters: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------------ derived range checks
-_NUMERIC_FILTER = re.compile(r"^\s*([A-Za-z_][A-Za-z0-9_]*)\s*(>=|>|<=|<)\s*(-?\d+(?:\.\d+)?)\s*$")
+@dataclass(frozen=True)
+class Interval:
+    """Numbers between two optional bounds; ``lo`` and ``hi`` are (value, strict)."""
+
+    lo: tuple[float, bool] | None = None
+    hi: tuple[float, bool] | None = None
 
+    def __and__(self, other: Interval) -> Interval:
+        # of two lower bounds the later one holds, at equal values the strict one; upper bounds mirror that
+        lows = [b for b in (self.lo, other.lo) if b]
+        highs = [b for b in (self.hi, other.hi) if b]
+        return Interval(max(lows, default=None), min(highs, key=lambda b: (b[0], not b[1]), default=None))
 
-def _number(text: str):
-    return float(text) if "." in text else int(text)
+    @property
+    def closed(self) -> bool:
+        return not any(b and b[1] for b in (self.lo, self.hi))
+
+
+_COMPARISON = re.compile(r"\s*(?P<left>\w+)\s*(?P<sign>[<>])(?P<equal>=?)\s*(?P<right>[-+]?[0-9]+(?:\.[0-9]+)?)\s*")
+
+
+def comparison(predicate: str) -> tuple[str, Interval] | None:
+    """``column`` and the interval that ``column <op> number`` allows; None for other predicates."""
+    m = _COMPARISON.fullmatch(predicate)
+    if m is None or m["left"][0].isdigit():
+        return None
+    number = float(m["right"])
+    bound = (int(number) if number.is_integer() and "." not in m["right"] else number, not m["equal"])
+    return m["left"], Interval(lo=bound) if m["sign"] == ">" else Interval(hi=bound)
 
 
 def derived_range_checks(manifest: Manifest, severity: str = "warn") -> list[Check]:
-    """QG4: ``accepted_range`` checks on Silver columns from simple numeric
-    quality filters (``col op number``). Per column the tightest bound of each
-    side is kept (strict beats inclusive at equal values); the check is
-    inclusive only if every kept bound is; columns come out sorted."""
-    names = manifest.silver_names
-    numeric = {c.silver_output_name for c in manifest.columns if is_numeric_type(c.silver_type)}
-    lower: dict[str, tuple] = {}
-    upper: dict[str, tuple] = {}
-    for expr in manifest.quality_filters:
-        m = _NUMERIC_FILTER.match(expr)
-        if not m:
-            continue
-        raw, op, num = m.groups()
-        col = names.get(raw)
-        if col is None or col not in numeric:
-            continue
-        value, incl = _number(num), op in (">=", "<=")
-        if op in (">", ">="):
-            cur = lower.get(col)
-            if cur is None or value > cur[0] or (value == cur[0] and not incl and cur[1]):
-                lower[col] = (value, incl)
-        else:
-            cur = upper.get(col)
-            if cur is None or value < cur[0] or (value == cur[0] and not incl and cur[1]):
-                upper[col] = (value, incl)
-    out = []
-    for col in sorted(set(lower) | set(upper)):
-        lo, hi = lower.get(col), upper.get(col)
-        inclusive = (lo[1] if lo else True) and (hi[1] if hi else True)
-        out.append(accepted_range(col, lo[0] if lo else None, hi[0] if hi else None,
-                                  inclusive=inclusive, severity=severity))
-    return out
+    """QG4: the intervals that the quality filters allow for numeric Silver columns, as range
+    checks in column order. A column's filters intersect; a check is inclusive only if both bounds are."""
+    silver_types = {f.name: f.dataType for f in manifest.silver_schema().fields}
+    allowed: dict[str, Interval] = {}
+    for column, interval in filter(None, map(comparison, manifest.quality_filters)):
+        name = manifest.silver_names.get(column)
+        if name and isinstance(silver_types[name], T.NumericType):
+            allowed[name] = allowed.get(name, Interval()) & interval
+    return [accepted_range(name, box.lo and box.lo[0], box.hi and box.hi[0], inclusive=box.closed, severity=severity)
+            for name, box in sorted(allowed.items())]
+
+
+def fact_checks() -> list[Check]:
+    """The test set of the trip fact."""
+    return [
+        not_null("trip_id"),
+        unique("trip_id"),
+        accepted_values("payment_type_id", [1, 2, 3, 4, 5, 6], severity="warn"),
+        accepted_range("trip_duration_minutes", 1, 720),
+        positive_value("fare_amount"),
+        expression("fare_not_exceeds_total", "total_amount > 0 AND fare_amount > total_amount + 0.01"),
+        expression("trip_duration_positive", "trip_duration_minutes < 0"),
+        not_null("pickup_zone", severity="warn"),
+    ]
 
 
 def staging_checks(manifest: Manifest) -> list[Check]:

@@ -1,47 +1,21 @@
-"""Join helpers: a broadcast that is only taken behind a size check (JN1,
-JN2), referential anti-joins (JN3) and the high-water scalar (JN4)."""
+"""Referential anti-joins (JN3). No join in this package carries a broadcast hint
+for data that can grow: adaptive execution measures the bytes of a side and turns a
+shuffle join into a broadcast only below the session's threshold."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound for broadcasting a dimension. A few million narrow rows is
-# tens of MB per executor; beyond it the join stays a shuffle join (and AQE may
-# still switch to broadcast at run time from the measured shuffle size).
-BROADCAST_MAX_ROWS = 2_000_000
 
+def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Non-NULL child keys without a parent row, with their row counts: ``(child_key, n_rows)``.
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Exact and cheap: the job stops after ``max_rows + 1`` rows, so checking
-    a huge table costs no more than reading that many rows.
+    Rows are counted per key before the join (partial aggregation), so the shuffle
+    carries one row per key and map task however skewed the child is.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it passes the size check, else ``df`` unchanged."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
-            max_parent_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Distinct non-NULL child keys with no parent row (JN3).
-
-    The child side is reduced to distinct keys first (partial aggregation on
-    the map side) so the join shuffles keys, not rows.
-    """
-    keys = child.select(F.col(child_key).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
-    raw = parent.select(F.col(parent_key).alias("_p"))
-    parents = F.broadcast(raw.distinct()) if fits(raw, max_parent_rows) else raw.distinct()
-    return (keys.join(parents, keys["_k"] == parents["_p"], "left_anti")
-            .select(F.col("_k").alias(child_key)))
-
-
-def high_water(df: DataFrame, col: str) -> Column:
-    """``max(col)`` of ``df`` as a literal Column (JN4). Evaluated once, so a
-    filter against it can prune partitions and row groups."""
-    value = df.agg(F.max(col)).first()[0]
-    return F.lit(value)
+    per_key = (child.select(F.col(child_key).alias("_k")).filter(F.col("_k").isNotNull())
+               .groupBy("_k").agg(F.count(F.lit(1)).alias("n_rows")))
+    parents = parent.select(F.col(parent_key).alias("_p")).distinct()
+    return (per_key.join(parents, per_key["_k"] == parents["_p"], "left_anti")
+            .select(F.col("_k").alias(child_key), "n_rows"))

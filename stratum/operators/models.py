@@ -31,9 +31,9 @@ from stratum.functions import (
     weekday_name,
 )
 from stratum.manifest import Manifest
-from stratum.operators.joins import BROADCAST_MAX_ROWS, small_side
 
 MONEY = T.DecimalType(10, 2)
+EXACT = T.DecimalType(38, 15)  # sums of doubles that do not depend on their order
 MONEY_COLS = ("fare_amount", "extra_amount", "mta_tax", "tip_amount", "tolls_amount",
               "improvement_surcharge", "total_amount", "congestion_surcharge", "airport_fee")
 
@@ -153,12 +153,10 @@ def dim_dates_covering(df: DataFrame, date_col: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- fact
-def fct_trips(metrics: DataFrame, locations: DataFrame,
-              max_dim_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def fct_trips(metrics: DataFrame, locations: DataFrame) -> DataFrame:
     """Trips with pickup and dropoff zone names (JN1): two LEFT joins to one
-    dimension. The dimension is broadcast only if it passes the row check;
-    the same broadcast serves both joins."""
-    dim = small_side(locations.select("location_id", "borough", "zone_name"), max_dim_rows)
+    dimension, broadcast by adaptive execution if its measured bytes allow."""
+    dim = locations.select("location_id", "borough", "zone_name")
     pu = dim.select(F.col("location_id").alias("_pu_id"), F.col("borough").alias("pickup_borough"),
                     F.col("zone_name").alias("pickup_zone"))
     do = dim.select(F.col("location_id").alias("_do_id"), F.col("borough").alias("dropoff_borough"),
@@ -234,58 +232,47 @@ def mode_per_group(df: DataFrame, keys: Sequence[str], value: str, alias: str) -
         F.min_by(F.col(value), F.struct((-F.col("_n")).alias("n"), F.col(value).alias("v"))).alias(alias))
 
 
-def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return left.join(right, cond, "left").select(left["*"], *[right[c] for c in right.columns
-                                                              if c not in keys])
-
-
 def mart_location_performance(fct: DataFrame) -> DataFrame:
     """AG5: per pickup zone, with the most common dropoff zone and hour.
 
-    One pass over the fact: a partial aggregate at (zone, dropoff zone, hour)
-    grain carries exact sums and counts; the per-zone figures and both modes
-    are rolled up from it. The three roll-ups read the same shuffle (Spark
-    reuses the identical exchange), and every average is an exact sum divided
-    once, so the result equals a direct aggregation.
+    The fact is read once: every trip gives a plain row, which carries the measures,
+    and a row for each of the two values whose mode is wanted. One aggregation by
+    (zone, kind, value) has exact partial sums in its plain rows and counts in the
+    others; a second one per zone adds up the former and picks the modes from
+    the latter, ties to the smallest value.
     """
     keys = ["pickup_location_id", "pickup_borough", "pickup_zone"]
-    dec = T.DecimalType(38, 6)
+    measures = {"trip_distance_miles": EXACT, "trip_duration_minutes": T.LongType(), "total_amount": MONEY,
+                "tip_percentage": EXACT, "passenger_count": T.LongType()}
     trips = fct.filter(F.col("pickup_zone").isNotNull())
-    fine = trips.groupBy(*keys, "dropoff_zone", "pickup_hour").agg(
+    values = F.array(*[F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value")) for kind, value in (
+        ("all", F.lit(None)), ("zone", F.col("dropoff_zone")), ("hour", F.lpad(F.col("pickup_hour").cast("string"), 2, "0")))])
+    rows = trips.select(*keys, *measures, F.explode(values).alias("v")).select(*keys, *measures, "v.*")
+    rows = rows.filter((F.col("kind") == "all") | F.col("value").isNotNull())
+    plain = F.col("kind") == "all"
+    counts = rows.groupBy(*keys, "kind", "value").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("trip_distance_miles").cast(dec)).alias("dist_s"), F.count("trip_distance_miles").alias("dist_n"),
-        F.sum("trip_duration_minutes").alias("dur_s"), F.count("trip_duration_minutes").alias("dur_n"),
-        F.sum("total_amount").alias("tot_s"), F.count("total_amount").alias("tot_n"),
-        F.sum(F.col("tip_percentage").cast(dec)).alias("tip_s"), F.count("tip_percentage").alias("tip_n"),
-        F.sum("passenger_count").alias("pax_s"), F.count("passenger_count").alias("pax_n"))
-
-    def mean(s: str, n: str) -> Column:
-        return F.try_divide(F.sum(s).cast("double"), F.sum(n).cast("double"))
-
-    main = fine.groupBy(*keys).agg(
-        F.sum("n").cast("bigint").alias("total_pickups"),
-        _r2(mean("dist_s", "dist_n")).alias("avg_trip_distance"),
-        _r2(mean("dur_s", "dur_n")).alias("avg_trip_duration_min"),
-        F.sum("tot_s").cast(T.DecimalType(38, 2)).alias("total_revenue"),
-        _r2(mean("tot_s", "tot_n")).alias("avg_revenue_per_trip"),
-        _r2(mean("tip_s", "tip_n")).alias("avg_tip_pct"),
-        _r2(mean("pax_s", "pax_n")).alias("avg_passengers"))
-    zone = _mode_from_counts(fine, keys, "dropoff_zone", "most_common_dropoff_zone")
-    hour = _mode_from_counts(fine, keys, "pickup_hour", "peak_pickup_hour")
-    return _join_on_keys(_join_on_keys(main, zone, keys), hour, keys)
-
-
-def _mode_from_counts(counts: DataFrame, keys: Sequence[str], value: str, alias: str,
-                      count_col: str = "n") -> DataFrame:
-    """AG6 over pre-counted rows: most frequent non-NULL value, smallest on ties."""
-    per_value = (counts.filter(F.col(value).isNotNull())
-                 .groupBy(*keys, value).agg(F.sum(count_col).alias("_n")))
-    return per_value.groupBy(*keys).agg(
-        F.min_by(F.col(value), F.struct((-F.col("_n")).alias("n"), F.col(value).alias("v"))).alias(alias))
+        *[F.sum(F.when(plain, F.col(m).cast(t))).alias(f"{m}_s") for m, t in measures.items()],
+        *[F.count(F.when(plain, F.col(m))).alias(f"{m}_n") for m in measures])
+
+    def mean(m: str) -> Column:
+        return F.try_divide(F.sum(f"{m}_s").cast("double"), F.sum(f"{m}_n").cast("double"))
+
+    def mode(kind: str) -> Column:
+        own = F.col("kind") == kind
+        best = F.struct((-F.col("n")).alias("n"), F.col("value").alias("v"))
+        return F.min(F.when(own, best)).getField("v")
+
+    return counts.groupBy(*keys).agg(
+        F.sum(F.when(plain, F.col("n"))).cast("bigint").alias("total_pickups"),
+        _r2(mean("trip_distance_miles")).alias("avg_trip_distance"),
+        _r2(mean("trip_duration_minutes")).alias("avg_trip_duration_min"),
+        F.sum("total_amount_s").cast(T.DecimalType(38, 2)).alias("total_revenue"),
+        _r2(mean("total_amount")).alias("avg_revenue_per_trip"),
+        _r2(mean("tip_percentage")).alias("avg_tip_pct"),
+        _r2(mean("passenger_count")).alias("avg_passengers"),
+        mode("zone").alias("most_common_dropoff_zone"),
+        mode("hour").cast("bigint").alias("peak_pickup_hour"))
 
 
 def mart_daily_revenue(daily: DataFrame, dates: DataFrame) -> DataFrame:
@@ -293,11 +280,9 @@ def mart_daily_revenue(daily: DataFrame, dates: DataFrame) -> DataFrame:
     running revenue total (WN2) and the change against the previous row (WN3).
 
     The window has no partition key on purpose: it runs after the daily
-    aggregation, on one row per calendar day. The calendar is broadcast: its
-    size is the number of days it spans, not a function of the data volume.
+    aggregation, on one row per calendar day.
     """
-    joined = daily.join(F.broadcast(dates.select("date_key", "day_of_week_name", "is_weekend",
-                                                 "is_holiday", "week_of_year")),
+    joined = daily.join(dates.select("date_key", "day_of_week_name", "is_weekend", "is_holiday", "week_of_year"),
                         daily["pickup_date"] == F.col("date_key"), "inner")
     w = Window.orderBy("date_key")
     running = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -309,3 +294,52 @@ def mart_daily_revenue(daily: DataFrame, dates: DataFrame) -> DataFrame:
         F.sum("total_revenue").over(running).cast(T.DecimalType(38, 2)).alias("cumulative_revenue"),
         (F.col("total_revenue") - F.lag("total_revenue").over(w)).cast(T.DecimalType(38, 2))
         .alias("revenue_change_vs_prior_day"))
+
+
+# ------------------------------------------------------------- presentation
+# Sort order in which a mart is shown (SO1); tables are not kept in it.
+PRESENTED = {"mart_hourly_demand": ("is_weekend", "pickup_hour"), "mart_location_performance": ("-total_revenue", "pickup_location_id")}
+
+
+def presented(name: str, mart: DataFrame) -> DataFrame:
+    """SO1: a mart in its order of presentation."""
+    return mart.orderBy(*[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in PRESENTED[name]])
+
+
+def mart_stub(stg: DataFrame, manifest: Manifest) -> DataFrame:
+    """PRJ11: ``mart_<dataset>``, a view of all columns of the generic staging model."""
+    name = f"mart_{manifest.name}"
+    stg.createOrReplaceTempView(name)
+    return stg.sparkSession.table(name)
+
+
+# ---------------------------------------------------------------- contracts
+# Declared columns and types of the marts (DT8; fixed values).
+CONTRACTS: dict[str, str] = {
+    "fct_trips": (
+        "trip_id STRING, vendor_id INT, rate_code_id INT, payment_type_id INT, pickup_location_id INT, dropoff_location_id INT, "
+        "pickup_datetime TIMESTAMP_NTZ, dropoff_datetime TIMESTAMP_NTZ, pickup_date DATE, pickup_hour BIGINT, "
+        "pickup_day_of_week STRING, is_weekend BOOLEAN, passenger_count INT, trip_distance_miles DOUBLE, "
+        "trip_duration_minutes BIGINT, avg_speed_mph DOUBLE, cost_per_mile DOUBLE, fare_amount DECIMAL(10,2), "
+        "extra_amount DECIMAL(10,2), mta_tax DECIMAL(10,2), tip_amount DECIMAL(10,2), tip_percentage DOUBLE, "
+        "tolls_amount DECIMAL(10,2), improvement_surcharge DECIMAL(10,2), total_amount DECIMAL(10,2), "
+        "congestion_surcharge DECIMAL(10,2), airport_fee DECIMAL(10,2), pickup_borough STRING, pickup_zone STRING, "
+        "dropoff_borough STRING, dropoff_zone STRING"),
+    "dim_dates": (
+        "date_key DATE, year BIGINT, month BIGINT, day_of_month BIGINT, day_of_week_num BIGINT, day_of_week_name STRING, "
+        "month_name STRING, week_of_year BIGINT, is_weekend BOOLEAN, is_holiday BOOLEAN"),
+    "dim_locations": "location_id BIGINT, borough STRING, zone_name STRING, service_zone STRING",
+    "mart_daily_revenue": (
+        "date_key DATE, day_of_week_name STRING, is_weekend BOOLEAN, is_holiday BOOLEAN, week_of_year BIGINT, "
+        "total_trips BIGINT, total_passengers BIGINT, total_fare_revenue DECIMAL(38,2), total_tip_revenue DECIMAL(38,2), "
+        "total_revenue DECIMAL(38,2), avg_trip_revenue DOUBLE, avg_tip_percentage DOUBLE, credit_card_trips BIGINT, "
+        "cash_trips BIGINT, avg_trip_distance DOUBLE, avg_trip_duration_min DOUBLE, cumulative_revenue DECIMAL(38,2), "
+        "revenue_change_vs_prior_day DECIMAL(38,2)"),
+    "mart_hourly_demand": (
+        "pickup_hour BIGINT, is_weekend BOOLEAN, days_observed BIGINT, avg_trips_per_period DOUBLE, avg_distance DOUBLE, "
+        "avg_duration_min DOUBLE, avg_revenue_per_period DOUBLE, total_trips_all_days BIGINT"),
+    "mart_location_performance": (
+        "pickup_location_id INT, pickup_borough STRING, pickup_zone STRING, total_pickups BIGINT, avg_trip_distance DOUBLE, "
+        "avg_trip_duration_min DOUBLE, total_revenue DECIMAL(38,2), avg_revenue_per_trip DOUBLE, avg_tip_pct DOUBLE, "
+        "avg_passengers DOUBLE, most_common_dropoff_zone STRING, peak_pickup_hour BIGINT"),
+}

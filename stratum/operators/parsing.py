@@ -8,6 +8,7 @@ no shuffle and scales linearly with the topic.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -30,16 +31,19 @@ def message_key(c: Column) -> Column:
 
 
 def encode_events(df: DataFrame, manifest: Manifest | None = None,
-                  key_field: str | None = None) -> DataFrame:
+                  key_field: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows → ``(key STRING, value STRING)`` messages.
 
     The value is the row as one JSON object with the column names as keys;
     timestamps become ISO-8601 text with a ``T`` separator (fraction only when
-    present) and NULL fields are written as ``null``, not dropped.
+    present) and NULL fields are written as ``null``, not dropped. Columns named
+    in ``keep`` stay beside the message and are not part of it.
     """
     key_field = key_field if key_field is not None else (manifest.key_field if manifest else None)
     fields = []
     for f in df.schema.fields:
+        if f.name in keep:
+            continue
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             fields.append(iso_text(F.col(f.name)).alias(f.name))
         elif isinstance(f.dataType, T.DateType):
@@ -48,7 +52,7 @@ def encode_events(df: DataFrame, manifest: Manifest | None = None,
             fields.append(F.col(f.name))
     value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     key = message_key(F.col(key_field)) if key_field else F.lit(None).cast("string")
-    return df.select(key.alias("key"), value.alias("value"))
+    return df.select(key.alias("key"), value.alias("value"), *keep)
 
 
 # ------------------------------------------------------------------- parse
@@ -68,8 +72,16 @@ def _ingestion_ts(ingestion_ts) -> Column:
     return F.lit(ingestion_ts).cast(T.TimestampNTZType())
 
 
+def with_fraction(pattern: str) -> str:
+    """The pattern with an optional fraction of up to six digits after its seconds, if it has none:
+    the encoder writes a fraction whenever there is one."""
+    return pattern if "S" in pattern else re.sub(r"ss(?!.*ss)", "ss[.SSSSSS]", pattern)
+
+
 def parse_timestamp(c: Column, pattern: str) -> Column:
-    """Text → wall-clock timestamp by pattern; text that does not match is NULL."""
+    """Text → wall-clock timestamp by pattern, with or without a fraction of a second; text
+    that does not match is NULL."""
+    pattern = with_fraction(pattern)
     return F.try_to_timestamp(c, F.lit(pattern)).cast(T.TimestampNTZType())
 
 
@@ -90,17 +102,8 @@ def bronze_columns(manifest: Manifest, parsed: Column) -> list[Column]:
     return out
 
 
-def parse_events(topic: DataFrame, manifest: Manifest, ingestion_ts=None,
-                 value_col: str = "value", observation: Observation | None = None) -> Parsed:
-    """Bronze parse of a topic of JSON documents.
-
-    * a field that does not fit its declared type becomes NULL, the row stays;
-    * a message that is not a JSON object at all goes to ``rejects``;
-    * ``ingestion_ts`` is one value per batch (``current_timestamp()`` unless a
-      fixed run time is given);
-    * pass an ``Observation`` to read the run metrics (``messages``,
-      ``rejected``) after the first action.
-    """
+def _parsed(topic: DataFrame, manifest: Manifest, value_col: str, observation: Observation | None) -> DataFrame:
+    """The topic with ``_value``, the parsed document ``_p`` and ``_bad_doc``."""
     schema = manifest.topic_schema().add(CORRUPT_COL, T.StringType())
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL}
     p = F.col("_p")
@@ -118,18 +121,46 @@ def parse_events(topic: DataFrame, manifest: Manifest, ingestion_ts=None,
     # observation point also keeps later filters on parsed fields (quality
     # filters, de-dup keys) above it: pushed below, each predicate would
     # re-parse the document, and they can never reach the source scan anyway.
-    staged = staged.observe(observation or f"bronze_parse_{uuid.uuid4().hex[:8]}",
-                            F.count(F.lit(1)).alias("messages"),
-                            F.count_if(F.col("_bad_doc")).alias("rejected"))
+    return staged.observe(observation or f"bronze_parse_{uuid.uuid4().hex[:8]}",
+                          F.count(F.lit(1)).alias("messages"),
+                          F.count_if(F.col("_bad_doc")).alias("rejected"))
+
+
+REJECT_MESSAGE = "malformed JSON document"
+
+
+def parse_events(topic: DataFrame, manifest: Manifest, ingestion_ts=None,
+                 value_col: str = "value", observation: Observation | None = None) -> Parsed:
+    """Bronze parse of a topic of JSON documents.
+
+    * a field that does not fit its declared type becomes NULL, the row stays;
+    * a message that is not a JSON object at all goes to ``rejects``;
+    * ``ingestion_ts`` is one value per batch (``current_timestamp()`` unless a
+      fixed run time is given);
+    * pass an ``Observation`` to read the run metrics (``messages``,
+      ``rejected``) after the first action.
+    """
+    staged = _parsed(topic, manifest, value_col, observation)
     rows = staged.filter(~F.col("_bad_doc")).select(
-        *bronze_columns(manifest, p), _ingestion_ts(ingestion_ts).alias("ingestion_ts"))
+        *bronze_columns(manifest, F.col("_p")), _ingestion_ts(ingestion_ts).alias("ingestion_ts"))
     rejects = staged.filter(F.col("_bad_doc")).select(
-        F.lit("malformed JSON document").alias("error"),
+        F.lit(REJECT_MESSAGE).alias("error"),
         F.col("_value").alias("payload"),
         _ingestion_ts(ingestion_ts).alias("rejected_at"))
     return Parsed(rows, rejects)
 
 
+def parse_routed(topic: DataFrame, manifest: Manifest, ingestion_ts=None, value_col: str = "value",
+                 observation: Observation | None = None) -> DataFrame:
+    """The same parse as one frame, for writers that need both outputs from one read: ``row`` (a
+    Bronze row) and ``error``, ``payload``, ``rejected_at``, split by ``rejected``."""
+    staged = _parsed(topic, manifest, value_col, observation)
+    bad, at = F.col("_bad_doc"), _ingestion_ts(ingestion_ts)
+    row = F.struct(*bronze_columns(manifest, F.col("_p")), at.alias("ingestion_ts"))
+    return staged.select(F.when(~bad, row).alias("row"), F.when(bad, F.lit(REJECT_MESSAGE)).alias("error"),
+                         F.when(bad, F.col("_value")).alias("payload"), F.when(bad, at).alias("rejected_at"), bad.alias("rejected"))
+
+
 # ------------------------------------------------------------- schema gate
 _INTEGRAL = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
@@ -157,6 +188,12 @@ def _type_ok(actual: Column, allowed: list[str]) -> Column:
     return actual.isin(*sorted(names))
 
 
+def _member(name: str) -> str:
+    """Variant path of a property, whatever its name holds: dots and quotes are part of the name."""
+    quote = '"' if '"' not in name else "'"
+    return f"$[{quote}{name}{quote}]"
+
+
 def schema_gate(topic: DataFrame, json_schema: dict, value_col: str = "value") -> DataFrame:
     """Adds ``error`` (NULL when valid) by checking each message against a
     JSON Schema's ``type`` (per property) and ``required`` rules.
@@ -177,7 +214,7 @@ def schema_gate(topic: DataFrame, json_schema: dict, value_col: str = "value") -
     schemas = parsed.select(
         *[F.col(c) for c in topic.columns],
         F.schema_of_variant(F.col("_v")).alias("_root"),
-        *[F.schema_of_variant(F.variant_get(F.col("_v"), f"$.{n}", "variant")).alias(f"_s{idx[n]}")
+        *[F.schema_of_variant(F.try_variant_get(F.col("_v"), _member(n), "variant")).alias(f"_s{idx[n]}")
           for n in names])
     typed = schemas.select(*[F.col(c) for c in topic.columns], "_root",
                            *[json_type_of(F.col(f"_s{i}")).alias(f"_t{i}") for i in range(len(names))])
@@ -207,7 +244,8 @@ def schema_gate(topic: DataFrame, json_schema: dict, value_col: str = "value") -
 
 
 def split_by_schema(topic: DataFrame, json_schema: dict, value_col: str = "value"):
-    """(valid messages, rejected messages with ``error``) from one scan."""
+    """(valid messages, rejected messages with ``error``). Two frames over one gate: a job that needs both
+    writes ``schema_gate`` once with the error as a route (see ``sinks.publish``)."""
     gated = schema_gate(topic, json_schema, value_col)
     return (gated.filter(F.col("error").isNull()).drop("error"),
             gated.filter(F.col("error").isNotNull()))

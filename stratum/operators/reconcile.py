@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +49,7 @@ def layer_counts(spark: SparkSession, layers: Mapping[str, DataFrame | str]) ->
             try:
                 src = spark.read.parquet(src)
             except Exception as exc:  # noqa: BLE001 - reported as a row
-                msg = str(exc).splitlines()[0][:300]
-                parts.append(spark.createDataFrame([(name, -1, False, msg)], COUNT_SCHEMA))
+                parts.append(spark.createDataFrame([(name, -1, False, str(exc))], COUNT_SCHEMA))
                 continue
         parts.append(src.agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("layer"), F.col("rows").cast("bigint"), F.lit(True).alias("ok"),
@@ -70,83 +69,101 @@ def _check(stage: str, name: str, passed: Column, message: Column, detail: Colum
 
 def layer_decisions(counts: DataFrame, events: int | Column | None = None, min_silver_rows: int = 1,
                     allow_empty: bool = False, dlq_max: int = 0) -> DataFrame:
-    """RC2–RC5 over RC1 counts (layers ``bronze``, ``silver``, optional ``dlq``).
+    """RC2–RC5 over RC1 counts (layers ``events``, ``bronze``, ``silver``, optional ``dlq``).
 
-    * bronze completeness: bronze >= int(events × 0.95);
+    * bronze completeness: bronze >= int(events × 0.95); an unknown source size fails;
     * silver bounds: silver >= min rows, silver <= max(bronze, 1);
-    * allow-empty: zero rows pass only when allowed, and then the other
-      checks of that layer are reported as skipped;
-    * DLQ: dead letters <= ``dlq_max``.
+    * DLQ: dead letters <= ``dlq_max``; a layer that is not listed has none;
+    * a layer that could not be read fails its checks with its message;
+    * allow-empty: an empty bronze passes only when allowed, and then the checks
+      after it are skipped (passed, and named as skipped).
     """
+    def of(layer: str, value: Column) -> Column:
+        return F.max(F.when(F.col("layer") == layer, value))
+
+    names = ("events", "bronze", "silver", "dlq")
+    readable = F.coalesce(F.col("ok"), F.lit(False)) & (F.col("rows") >= 0)
     w = counts.groupBy().agg(
-        F.max(F.when(F.col("layer") == "bronze", F.col("rows"))).alias("bronze"),
-        F.max(F.when(F.col("layer") == "silver", F.col("rows"))).alias("silver"),
-        F.max(F.when(F.col("layer") == "dlq", F.col("rows"))).alias("dlq"),
-        F.max(F.when(F.col("layer") == "events", F.col("rows"))).alias("events"))
-    bronze, silver, dlq = F.col("bronze"), F.col("silver"), F.col("dlq")
-    # Source size: given, or the ``events`` layer of the counts (NULL when
-    # absent, which fails the completeness check visibly).
+        *[of(n, F.when(readable, F.col("rows"))).alias(n) for n in names],
+        *[of(n, F.when(~readable, F.coalesce("message", F.lit("no message")))).alias(f"{n}_error") for n in names])
+    # Source size: given, or the ``events`` layer of the counts.
     ev = F.lit(events) if isinstance(events, int) else events if events is not None else F.col("events")
-    empty_ok = F.lit(allow_empty)
-    checks = []
-    need = F.floor(ev.cast("double") * F.lit(BRONZE_COMPLETENESS)).cast("bigint")
-    checks.append(_check(
-        "bronze", "bronze_completeness",
-        F.when(bronze == 0, empty_ok).otherwise(bronze >= need),
-        F.when(bronze == 0, F.when(empty_ok, F.lit("empty (allowed)")).otherwise(F.lit("bronze is empty")))
-        .otherwise(F.format_string("bronze=%d, need >= %d", bronze, need))))
-    checks.append(_check(
-        "silver", "silver_min_rows",
-        F.when(silver == 0, empty_ok).otherwise(silver >= F.lit(min_silver_rows)),
-        F.when(silver == 0, F.when(empty_ok, F.lit("empty (allowed); later stages skipped"))
-               .otherwise(F.lit("silver is empty")))
-        .otherwise(F.format_string("silver=%d, need >= %d", silver, F.lit(min_silver_rows)))))
-    checks.append(_check(
-        "silver", "silver_not_above_bronze",
-        silver <= F.greatest(bronze, F.lit(1)),
-        F.when(silver <= F.greatest(bronze, F.lit(1)), F.format_string("silver=%d <= bronze=%d", silver, bronze))
-        .otherwise(F.format_string("impossible: silver=%d > bronze=%d", silver, bronze))))
-    checks.append(_check(
-        "dlq", "dlq_threshold", F.coalesce(dlq, F.lit(0)) <= F.lit(dlq_max),
-        F.format_string("dlq=%d, max %d", F.coalesce(dlq, F.lit(0)), F.lit(dlq_max))))
+    w = w.withColumn("need", F.floor(ev.cast("double") * F.lit(BRONZE_COMPLETENESS)).cast("bigint"))
+    bronze, silver, need = F.col("bronze"), F.col("silver"), F.col("need")
+    empty = F.lit(allow_empty) & F.coalesce(bronze == 0, F.lit(False))
+
+    def decide(stage: str, name: str, inputs: tuple[str, ...], passed: Column, message: Column, skip: bool = True) -> Column:
+        """The check, failed if an input is missing or could not be read."""
+        known, text = F.lit(True), message
+        for n in reversed(inputs):
+            known = known & F.col(n).isNotNull()
+            text = F.when(F.col(f"{n}_error").isNotNull(), F.concat(F.lit(f"{n} unreadable: "), F.col(f"{n}_error"))).when(
+                F.col(n).isNull(), F.lit(f"{n} unknown")).otherwise(text)
+        ok = F.coalesce(known & passed, F.lit(False))
+        if skip:
+            ok, text = empty | ok, F.when(empty, F.lit("skipped: bronze is empty (allowed)")).otherwise(text)
+        return _check(stage, name, ok, text)
+
+    impossible = silver > F.greatest(bronze, F.lit(1))
+    dead = F.coalesce("dlq", F.lit(0))
+    checks = [
+        decide("bronze", "bronze_completeness", ("bronze",),
+               F.when(bronze == 0, F.lit(allow_empty)).otherwise(F.coalesce(bronze >= need, F.lit(False))),
+               F.when(bronze == 0, F.lit("empty (allowed)" if allow_empty else "bronze is empty"))
+               .when(need.isNull(), F.lit("source size unknown"))
+               .otherwise(F.format_string("bronze=%d, need >= %d", bronze, need)), skip=False),
+        decide("silver", "silver_min_rows", ("silver",),
+               F.when(silver == 0, F.lit(allow_empty)).otherwise(silver >= F.lit(min_silver_rows)),
+               F.when(silver == 0, F.lit("empty (allowed)" if allow_empty else "silver is empty"))
+               .otherwise(F.format_string("silver=%d, need >= %d", silver, F.lit(min_silver_rows)))),
+        decide("silver", "silver_not_above_bronze", ("bronze", "silver"), ~impossible,
+               F.when(impossible, F.format_string("impossible: silver=%d > bronze=%d", silver, bronze))
+               .otherwise(F.format_string("silver=%d <= bronze=%d", silver, bronze))),
+        _check("dlq", "dlq_threshold", F.col("dlq_error").isNull() & (dead <= F.lit(dlq_max)),
+               F.when(F.col("dlq_error").isNotNull(), F.concat(F.lit("dlq unreadable: "), F.col("dlq_error")))
+               .otherwise(F.format_string("dlq=%d, max %d", dead, F.lit(dlq_max)))),
+    ]
     return w.select(F.inline(F.array(*checks)))
 
 
 def readiness(snapshots: DataFrame, min_rows: int, allow_empty: bool = False,
               table_col: str = "table", rows_col: str = "rows", ok_col: str = "ok") -> DataFrame:
-    """RC6 over polled count snapshots ``(table, rows, ok)``: ready when any
-    snapshot reached ``min_rows``; after the limit an empty table passes only
-    when empty is allowed, every read succeeded and it was always zero."""
+    """RC6 over polled count snapshots ``(table, rows, ok)``: ready when any good read reached
+    ``min_rows``, or, if empty is allowed, when there was a good read and all good ones
+    counted zero. Failed reads neither count nor block."""
+    good = F.when(F.col(ok_col), F.col(rows_col))
     return snapshots.groupBy(table_col).agg(
-        F.bool_or(F.col(rows_col) >= min_rows).alias("reached"),
-        F.bool_and(F.col(ok_col)).alias("all_reads_ok"),
-        (F.max(F.col(rows_col)) == 0).alias("always_zero"),
-    ).select(table_col, (F.col("reached") | (F.lit(allow_empty) & F.col("all_reads_ok")
+        F.coalesce(F.max(good) >= min_rows, F.lit(False)).alias("reached"),
+        (F.count(good) > 0).alias("any_read_ok"),
+        F.coalesce(F.max(good) == 0, F.lit(False)).alias("always_zero"),
+    ).select(table_col, (F.col("reached") | (F.lit(allow_empty) & F.col("any_read_ok")
                                              & F.col("always_zero"))).alias("ready"),
-             "reached", "all_reads_ok", "always_zero")
+             "reached", "any_read_ok", "always_zero")
 
 
 def row_accounting(df: DataFrame, filters: Sequence[str], keys: Sequence[str],
-                   expected_bronze: int | None = None, expected_silver: int | None = None) -> DataFrame:
+                   expected: Mapping[str, int] | None = None, source_rows: int | None = None) -> DataFrame:
     """RC7: bronze rows, rows passing all filters, distinct keys among those
     (= silver rows), and the derived filtered / de-duplicated counts.
 
-    One key-level aggregation (map-side combined, so a hot key ships one
-    partial row per task) followed by a one-row global aggregation.
+    ``expected`` gives counts by those names (``bronze_rows``, ``filtered_rows``, ...)
+    and adds ``<name>_as_expected``; ``source_rows`` adds ``produced_complete``, true if at
+    least 99 % of the source rows arrived. One key-level aggregation (map-side combined, so
+    a hot key ships one partial row per task) followed by a one-row global aggregation.
     """
     ok = filter_condition(filters)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count_if(ok).alias("_ok"))
-    out = per_key.agg(F.sum("_n").cast("bigint").alias("bronze_rows"),
-                      F.sum("_ok").cast("bigint").alias("passing_rows"),
+    out = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("bronze_rows"),
+                      F.coalesce(F.sum("_ok"), F.lit(0)).cast("bigint").alias("passing_rows"),
                       F.count_if(F.col("_ok") > 0).cast("bigint").alias("silver_rows"))
     out = out.select(
         "bronze_rows", "passing_rows", "silver_rows",
         (F.col("bronze_rows") - F.col("passing_rows")).alias("filtered_rows"),
         (F.col("passing_rows") - F.col("silver_rows")).alias("deduplicated_rows"))
-    if expected_bronze is not None:
-        out = out.withColumn("bronze_as_expected", F.col("bronze_rows") == expected_bronze)
-    if expected_silver is not None:
-        out = out.withColumn("silver_as_expected", F.col("silver_rows") == expected_silver)
+    for name, rows in (expected or {}).items():
+        out = out.withColumn(f"{name}_as_expected", F.col(name) == rows)
+    if source_rows is not None:
+        out = out.withColumn("produced_complete", F.col("bronze_rows") >= PRODUCED_COMPLETENESS * source_rows)
     return out
 
 
@@ -182,22 +199,27 @@ def metrics_trust(metrics: DataFrame, dataset: str, topic: str, data_path: str,
     """RC9: whether the newest run-metrics row may be used for count checks:
     produced within ``max_age_minutes`` of ``now`` and for the same dataset,
     topic and data path (a trailing ``Z`` on ``produced_at`` is accepted).
-    ``override`` trusts it regardless. Returns check rows."""
-    produced = F.to_timestamp(F.regexp_replace(F.col("produced_at"), "Z$", "+00:00"))
-    latest = (metrics.withColumn("_produced", produced)
-              .withColumn("_rn", F.row_number().over(Window.orderBy(F.col("_produced").desc_nulls_last())))
-              .filter(F.col("_rn") == 1))
+    ``override`` trusts it regardless. Always one check row: no metrics, or a time that cannot
+    be read, fail."""
+    produced = F.expr("try_to_timestamp(regexp_replace(produced_at, 'Z$', '+00:00'))")
+    newest = F.struct(produced.isNotNull().alias("known"), produced.alias("at"), F.col("run_id").alias("run"))
+    fields = F.struct(produced.alias("at"), "dataset", "topic", "data_path", "run_id", "produced_at")
+    # max_by: one row out of one aggregate, and one row (of NULLs) without any metrics
+    latest = metrics.agg(F.count(F.lit(1)).alias("n"), F.max_by(fields, newest).alias("m"))
+    m = F.col("m")
     now_c = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-    age_min = (F.unix_seconds(now_c) - F.unix_seconds(F.col("_produced"))) / 60.0
+    age_min = (F.unix_seconds(now_c) - F.unix_seconds(m["at"])) / 60.0
     fresh = age_min <= max_age_minutes
-    same = ((F.col("dataset") == dataset) & (F.col("topic") == topic) & (F.col("data_path") == data_path))
-    trusted = F.lit(override) | (fresh & same)
-    msg = (F.when(F.lit(override), F.lit("override: metrics trusted"))
+    same = ((m["dataset"] == dataset) & (m["topic"] == topic) & (m["data_path"] == data_path))
+    trusted = (F.col("n") > 0) & (F.lit(override) | (fresh & same))
+    msg = (F.when(F.col("n") == 0, F.lit("no run metrics"))
+           .when(F.lit(override), F.lit("override: metrics trusted"))
+           .when(m["at"].isNull(), F.concat(F.lit("unreadable produced_at: "), F.coalesce(m["produced_at"], F.lit("null"))))
            .when(~fresh, F.format_string("stale: produced %.1f min ago", age_min))
-           .when(~same, F.lit("mismatch: dataset/topic/path differ"))
+           .when(~F.coalesce(same, F.lit(False)), F.lit("mismatch: dataset/topic/path differ"))
            .otherwise(F.lit("fresh and matching")))
     return latest.select(F.inline(F.array(_check("metrics", "run_metrics_trust", F.coalesce(trusted, F.lit(False)),
-                                                 msg, F.col("run_id")))))
+                                                 msg, m["run_id"]))))
 
 
 # --------------------------------------------------------- validation report
@@ -207,18 +229,23 @@ STAGES = ("producer", "metrics", "bronze", "silver", "dlq", "marts", "tests")
 def validation_report(parts: Sequence[DataFrame]) -> DataFrame:
     """RC10: union of check rows ``(stage, name, passed, message, detail)``
     ordered by pipeline stage, plus an ``overall`` row that passes only if all
-    do."""
+    do; a check without an outcome counts as failed.
+
+    The overall row is made from the collected check rows, so the checks are evaluated once.
+    """
     allc = parts[0]
     for p in parts[1:]:
         allc = allc.unionByName(p)
     order = F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("stage"))
-    overall = allc.agg(F.coalesce(F.bool_and("passed"), F.lit(False)).alias("passed"),
-                       F.count_if(~F.col("passed")).alias("n_failed")).select(
-        F.lit("overall").alias("stage"), F.lit("all_checks").alias("name"), "passed",
-        F.format_string("%d failed", F.col("n_failed")).alias("message"),
-        F.lit(None).cast("string").alias("detail"))
-    return (allc.unionByName(overall)
-            .withColumn("stage_order", F.when(F.col("stage") == "overall", F.lit(99)).otherwise(order)))
+    each = F.struct("stage", "name", F.coalesce("passed", F.lit(False)).alias("passed"), "message", "detail",
+                    order.cast("bigint").alias("stage_order"))
+    rows = allc.agg(F.collect_list(each).alias("c"))  # a row per check, of which there are tens
+    failed = F.expr("size(filter(c, x -> NOT x.passed))")
+    overall = F.struct(F.lit("overall").alias("stage"), F.lit("all_checks").alias("name"),
+                       ((failed == 0) & (F.size("c") > 0)).alias("passed"),
+                       F.format_string("%d failed", failed).alias("message"), F.lit(None).cast("string").alias("detail"),
+                       F.lit(99).cast("bigint").alias("stage_order"))
+    return rows.select(F.inline(F.concat(F.col("c"), F.array(overall))))
 
 
 def checks_as_report(results: DataFrame, stage: str = "tests") -> DataFrame:

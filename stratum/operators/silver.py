@@ -9,7 +9,6 @@ partial ``WindowGroupLimit``), then per-row projections.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -35,18 +34,6 @@ def quality_filter(df: DataFrame, filters: Sequence[str | Column]) -> DataFrame:
     return df.filter(filter_condition(filters))
 
 
-def date_range(df: DataFrame, ts_col: str, start: str | _dt.date, end: str | _dt.date) -> DataFrame:
-    """Rows with ``start <= CAST(ts AS DATE) < end`` (FLT2), written as a
-    timestamp range so Parquet min/max statistics can skip row groups."""
-    start = _dt.date.fromisoformat(start) if isinstance(start, str) else start
-    end = _dt.date.fromisoformat(end) if isinstance(end, str) else end
-    lo = _dt.datetime.combine(start, _dt.time())
-    hi = _dt.datetime.combine(end, _dt.time())
-    ts = F.col(ts_col)
-    return df.filter((ts >= F.lit(lo).cast(T.TimestampNTZType()))
-                     & (ts < F.lit(hi).cast(T.TimestampNTZType())))
-
-
 # ------------------------------------------------------------------- de-dup
 def dedup_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = ("ingestion_ts",),
                  tiebreak: bool = True) -> DataFrame:

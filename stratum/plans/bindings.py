@@ -9,9 +9,12 @@ per-row projection or a join over the *whole* table; no rows are sampled.
   length in minutes and a few categorical fields; events of type ``error``
   reach the topic without a pickup time (the producer could not stamp them),
   which exercises the schema gate and the quality filters.
-* zones lookup  ← ``customer ⋈ nation ⋈ region``: a location per customer
-  with a non-negative balance (accounts in service); borough = region name,
-  zone = nation name, service zone = market segment.
+  Every 40th event starts at a location that no customer has, so that joins
+  and referential checks see rows without a parent.
+* topic         ← the encoded trips; of every 50 messages one is cut off in the
+  middle (no JSON document any more) and one lacks its dropoff time.
+* zones lookup  ← ``customer ⋈ nation ⋈ region``: a location per customer;
+  borough = region name, zone = nation name, service zone = market segment.
 * payment types ← distinct event types of ``events``.
 * rate codes    ← ``region``.
 * vendors       ← ``supplier``.
@@ -22,7 +25,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.sources.tables import spread
+from stratum.manifest import Manifest
+from stratum.operators.parsing import encode_events
+from stratum.sources.tables import scan
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -35,14 +40,8 @@ RUN_TS = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Fact-sized tables are spread over the cluster's cores
-    when the file is under-split (see ``sources.tables.spread``)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in SPREAD_TABLES else df
-
-
-# Tables whose per-row work (JSON, enrichment, de-dup) dominates a query.
-SPREAD_TABLES = ("events", "lineitem", "orders")
+    """A driver table."""
+    return scan(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _payment_code(event_type):
@@ -53,10 +52,10 @@ def _payment_code(event_type):
     return expr.cast("bigint")
 
 
-def trip_source(events: DataFrame) -> DataFrame:
-    """``events`` → rows with the raw trip columns of the taxi manifest."""
+def trip_source(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``events`` → rows with the raw trip columns of the taxi manifest, and the columns in ``keep``."""
     k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
-    pickup = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
+    pickup = F.col("ts").cast("timestamp_ntz")
     dropoff = F.timestamp_add("SECOND", k * 60 + F.col("event_id") % 60, pickup)
     value = F.col("value")
     return events.select(
@@ -67,7 +66,7 @@ def trip_source(events: DataFrame) -> DataFrame:
         (value / 10).alias("trip_distance"),
         (F.lit(1) + k % 6).alias("RatecodeID"),
         F.when(k % 2 == 0, F.lit("N")).otherwise(F.lit("Y")).alias("store_and_fwd_flag"),
-        F.col("user_id").cast("bigint").alias("PULocationID"),
+        F.when(F.col("event_id") % 40 == 3, -F.col("user_id")).otherwise(F.col("user_id")).cast("bigint").alias("PULocationID"),
         (F.col("user_id") + k).cast("bigint").alias("DOLocationID"),
         _payment_code(F.col("event_type")).alias("payment_type"),
         (value * 0.8).alias("fare_amount"),
@@ -79,7 +78,7 @@ def trip_source(events: DataFrame) -> DataFrame:
         value.alias("total_amount"),
         F.when(k % 2 == 0, F.lit(2.5)).otherwise(F.lit(0.0)).alias("congestion_surcharge"),
         F.when(k % 4 == 0, F.lit(1.25)).otherwise(F.lit(0.0)).alias("Airport_fee"),
-    )
+        *keep)
 
 
 def zones_lookup(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -90,12 +89,22 @@ def zones_lookup(customer: DataFrame, nation: DataFrame, region: DataFrame) -> D
     """
     geo = F.broadcast(nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
                       .select("n_nationkey", "n_name", "r_name"))
-    return (customer.filter(F.col("c_acctbal") >= 0)
+    return (customer
             .join(geo, customer.c_nationkey == geo.n_nationkey)
             .select(F.col("c_custkey").alias("LocationID"), F.col("r_name").alias("Borough"),
                     F.col("n_name").alias("Zone"), F.col("c_mktsegment").alias("service_zone")))
 
 
+def trip_topic(events: DataFrame, manifest: Manifest) -> DataFrame:
+    """The trips as messages, with the malformed and incomplete ones that a real topic has."""
+    messages = encode_events(trip_source(events, ("event_id",)), manifest, keep=("event_id",))
+    value = F.col("value")
+    cut = F.substring(value, F.lit(1), (F.length(value) / 2).cast("int"))
+    incomplete = F.regexp_replace(value, ',"tpep_dropoff_datetime":"[^"]*"', "")
+    return messages.select("key", F.when(F.col("event_id") % 50 == 0, cut)
+                           .when(F.col("event_id") % 50 == 1, incomplete).otherwise(value).alias("value"))
+
+
 def payment_lookup(events: DataFrame) -> DataFrame:
     return (events.select(_payment_code(F.col("event_type")).cast("int").alias("payment_type_id"),
                           F.col("event_type").alias("payment_type_name"))

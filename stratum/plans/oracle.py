@@ -12,13 +12,13 @@ SRC = """
 ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
 src AS (
   SELECT CAST(1 + user_id % 2 AS BIGINT) AS VendorID,
-         CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS tpep_pickup_datetime,
-         date_trunc('second', ts) + to_seconds(k * 60 + event_id % 60) AS tpep_dropoff_datetime,
+         CASE WHEN event_type <> 'error' THEN ts END AS tpep_pickup_datetime,
+         ts + to_seconds(k * 60 + event_id % 60) AS tpep_dropoff_datetime,
          k % 5 AS passenger_count,
          value / 10.0::DOUBLE AS trip_distance,
          1 + k % 6 AS RatecodeID,
          CASE WHEN k % 2 = 0 THEN 'N' ELSE 'Y' END AS store_and_fwd_flag,
-         CAST(user_id AS BIGINT) AS PULocationID,
+         CAST(CASE WHEN event_id % 40 = 3 THEN -user_id ELSE user_id END AS BIGINT) AS PULocationID,
          CAST(user_id + k AS BIGINT) AS DOLocationID,
          CAST(CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3
                               WHEN 'signup' THEN 4 WHEN 'error' THEN 5 END AS BIGINT) AS payment_type,
@@ -30,11 +30,14 @@ src AS (
          0.3::DOUBLE AS improvement_surcharge,
          value AS total_amount,
          CASE WHEN k % 2 = 0 THEN 2.5::DOUBLE ELSE 0.0::DOUBLE END AS congestion_surcharge,
-         CASE WHEN k % 4 = 0 THEN 1.25::DOUBLE ELSE 0.0::DOUBLE END AS Airport_fee
+         CASE WHEN k % 4 = 0 THEN 1.25::DOUBLE ELSE 0.0::DOUBLE END AS Airport_fee,
+         event_id
   FROM ev)"""
 
+# Of every 50 messages one is no document, and one has no dropoff time.
 BRONZE = SRC + f""",
-bronze AS (SELECT *, {RUN_TS} AS ingestion_ts FROM src)"""
+bronze AS (SELECT * EXCLUDE (event_id) REPLACE (CASE WHEN event_id % 50 <> 1 THEN tpep_dropoff_datetime END AS tpep_dropoff_datetime),
+                  {RUN_TS} AS ingestion_ts FROM src WHERE event_id % 50 <> 0)"""
 
 QUALITY = """tpep_pickup_datetime IS NOT NULL
     AND tpep_dropoff_datetime IS NOT NULL
@@ -50,14 +53,22 @@ OTHER = ("passenger_count", "trip_distance", "RatecodeID", "store_and_fwd_flag",
          "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
          "congestion_surcharge", "Airport_fee")
 
-TRIP_ID = """md5(concat_ws('|',
+
+
+def _exact(c: str) -> str:
+    """Whole part and fraction in multiples of 2^-62 of a double."""
+    return (f"coalesce(CAST(CAST(floor({c}) AS BIGINT) AS VARCHAR) || '.' || "
+            f"CAST(CAST(({c} - floor({c})) * 4611686018427387904::DOUBLE AS BIGINT) AS VARCHAR), '')")
+
+
+TRIP_ID = f"""md5(concat_ws('|',
       coalesce(CAST(VendorID AS VARCHAR), ''),
-      coalesce(strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S.%g'), ''),
-      coalesce(strftime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S.%g'), ''),
+      coalesce(strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S.%f'), ''),
+      coalesce(strftime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S.%f'), ''),
       coalesce(CAST(PULocationID AS VARCHAR), ''),
       coalesce(CAST(DOLocationID AS VARCHAR), ''),
-      coalesce(CAST(CAST(fare_amount AS DECIMAL(38,10)) AS VARCHAR), ''),
-      coalesce(CAST(CAST(total_amount AS DECIMAL(38,10)) AS VARCHAR), '')))"""
+      {_exact("fare_amount")},
+      {_exact("total_amount")}))"""
 
 SILVER_SELECT = f"""SELECT {TRIP_ID} AS trip_id,
          CAST(VendorID AS INT) AS vendor_id,
@@ -124,8 +135,7 @@ zones AS (
   SELECT CAST(c.c_custkey AS BIGINT) AS location_id, r.r_name AS borough, n.n_name AS zone_name,
          c.c_mktsegment AS service_zone
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-                  JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE c.c_acctbal >= 0)"""
+                  JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 FCT = METRICS + "," + ZONES + """,
 fct AS (
@@ -145,14 +155,14 @@ daily AS (
   SELECT pickup_date, pickup_day_of_week, is_weekend,
          count(*) AS total_trips,
          CAST(sum(passenger_count) AS BIGINT) AS total_passengers,
-         round(CAST(sum(CAST(trip_distance_miles AS DECIMAL(38,6))) AS DOUBLE) / count(trip_distance_miles), 2) AS avg_trip_distance,
+         round(CAST(sum(CAST(CAST(trip_distance_miles AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(trip_distance_miles), 2) AS avg_trip_distance,
          round(avg(trip_duration_minutes), 2) AS avg_trip_duration_min,
-         round(CAST(sum(CAST(avg_speed_mph AS DECIMAL(38,6))) AS DOUBLE) / count(avg_speed_mph), 2) AS avg_speed_mph,
+         round(CAST(sum(CAST(CAST(avg_speed_mph AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(avg_speed_mph), 2) AS avg_speed_mph,
          round(sum(fare_amount), 2) AS total_fare_revenue,
          round(sum(tip_amount), 2) AS total_tip_revenue,
          round(sum(total_amount), 2) AS total_revenue,
          round(avg(total_amount), 2) AS avg_trip_revenue,
-         round(CAST(sum(CAST(tip_percentage AS DECIMAL(38,6))) AS DOUBLE) / count(tip_percentage), 2) AS avg_tip_percentage,
+         round(CAST(sum(CAST(CAST(tip_percentage AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(tip_percentage), 2) AS avg_tip_percentage,
          count(CASE WHEN payment_type_id = 1 THEN 1 END) AS credit_card_trips,
          count(CASE WHEN payment_type_id = 2 THEN 1 END) AS cash_trips
   FROM tm GROUP BY pickup_date, pickup_day_of_week, is_weekend)"""
@@ -161,7 +171,7 @@ HOURLY = METRICS + """,
 hourly AS (
   SELECT pickup_date, pickup_hour, pickup_day_of_week, is_weekend,
          count(*) AS total_trips,
-         round(CAST(sum(CAST(trip_distance_miles AS DECIMAL(38,6))) AS DOUBLE) / count(trip_distance_miles), 2) AS avg_distance,
+         round(CAST(sum(CAST(CAST(trip_distance_miles AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(trip_distance_miles), 2) AS avg_distance,
          round(avg(trip_duration_minutes), 2) AS avg_duration_min,
          round(sum(total_amount), 2) AS total_revenue,
          round(avg(total_amount), 2) AS avg_revenue
@@ -194,26 +204,25 @@ def sql() -> dict[str, str]:
     q["mart_hourly_demand"] = w(HOURLY, """SELECT pickup_hour, is_weekend,
          count(*) AS days_observed,
          round(avg(total_trips), 0) AS avg_trips_per_period,
-         round(CAST(sum(CAST(avg_distance AS DECIMAL(38,6))) AS DOUBLE) / count(avg_distance), 2) AS avg_distance,
-         round(CAST(sum(CAST(avg_duration_min AS DECIMAL(38,6))) AS DOUBLE) / count(avg_duration_min), 2) AS avg_duration_min,
+         round(CAST(sum(CAST(CAST(avg_distance AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(avg_distance), 2) AS avg_distance,
+         round(CAST(sum(CAST(CAST(avg_duration_min AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(avg_duration_min), 2) AS avg_duration_min,
          round(avg(total_revenue), 2) AS avg_revenue_per_period,
          CAST(sum(total_trips) AS BIGINT) AS total_trips_all_days
   FROM hourly GROUP BY pickup_hour, is_weekend""")
     q["mart_location_performance"] = w(FCT, """SELECT pickup_location_id, pickup_borough, pickup_zone,
          count(*) AS total_pickups,
-         round(CAST(sum(CAST(trip_distance_miles AS DECIMAL(38,6))) AS DOUBLE) / count(trip_distance_miles), 2) AS avg_trip_distance,
+         round(CAST(sum(CAST(CAST(trip_distance_miles AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(trip_distance_miles), 2) AS avg_trip_distance,
          round(avg(trip_duration_minutes), 2) AS avg_trip_duration_min,
          round(sum(total_amount), 2) AS total_revenue,
          round(avg(total_amount), 2) AS avg_revenue_per_trip,
-         round(CAST(sum(CAST(tip_percentage AS DECIMAL(38,6))) AS DOUBLE) / count(tip_percentage), 2) AS avg_tip_pct,
+         round(CAST(sum(CAST(CAST(tip_percentage AS VARCHAR) AS DECIMAL(38,15))) AS DOUBLE) / count(tip_percentage), 2) AS avg_tip_pct,
          round(avg(passenger_count), 2) AS avg_passengers,
          mode() WITHIN GROUP (ORDER BY dropoff_zone) AS most_common_dropoff_zone,
          mode() WITHIN GROUP (ORDER BY pickup_hour) AS peak_pickup_hour
   FROM fct WHERE pickup_zone IS NOT NULL
   GROUP BY pickup_location_id, pickup_borough, pickup_zone""")
     bounds = """,
-bounds AS (SELECT date_trunc('month', min(pickup_date)) AS start_d,
-                  date_trunc('month', max(pickup_date)) + INTERVAL 1 MONTH AS end_d FROM tm),"""
+bounds AS (SELECT TIMESTAMP '2024-01-01' AS start_d, TIMESTAMP '2024-02-01' AS end_d),"""
     q["dim_dates"] = w(METRICS + bounds + DATES_FROM_BOUNDS, "SELECT * FROM dates")
     q["mart_daily_revenue"] = w(DAILY + bounds + DATES_FROM_BOUNDS, """SELECT d.date_key, d.day_of_week_name,
          d.is_weekend, d.is_holiday, d.week_of_year,
@@ -226,6 +235,11 @@ bounds AS (SELECT date_trunc('month', min(pickup_date)) AS start_d,
   FROM daily JOIN dates d ON daily.pickup_date = d.date_key""")
     q["dim_locations"] = w(ZONES, "SELECT * FROM zones")
     q.update(extra_sql())
+    q["mart_location_ranked"] = q["mart_location_performance"]
+    contracts = ("fct_trips", "dim_dates", "dim_locations", "mart_daily_revenue", "mart_hourly_demand", "mart_location_performance")
+    q["contract_check"] = "\nUNION ALL\n".join(
+        f"""SELECT '{name}' AS model, 'contract' AS "check", CAST(NULL AS VARCHAR) AS "column", CAST(0 AS BIGINT) AS failures,
+       'error' AS severity, 'pass' AS status, true AS passed, (SELECT count(*) FROM ({q[name]})) AS rows""" for name in contracts)
     return q
 
 
@@ -275,7 +289,7 @@ layers AS (
   SELECT 'events' AS layer, count(*) AS n FROM events
   UNION ALL SELECT 'bronze', count(*) FROM bronze
   UNION ALL SELECT 'silver', count(*) FROM silver
-  UNION ALL SELECT 'dlq', 0)"""
+  UNION ALL SELECT 'dlq', count(*) FILTER (WHERE event_id % 50 = 0) FROM events)"""
 
 
 def extra_sql() -> dict[str, str]:
@@ -283,7 +297,7 @@ def extra_sql() -> dict[str, str]:
     li_key = "l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey"
     q["scan_parquet"] = "SELECT * FROM lineitem"
     q["row_cap"] = f"SELECT * FROM lineitem ORDER BY {li_key} LIMIT 1000"
-    iso = "strftime({c}, '%Y-%m-%dT%H:%M:%S')"
+    iso = "CASE WHEN epoch_us({c}) % 1000000 = 0 THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') END"
     payload = ", ".join(
         f"{c} := {iso.format(c=c) if c in ('tpep_pickup_datetime', 'tpep_dropoff_datetime') else c}"
         for c in KEY[:1] + ("tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count",
@@ -291,16 +305,42 @@ def extra_sql() -> dict[str, str]:
                             "DOLocationID", "payment_type", "fare_amount", "extra", "mta_tax",
                             "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount",
                             "congestion_surcharge", "Airport_fee"))
-    q["encode_events"] = w(SRC, f"""SELECT coalesce(CAST(PULocationID AS VARCHAR), '') AS key,
-       CAST(to_json(struct_pack({payload})) AS VARCHAR) AS value FROM src""")
+    full = SRC + f""",
+doc AS (SELECT *, CAST(to_json(struct_pack({payload})) AS VARCHAR) AS json FROM src),
+topic AS (SELECT coalesce(CAST(PULocationID AS VARCHAR), '') AS key,
+                 CASE WHEN event_id % 50 = 0 THEN left(json, length(json) // 2)
+                      WHEN event_id % 50 = 1 THEN regexp_replace(json, ',"tpep_dropoff_datetime":"[^"]*"', '') ELSE json END AS value,
+                 CASE WHEN event_id % 50 = 0 THEN 'not a JSON object'
+                      WHEN tpep_pickup_datetime IS NULL THEN 'tpep_pickup_datetime: null is not of type \'\'string\'\''
+                      WHEN event_id % 50 = 1 THEN '\'\'tpep_dropoff_datetime\'\' is a required property' END AS error, * EXCLUDE (json) FROM doc)"""
+    q["encode_events"] = w(full, "SELECT key, value FROM topic")
     q["bronze_parse"] = w(BRONZE, "SELECT * FROM bronze")
-    q["schema_gate_valid"] = w(SRC, """SELECT coalesce(CAST(PULocationID AS VARCHAR), '') AS key,
-       strftime(tpep_pickup_datetime, '%Y-%m-%dT%H:%M:%S') AS tpep_pickup_datetime, total_amount
-  FROM src WHERE tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL""")
-    q["schema_gate_rejected"] = w(SRC, """SELECT coalesce(CAST(PULocationID AS VARCHAR), '') AS key,
-       CASE WHEN tpep_pickup_datetime IS NULL THEN 'tpep_pickup_datetime: null is not of type ''string'''
-            ELSE 'tpep_dropoff_datetime: null is not of type ''string''' END AS error
-  FROM src WHERE tpep_pickup_datetime IS NULL OR tpep_dropoff_datetime IS NULL""")
+    q["schema_gate_valid"] = w(full, f"""SELECT key, {iso.format(c='tpep_pickup_datetime')} AS tpep_pickup_datetime, total_amount
+  FROM topic WHERE error IS NULL""")
+    q["schema_gate_rejected"] = w(full, "SELECT key, error FROM topic WHERE error IS NOT NULL")
+    q["bronze_rejects"] = w(full, "SELECT 'malformed JSON document' AS error, value AS payload FROM topic WHERE event_id % 50 = 0")
+    q["dlq_envelope"] = w(full, f"""SELECT error, error AS error_sent, '2024-02-01T00:00:00' AS rejected_at,
+       CASE WHEN event_id % 50 <> 0 THEN PULocationID END AS location,
+       CASE WHEN event_id % 50 > 1 THEN {iso.format(c='tpep_dropoff_datetime')} END AS dropoff
+  FROM topic WHERE error IS NOT NULL""")
+    q["readiness"] = """WITH polls AS (
+  SELECT event_type AS "table", count(*) FILTER (WHERE value > 250) AS n, max(event_id) % 7 <> 0 AS ok
+  FROM events GROUP BY event_type, CAST(ts AS DATE)),
+t AS (SELECT "table", max(n) FILTER (WHERE ok) AS top, count(*) FILTER (WHERE ok) AS good FROM polls GROUP BY "table"),
+f AS (SELECT "table", coalesce(top >= 5, false) AS reached, good > 0 AS any_read_ok, coalesce(top = 0, false) AS always_zero FROM t)
+SELECT "table", reached OR (any_read_ok AND always_zero) AS ready, reached, any_read_ok, always_zero FROM f"""
+    q["metrics_trust"] = """WITH runs AS (
+  SELECT lpad(CAST(user_id AS VARCHAR), 12, '0') AS run_id, CASE WHEN user_id % 3 <> 0 THEN date_trunc('second', max(ts)) END AS made
+  FROM events GROUP BY user_id),
+newest AS (SELECT * FROM runs ORDER BY made DESC NULLS LAST, run_id DESC LIMIT 1),
+aged AS (SELECT *, (epoch(TIMESTAMP '2024-02-01 12:00:00') - epoch(made)) / 60.0::DOUBLE AS age FROM newest),
+cases AS (SELECT *, 'same' AS "case", true AS same FROM aged UNION ALL SELECT *, 'other dataset', false FROM aged)
+SELECT 'metrics' AS stage, 'run_metrics_trust' AS name, coalesce(age <= 1440 AND same, false) AS passed,
+       CASE WHEN made IS NULL THEN 'unreadable produced_at: yesterday'
+            WHEN age > 1440 THEN printf('stale: produced %.1f min ago', age)
+            WHEN NOT same THEN 'mismatch: dataset/topic/path differ' ELSE 'fresh and matching' END AS message,
+       run_id AS detail, "case" FROM cases
+UNION ALL SELECT 'metrics', 'run_metrics_trust', false, 'no run metrics', CAST(NULL AS VARCHAR), 'no metrics'"""
     q["surrogate_key"] = w(BRONZE, f"SELECT {TRIP_ID} AS trip_id, {', '.join(KEY)} FROM bronze")
     q["quality_filter"] = w(BRONZE, f"SELECT * FROM bronze WHERE {QUALITY}")
     q["silver_project"] = w(BRONZE, f"{SILVER_SELECT} FROM bronze")
@@ -321,6 +361,7 @@ def extra_sql() -> dict[str, str]:
     q["derived_range_checks"] = w(SILVER, "\nUNION ALL\n".join(
         _res("silver", "accepted_range", c, f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({cond}))",
              "warn", "silver") for c, cond in rng))
+    q["mart_stub"] = w(SILVER, "SELECT * FROM silver WHERE pickup_datetime IS NOT NULL")
     q["stg_generic"] = w(SILVER, "SELECT * FROM silver WHERE pickup_datetime IS NOT NULL")
     pay_case = ("CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3 "
                 "WHEN 'signup' THEN 4 WHEN 'error' THEN 5 END")
@@ -399,7 +440,7 @@ layers AS (
   SELECT 'events' AS layer, count(*) AS n FROM events
   UNION ALL SELECT 'bronze', count(*) FROM bronze
   UNION ALL SELECT 'silver', count(*) FROM silver
-  UNION ALL SELECT 'dlq', 0),
+  UNION ALL SELECT 'dlq', count(*) FILTER (WHERE event_id % 50 = 0) FROM events),
 lw AS (SELECT max(n) FILTER (WHERE layer = 'bronze') AS bronze, max(n) FILTER (WHERE layer = 'silver') AS silver,
               max(n) FILTER (WHERE layer = 'dlq') AS dlq, max(n) FILTER (WHERE layer = 'events') AS events FROM layers),
 need AS (SELECT *, CAST(floor(CAST(events AS DOUBLE) * 0.95::DOUBLE) AS BIGINT) AS need FROM lw),

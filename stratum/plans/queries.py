@@ -26,6 +26,7 @@ LINEITEM_FILTERS = ("l_quantity > 0", "l_discount <= 0.08", "l_shipdate >= DATE
 ORDERS_SPLIT = ("1999-01-01", "1998-01-01")  # target: before the first; batch: from the second on
 FRESHNESS_NOW = "2024-02-01 12:00:00"
 ROW_CAP = 1000
+READY_ROWS = 5
 
 
 @cache
@@ -198,23 +199,10 @@ def incremental_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------- checks
-def _fct_checks() -> list[ck.Check]:
-    return [
-        ck.not_null("trip_id"),
-        ck.unique("trip_id"),
-        ck.accepted_values("payment_type_id", [1, 2, 3, 4, 5, 6], severity="warn"),
-        ck.accepted_range("trip_duration_minutes", 1, 720),
-        ck.positive_value("fare_amount"),
-        ck.expression("fare_not_exceeds_total", "total_amount > 0 AND fare_amount > total_amount + 0.01"),
-        ck.expression("trip_duration_positive", "trip_duration_minutes < 0"),
-        ck.not_null("pickup_zone", severity="warn"),
-    ]
-
-
 @register("run_checks")
 def run_checks(spark: SparkSession, d: str) -> DataFrame:
     """DT1–DT7, DT9: the fact table's tests (row-level ones in one pass)."""
-    return ck.run_checks(TripPlan(spark, d).fct_trips, _fct_checks(), "fct_trips")
+    return ck.run_checks(TripPlan(spark, d).fct_trips, ck.fact_checks(), "fct_trips")
 
 
 @register("unique_check")
@@ -274,16 +262,29 @@ def freshness(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ reconciliation
-def _layers(spark: SparkSession, d: str) -> DataFrame:
-    p = TripPlan(spark, d)
-    return reconcile.layer_counts(spark, {"events": p.table("events"), "bronze": p.bronze,
-                                          "silver": p.silver, "dlq": p.parsed.rejects})
+def _layers(p: TripPlan) -> DataFrame:
+    """RC1 of one run, from one read of the events: every message is parsed once, and its Bronze row is
+    grouped by the de-dup key. A group counts its Bronze rows, and one Silver row if any
+    of them passes the filters; the dead letters are groups of their own."""
+    routed = parsing.parse_routed(p.topic, p.manifest, ingestion_ts=p.run_ts)
+    rows = routed.select("rejected", "row.*")
+    good = silver.filter_condition(p.manifest.quality_filters)
+    groups = rows.groupBy("rejected", *p.manifest.dedup_key).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_or(good), F.lit(False)).alias("passes"))
+    totals = groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("events"),
+        F.coalesce(F.sum(F.when(~F.col("rejected"), F.col("n"))), F.lit(0)).alias("bronze"),
+        F.count_if(~F.col("rejected") & F.col("passes")).alias("silver"),
+        F.coalesce(F.sum(F.when(F.col("rejected"), F.col("n"))), F.lit(0)).alias("dlq"))
+    layers = [F.struct(F.lit(n).alias("layer"), F.col(n).cast("bigint").alias("rows"), F.lit(True).alias("ok"),
+                       F.lit(None).cast("string").alias("message")) for n in ("events", "bronze", "silver", "dlq")]
+    return totals.select(F.inline(F.array(*layers)))
 
 
 @register("layer_counts")
 def layer_counts(spark: SparkSession, d: str) -> DataFrame:
     """RC1: rows per layer of one pipeline run."""
-    return _layers(spark, d)
+    return _layers(TripPlan(spark, d))
 
 
 @register("row_accounting")
@@ -295,6 +296,82 @@ def row_accounting(spark: SparkSession, d: str) -> DataFrame:
 @register("validation_report")
 def validation_report(spark: SparkSession, d: str) -> DataFrame:
     """RC2–RC5, RC10: layer decisions and fact tests, in stage order."""
-    decisions = reconcile.layer_decisions(_layers(spark, d), min_silver_rows=1, dlq_max=0)
-    tests = reconcile.checks_as_report(ck.run_checks(TripPlan(spark, d).fct_trips, _fct_checks(), "fct_trips"))
+    p = TripPlan(spark, d)
+    decisions = reconcile.layer_decisions(_layers(p), min_silver_rows=1, dlq_max=0)
+    tests = reconcile.checks_as_report(ck.run_checks(p.fct_trips, ck.fact_checks(), "fct_trips"))
     return reconcile.validation_report([decisions, tests])
+
+
+@register("bronze_rejects")
+def bronze_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ1: messages that are no JSON document."""
+    return TripPlan(spark, d).parsed.rejects.select("error", "payload")
+
+
+@register("dlq_envelope")
+def dlq_envelope(spark: SparkSession, d: str) -> DataFrame:
+    """QG2: envelopes of the messages that fail the payload schema, opened again."""
+    p = TripPlan(spark, d)
+    _, rejected = parsing.split_by_schema(p.topic, trip_json_schema())
+    sent = parsing.dlq_envelope(rejected, at=p.run_ts)
+    value = F.col("value")
+    return sent.select("error", F.get_json_object(value, "$.error").alias("error_sent"),
+                       F.get_json_object(value, "$.timestamp").alias("rejected_at"),
+                       F.get_json_object(value, "$.row.PULocationID").cast("bigint").alias("location"),
+                       F.get_json_object(value, "$.row.tpep_dropoff_datetime").alias("dropoff"))
+
+
+@register("readiness")
+def readiness(spark: SparkSession, d: str) -> DataFrame:
+    """RC6 over polls of event counts: a poll per event type and day, some of them failed."""
+    polls = table(spark, d, "events").groupBy("event_type", F.to_date("ts").alias("h")).agg(
+        F.count_if(F.col("value") > 250).alias("rows"), (F.max("event_id") % 7 != 0).alias("ok"))
+    polls = polls.select(F.col("event_type").alias("table"), "rows", "ok")
+    return reconcile.readiness(polls, READY_ROWS, allow_empty=True)
+
+
+@register("metrics_trust")
+def metrics_trust(spark: SparkSession, d: str) -> DataFrame:
+    """RC9 over run metrics made of the events: a run per user, some with a time that cannot be read."""
+    import datetime as _dt
+
+    runs = table(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.max("ts").alias("at"))
+    metrics = runs.select(
+        "events", F.lit("taxi").alias("dataset"), F.lit("taxi.trips").alias("topic"), F.lit("/data").alias("data_path"),
+        F.lpad(F.col("user_id").cast("string"), 12, "0").alias("run_id"),
+        F.when(F.col("user_id") % 3 == 0, F.lit("yesterday")).otherwise(
+            F.concat(F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))).alias("produced_at"))
+    now = _dt.datetime.fromisoformat(FRESHNESS_NOW)
+    cases = {"same": (metrics, "taxi"), "other dataset": (metrics, "orders"), "no metrics": (metrics.filter(F.col("events") < 0), "taxi")}
+    out = None
+    for case, (frame, dataset) in cases.items():
+        part = reconcile.metrics_trust(frame, dataset, "taxi.trips", "/data", now=now, max_age_minutes=24 * 60).withColumn("case", F.lit(case))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("contract_check")
+def contract_check(spark: SparkSession, d: str) -> DataFrame:
+    """DT8: the declared contracts of all marts, with the marts' row counts."""
+    p = TripPlan(spark, d)
+    out = None
+    for name, ddl in models.CONTRACTS.items():
+        frame = getattr(p, name)
+        result = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in
+                  zip(ck.RESULT_SCHEMA.fields, ck.contract_result(frame, ddl, name), strict=True)]
+        part = frame.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(*result, "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("mart_stub")
+def mart_stub(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ11: the stub mart of a dataset, a view over its generic staging model."""
+    p = TripPlan(spark, d)
+    return models.mart_stub(models.stg_generic(p.silver, p.manifest), p.manifest)
+
+
+@register("mart_location_ranked")
+def mart_location_ranked(spark: SparkSession, d: str) -> DataFrame:
+    """SO1: the location mart as it is presented, by revenue."""
+    return models.presented("mart_location_performance", TripPlan(spark, d).mart_location_performance)

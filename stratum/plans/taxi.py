@@ -35,7 +35,7 @@ class TripPlan:
 
     @cached_property
     def topic(self) -> DataFrame:
-        return parsing.encode_events(self.source, self.manifest)
+        return b.trip_topic(self.table("events"), self.manifest)
 
     @cached_property
     def parsed(self) -> parsing.Parsed:
@@ -93,7 +93,8 @@ class TripPlan:
 
     @cached_property
     def dim_dates(self) -> DataFrame:
-        return models.dim_dates_covering(self.trip_metrics, "pickup_date")
+        """The calendar of the date range that the manifest admits, which is not derived from the fact."""
+        return models.dim_dates(self.spark)
 
     @cached_property
     def mart_daily_revenue(self) -> DataFrame:

@@ -8,8 +8,6 @@ bench on one machine.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the results depend on (timestamps in the test tables are naive and
@@ -26,12 +24,7 @@ PLAN_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
-    # Constraint inference re-derives every filter through every projection;
-    # with JSON parsing inlined into the quality predicates it dominates
-    # planning time and buys nothing here (no joins on filtered keys).
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -43,8 +36,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "stratum") -> SparkSession:
-    """A single-JVM session for tests and the local bench."""
+                  app: str = "stratum", conf: dict[str, str] | None = None) -> SparkSession:
+    """A single-JVM session for tests and the local bench; ``conf`` adds settings."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -54,27 +47,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in {**SEMANTIC_CONF, **PLAN_CONF}.items():
+    for key, value in {**SEMANTIC_CONF, **PLAN_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
 
-def checkpoint_dir(spark: SparkSession, *, allow_local_default: bool = False) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must be set by whoever launches the job (a folder every
-    executor can reach). Only tests and local runs may fall back to a fresh
-    temporary folder, and only when nothing is configured.
-    """
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``, which whoever launches the job sets
+    to a folder every executor can reach."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not allow_local_default:
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; set it to a shared folder "
-                "(checkpoints and staging tables are written there)")
-        configured = tempfile.mkdtemp(prefix="stratum-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set; set it to a shared folder "
+            "(checkpoints and staging tables are written there)")
     spark.sparkContext.setCheckpointDir(configured)
     return configured

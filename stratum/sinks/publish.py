@@ -1,28 +1,38 @@
-"""Publishing events (SNK3): rows → messages on a topic.
+"""Publishing events (SNK3): rows → messages on a topic, rejected ones on its dead-letter topic.
 
-Messages with the same key land in the same topic partition (key affinity),
-so per-key order is kept; without a key they are spread evenly.
+One pass: the schema gate gives every message a route, and one write puts the routes
+into their folders. Messages with the same key share a topic partition (key affinity),
+so per-key order is kept, unless the key is empty or NULL: those are spread by a hash of
+the message, as is everything on the dead-letter topic.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.manifest import Manifest
-from stratum.operators.parsing import dlq_envelope, encode_events
+from stratum.operators.parsing import dlq_envelope, encode_events, schema_gate
 
 TOPIC_PARTITIONS = 3
-DLQ_PARTITIONS = 1
+VALID, REJECTED = "valid", "rejected"
 
 
-def write_file_topic(messages: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS) -> None:
-    """Append ``(key, value)`` messages to a file topic: one JSON document per
-    line, hash-partitioned on the key (round-robin when keys are NULL)."""
-    # NULL keys are spread by a hash of the message (deterministic, so a
-    # retried task routes every row exactly as before).
-    route = F.coalesce(F.col("key"), F.xxhash64("value").cast("string"))
-    messages.repartition(partitions, route).select("value").write.mode("append").text(path)
+def route_of(key: str = "key", value: str = "value") -> Column:
+    """What decides a message's topic partition: its key, or the message if it has none.
+    Deterministic, so a retried task routes every row as before."""
+    return F.when(F.col(key).isNull() | (F.col(key) == ""), F.xxhash64(value)).otherwise(F.xxhash64(key))
+
+
+def write_file_topic(messages: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Append ``(key, value)`` messages to a file topic.
+
+    ``partitions`` is the topic's partition count; by default the session's shuffle partitions,
+    which a cluster sizes to its data.
+    """
+    route = route_of()
+    dealt = messages.repartition(partitions, route) if partitions else messages.repartition(route)
+    dealt.select("key", "value").write.mode("append").json(path)
 
 
 def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
@@ -31,18 +41,32 @@ def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
      .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
 
 
+def dlq_path_of(topic_path: str) -> str:
+    return f"{topic_path.rstrip('/')}.dlq"
+
+
 def publish(rows: DataFrame, manifest: Manifest, topic_path: str, dlq_path: str | None = None,
-            json_schema: dict | None = None) -> None:
-    """Encode rows as events and publish them; with a JSON Schema, rejected
-    messages go to the dead-letter topic as envelopes instead."""
+            json_schema: dict | None = None, partitions: int | None = TOPIC_PARTITIONS, at=None) -> None:
+    """Encode rows as events and publish them; with a JSON Schema, rejected messages go to the
+    dead-letter topic (by default ``<topic>.dlq``) as envelopes instead.
+
+    The rows are read and encoded once: valid and rejected messages are staged side by side, split by
+    route, and each topic is appended from its own folder of the stage.
+    """
     messages = encode_events(rows, manifest)
     if json_schema is None:
-        write_file_topic(messages, topic_path)
+        write_file_topic(messages, topic_path, partitions)
         return
-    from stratum.operators.parsing import split_by_schema
+    from stratum.sinks.tables import remove, staging_path
 
-    valid, rejected = split_by_schema(messages, json_schema)
-    write_file_topic(valid, topic_path)
-    if dlq_path:
-        env = dlq_envelope(rejected).select(F.lit(None).cast("string").alias("key"), "value")
-        write_file_topic(env, dlq_path, DLQ_PARTITIONS)
+    spark = rows.sparkSession
+    stage = staging_path(spark, "publish")
+    gated = schema_gate(messages, json_schema).withColumn(
+        "route", F.when(F.col("error").isNull(), VALID).otherwise(REJECTED))
+    gated.write.partitionBy("route").parquet(stage)
+    staged = spark.read.schema("key STRING, value STRING, error STRING, route STRING").parquet(stage)
+    write_file_topic(staged.filter(F.col("route") == VALID), topic_path, partitions)
+    rejected = staged.filter(F.col("route") == REJECTED)
+    envelopes = dlq_envelope(rejected, at=at).select(F.lit(None).cast("string").alias("key"), "value")
+    write_file_topic(envelopes, dlq_path or dlq_path_of(topic_path))
+    remove(spark, stage)

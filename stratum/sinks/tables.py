@@ -59,9 +59,14 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, mode: str =
      .mode(mode).partitionBy(partition_col).parquet(path))
 
 
-def write_silver(df: DataFrame, manifest: Manifest, warehouse: str) -> str:
+def write_silver(df: DataFrame, manifest: Manifest, warehouse: str, full: bool = False) -> str:
+    """Silver: the partitions computed replace theirs; ``full`` replaces the whole table, so that dates
+    without rows any more go."""
     path = layer_path(warehouse, manifest.silver_table)
-    write_partitioned(df, path, manifest.partition_date_col)
+    if full:
+        full_refresh(df.hint("rebalance", manifest.partition_date_col), path, manifest.partition_date_col)
+    else:
+        write_partitioned(df, path, manifest.partition_date_col)
     return path
 
 
@@ -101,13 +106,19 @@ def merge_by_key(target: DataFrame, batch: DataFrame, key: str | Sequence[str])
 
 
 def upsert_by_key(spark: SparkSession, path: str, batch: DataFrame, key: str | Sequence[str],
-                  partition_col: str) -> None:
+                  partition_col: str, moves: bool = False) -> None:
     """UP1 on a partitioned Parquet table.
 
-    Only partitions that receive batch rows are rewritten. Relies on a key
-    never moving between partitions (true when the key hashes the column the
-    partition date derives from). The merged partitions are staged under
-    ``spark.checkpoint.dir`` and then swapped in with a dynamic overwrite.
+    The batch is evaluated once, into a stage; its distinct partition values (a bounded set of
+    dates) become literals, so the scan of the target prunes to those partitions, and only they
+    are rewritten. ``moves`` says that a key's rows may lie in another partition than the batch
+    has them in: then the target's partitions that hold batch keys are rewritten too, found by
+    a semi join on the keys over all of the target.
+
+    The merged partitions are staged under ``spark.checkpoint.dir``, then swapped in by a dynamic
+    overwrite. That replaces files partition by partition when the job commits: a reader that
+    lists the table during the commit can see some partitions old and some new, and retries or
+    reads before and after it see one state. Stages are removed at the end.
     """
     if not _exists(spark, path):
         write_partitioned(batch, path, partition_col)
@@ -116,24 +127,44 @@ def upsert_by_key(spark: SparkSession, path: str, batch: DataFrame, key: str | S
     diff = schema_mismatch(batch, target)
     if diff:
         raise ValueError(f"schema change in incremental write: {diff}")
-    touched = batch.select(partition_col).distinct()
-    # Partition pruning: only the touched partitions of the target are read.
-    affected = target.join(F.broadcast(touched) if _small(touched) else touched, partition_col, "left_semi")
-    merged = merge_by_key(affected, batch, key)
-    stage = staging_path(spark, "upsert")
-    write_partitioned(merged, stage, partition_col)
-    write_partitioned(spark.read.parquet(stage), path, partition_col, rebalance=False)
-
-
-def _small(df: DataFrame, max_rows: int = 100_000) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    batch_stage, merged_stage = staging_path(spark, "batch"), staging_path(spark, "upsert")
+    batch.write.parquet(batch_stage)
+    staged = spark.read.schema(batch.schema).parquet(batch_stage)
+    touched = partition_values(staged, partition_col)
+    if moves:
+        keys = [key] if isinstance(key, str) else list(key)
+        found = target.join(staged.select(*keys).distinct(), keys, "left_semi")
+        touched = sorted({*touched, *partition_values(found, partition_col)})
+    if touched:
+        affected = target.filter(F.col(partition_col).isin(touched))
+        write_partitioned(merge_by_key(affected, staged, key), merged_stage, partition_col)
+        merged = spark.read.schema(target.schema).parquet(merged_stage)
+        # partitions that the merge left empty are rewritten as empty ones
+        write_partitioned(merged, path, partition_col, rebalance=False)
+        left = set(partition_values(merged, partition_col))
+        for gone in (v for v in touched if v not in left):
+            remove(spark, f"{path.rstrip('/')}/{partition_col}={gone}")
+    remove(spark, batch_stage, merged_stage)
+
+
+def partition_values(df: DataFrame, partition_col: str) -> list:
+    """Distinct values of a partition column, as literals for pruning: one row per partition."""
+    return sorted(r[0] for r in df.select(partition_col).distinct().collect() if r[0] is not None)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete staging folders, on whatever file system they are."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def incremental_rows(incoming: DataFrame, target: DataFrame | None, ts_col: str,
-                     lookback: str | None = None) -> DataFrame:
+                     lookback: str | None = None, date_col: str | None = None) -> DataFrame:
     """UP2: rows strictly later than the newest ``ts_col`` of the target
     (minus an optional look-back interval such as ``"2 hours"``); all rows
-    when the target does not exist yet."""
+    when the target does not exist yet. ``date_col``, the date of ``ts_col`` by which
+    the incoming table is partitioned, adds a predicate that prunes its partitions."""
     if target is None:
         return incoming
     hwm = target.agg(F.max(ts_col)).first()[0]
@@ -142,7 +173,12 @@ def incremental_rows(incoming: DataFrame, target: DataFrame | None, ts_col: str,
     bound = F.lit(hwm)
     if lookback:
         bound = bound - F.expr(f"INTERVAL {lookback}")
-    return incoming.filter(F.col(ts_col) > bound)
+    later = incoming.filter(F.col(ts_col) > bound)
+    if date_col:
+        # the bound is evaluated here, so that the date predicate is a literal
+        first = incoming.sparkSession.range(1).select(F.to_date(bound)).first()[0]
+        later = later.filter(F.col(date_col) >= F.lit(first))
+    return later
 
 
 # --------------------------------------------------------------- compaction
@@ -168,8 +204,7 @@ def compact(spark: SparkSession, path: str, partition_col: str,
     n_total, n_parts = summary.agg(F.sum("_n_out"), F.count(F.lit(1))).first()
     if not n_total:
         return 0
-    rows = spark.read.parquet(path).join(
-        F.broadcast(summary.select(partition_col, "_n_out")), partition_col, "inner")
+    rows = spark.read.parquet(path).join(summary.select(partition_col, "_n_out"), partition_col, "inner")
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("_n_out"))
     out = (rows.withColumn("_bucket", bucket)
            .repartition(int(n_total), F.col(partition_col), F.col("_bucket"))
@@ -177,4 +212,5 @@ def compact(spark: SparkSession, path: str, partition_col: str,
     stage = staging_path(spark, "compact")
     out.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
     write_partitioned(spark.read.parquet(stage), path, partition_col, rebalance=False)
+    remove(spark, stage)
     return int(n_parts)

@@ -2,8 +2,9 @@
 
 Two transports share one shape, ``(key STRING, value STRING)``:
 
-* a *file topic*: a directory of JSON-lines text files (one message per
-  line) — what the tests and local runs use;
+* a *file topic*: a directory of JSON lines, one ``{"key": .., "value": ..}``
+  per message, the value as text (so that a malformed one stays as it is) —
+  what the tests and local runs use;
 * Kafka: ``format("kafka")`` with ``earliest`` → ``latest`` offsets for a
   bounded read, or from ``earliest`` without an end for a stream (progress
   lives in the streaming checkpoint, not in a consumer group). The Kafka
@@ -17,17 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MESSAGE = "key STRING, value STRING"
+
+
 def read_file_topic(spark: SparkSession, path: str) -> DataFrame:
-    """Bounded read of a file topic: every message present now."""
-    return spark.read.text(path).select(F.lit(None).cast("string").alias("key"), F.col("value"))
+    """Bounded read of a file topic: every message present now, with its key."""
+    return spark.read.schema(MESSAGE).json(path)
 
 
 def stream_file_topic(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Unbounded read of a file topic; new files are picked up as they land."""
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.schema(MESSAGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path).select(F.lit(None).cast("string").alias("key"), F.col("value"))
+    return reader.json(path)
 
 
 def _kafka(reader, servers: str, topic: str, bounded: bool):

@@ -18,22 +18,6 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
     return reader.parquet(path)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give an under-split input enough partitions for the per-row work.
-
-    A source with fewer partitions than the cluster has cores (one big
-    Parquet row group, a handful of topic files) would run parsing and
-    enrichment on a few tasks. Only then is it round-robined (sorted first,
-    so a retried task routes rows identically) to the default parallelism.
-    A large input, already split into many tasks, is returned unchanged and
-    pays no shuffle.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 def first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """SRC2: the first ``n`` rows by a total order (``n = 0`` means all).
 

@@ -3,7 +3,8 @@
 * ``start_bronze_stream`` (ST1): topic → parse → append to Bronze, stateless;
   the same parse as the batch path. Progress and exactly-once file output
   come from the checkpoint and the file sink's log. Rejected messages go to
-  the dead-letter table through a second query on the same source.
+  the dead-letter table (``<bronze>_dlq`` unless a path is given) through a second
+  query on the same source, so that each output has a log of its own.
 * ``event_time`` / watermark (ST2): declared on the event-time column. A
   stateless append keeps late rows (ST3) — the watermark only matters for
   the stateful de-dup below.
@@ -27,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stratum.manifest import Manifest
 from stratum.operators.parsing import parse_events
 from stratum.operators.silver import quality_filter, silver_project
-from stratum.sinks.tables import write_silver
+from stratum.sinks.tables import upsert_by_key, write_silver
 from stratum.sources.events import stream_file_topic
 
 
@@ -54,10 +55,9 @@ def start_bronze_stream(spark: SparkSession, manifest: Manifest, topic: DataFram
     queries = [_trigger(parsed.rows.writeStream.format("parquet").outputMode("append")
                         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/bronze"),
                         available_now, interval).start(bronze_path)]
-    if dlq_path:
-        queries.append(_trigger(parsed.rejects.writeStream.format("parquet").outputMode("append")
-                                .option("checkpointLocation", f"{checkpoint.rstrip('/')}/dlq"),
-                                available_now, interval).start(dlq_path))
+    queries.append(_trigger(parsed.rejects.writeStream.format("parquet").outputMode("append")
+                            .option("checkpointLocation", f"{checkpoint.rstrip('/')}/dlq"),
+                            available_now, interval).start(dlq_path or f"{bronze_path.rstrip('/')}_dlq"))
     return queries
 
 
@@ -74,7 +74,7 @@ def catch_up(spark: SparkSession, manifest: Manifest, topic_path: str, warehouse
                                  available_now=True):
         q.awaitTermination()
     out = silver(spark.read.parquet(bronze_path), manifest)
-    write_silver(out, manifest, warehouse)
+    write_silver(out, manifest, warehouse, full=True)
     return spark.read.parquet(layer_path(warehouse, manifest.silver_table))
 
 
@@ -104,17 +104,19 @@ def start_latest_wins_stream(spark: SparkSession, manifest: Manifest, topic: Dat
                              checkpoint: str, available_now: bool = False,
                              interval: str | None = None) -> StreamingQuery:
     """ST5, latest wins: ``foreachBatch`` → batch Silver of the micro-batch →
-    upsert by surrogate key into Silver (only the dates it touches)."""
+    upsert by surrogate key into Silver (only the dates it touches; if the date is not
+    part of the key, also those that hold an older copy)."""
     from stratum.operators.silver import silver
-    from stratum.sinks.tables import upsert_by_key
+    from stratum.plans.pipeline import date_follows_key
 
+    moves = not date_follows_key(manifest, manifest.surrogate_key_fields)
     if isinstance(topic, str):
         topic = stream_file_topic(spark, topic)
     rows = parse_events(topic, manifest).rows
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         upsert_by_key(batch.sparkSession, silver_path, silver(batch, manifest),
-                      manifest.resolved_surrogate_key_name, manifest.partition_date_col)
+                      manifest.resolved_surrogate_key_name, manifest.partition_date_col, moves=moves)
 
     writer = (rows.writeStream.foreachBatch(merge)
               .option("checkpointLocation", f"{checkpoint.rstrip('/')}/silver_latest"))

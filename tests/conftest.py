@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -10,11 +9,12 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from stratum.session import checkpoint_dir, local_session
 
-    s = local_session(4, shuffle_partitions=8, app="stratum-tests")
-    checkpoint_dir(s, allow_local_default=True)  # tests only: no shared folder here
+    shared = {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))}  # stands for the shared folder
+    s = local_session(4, shuffle_partitions=8, app="stratum-tests", conf=shared)
+    checkpoint_dir(s)
     yield s
     s.stop()
 

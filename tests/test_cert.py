@@ -47,3 +47,12 @@ def test_silver_key_is_stable_across_replays(spark, taxi):
     s1 = silver(first, taxi).select("trip_id")
     s2 = silver(first.unionByName(again), taxi).select("trip_id")
     assert sorted(r[0] for r in s1.collect()) == sorted(r[0] for r in s2.collect())
+
+
+def test_accounting_against_expected_counts(spark, taxi):
+    rows, want = edge_set(taxi.quality_filters)
+    expected = {"bronze_rows": want["bronze"], "silver_rows": want["silver"], "filtered_rows": want["filtered"], "deduplicated_rows": want["deduplicated"]}
+    acc = reconcile.row_accounting(_bronze(spark, rows, taxi), taxi.quality_filters, taxi.dedup_key, expected, source_rows=77).first()
+    assert all(acc[f"{k}_as_expected"] for k in expected) and acc.produced_complete
+    short = reconcile.row_accounting(_bronze(spark, rows, taxi), taxi.quality_filters, taxi.dedup_key, source_rows=78).first()
+    assert not short.produced_complete

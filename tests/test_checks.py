@@ -49,7 +49,9 @@ def test_readiness_rules(spark):
     strict = {r.table: r.ready for r in reconcile.readiness(snaps, 1).collect()}
     lenient = {r.table: r.ready for r in reconcile.readiness(snaps, 1, allow_empty=True).collect()}
     assert strict == {"a": True, "b": False, "c": False}
-    assert lenient == {"a": True, "b": True, "c": False}
+    assert lenient == {"a": True, "b": True, "c": True}  # one failed poll does not block
+    failed = spark.createDataFrame([("d", 0, False), ("e", 7, False)], "table string, rows long, ok boolean")
+    assert not any(r.ready for r in reconcile.readiness(failed, 1, allow_empty=True).collect())
 
 
 def test_layer_decisions(spark):
@@ -77,6 +79,13 @@ def test_metrics_trust(spark):
     other = reconcile.metrics_trust(m, "orders", "taxi.trips", "/d", now=now).first()
     assert not other.passed and other.message.startswith("mismatch")
     assert reconcile.metrics_trust(m, "orders", "x", "/y", now=now, override=True).first().passed
+    none = reconcile.metrics_trust(m.limit(0), "taxi", "taxi.trips", "/d", now=now).collect()
+    assert [(r.passed, r.message) for r in none] == [(False, "no run metrics")]
+    bad = spark.createDataFrame([(*rows[0][:9], "not a time", "r2", False)], reconcile.METRICS_SCHEMA)
+    r = reconcile.metrics_trust(bad, "taxi", "taxi.trips", "/d", now=now).first()
+    assert not r.passed and r.message == "unreadable produced_at: not a time"
+    both = reconcile.metrics_trust(bad.unionByName(m), "taxi", "taxi.trips", "/d", now=now).first()
+    assert both.passed and both.detail == "r1"  # the newest readable time counts
 
 
 def test_layer_counts_unreadable_path(spark, tmp):
@@ -91,3 +100,38 @@ def test_freshness(spark):
     assert r.age_hours == 30.0 and r.status == "warn"
     assert ck.freshness(df, "loaded_at", now=dt.datetime(2024, 1, 3, 1)).first().status == "error"
     assert ck.freshness(df.filter(F.lit(False)), "loaded_at").first().status == "error"
+
+
+def test_unknown_or_unreadable_layers_fail(spark):
+    def decide(*layers, **kw):
+        frame = spark.createDataFrame([(*x, None)[:4] if len(x) == 3 else x for x in layers], reconcile.COUNT_SCHEMA)
+        return {r.name: (r.passed, r.message) for r in reconcile.layer_decisions(frame, **kw).collect()}
+
+    good = [("bronze", 100, True), ("silver", 90, True)]
+    assert decide(*good)["bronze_completeness"] == (False, "source size unknown")
+    assert decide(*good, events=100)["bronze_completeness"][0]
+    broken = decide(("bronze", 100, True), ("silver", -1, False, "no such file"), ("dlq", -1, False, "gone"), events=100)
+    assert broken["silver_min_rows"] == (False, "silver unreadable: no such file")
+    assert not broken["silver_not_above_bronze"][0] and broken["dlq_threshold"] == (False, "dlq unreadable: gone")
+    skipped = decide(("bronze", 0, True), ("silver", 0, True), events=0, allow_empty=True)
+    assert skipped["bronze_completeness"][0] and skipped["silver_min_rows"] == (True, "skipped: bronze is empty (allowed)")
+    assert not decide(("bronze", 0, True), ("silver", 0, True), events=0)["bronze_completeness"][0]
+
+
+def test_report_counts_a_missing_outcome_as_failed(spark):
+    rows = [("bronze", "a", True, "", None), ("silver", "b", None, "", None)]
+    out = {r.name: (r.passed, r.message) for r in reconcile.validation_report([spark.createDataFrame(rows, reconcile.CHECK_SCHEMA)]).collect()}
+    assert out["b"][0] is False and out["all_checks"] == (False, "1 failed")
+
+
+def test_whole_error_text(spark, tmp):
+    r = reconcile.layer_counts(spark, {"silver": f"{tmp}/{'x' * 400}"}).first()
+    assert "x" * 400 in r.message
+
+
+def test_contracts(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    ok = ck.contract_check(df, "id INT, name STRING", "m").first()
+    assert ok.passed and ok.failures == 0
+    bad = ck.contract_check(df, "id BIGINT, other STRING", "m").first()
+    assert not bad.passed and bad.failures == 3 and set(bad.column.split(",")) == {"other", "name", "id"}

@@ -63,4 +63,3 @@ def test_type_names():
     assert mf.spark_type("DECIMAL(10, 2)") == T.DecimalType(10, 2)
     assert mf.spark_type("numeric(5)") == T.DecimalType(5, 0)
     assert mf.spark_type("TIMESTAMP(3)") == T.TimestampNTZType()
-    assert mf.is_numeric_type("DECIMAL(10,2)") and not mf.is_numeric_type("STRING")

@@ -63,3 +63,28 @@ def test_parse_run_metrics(spark, taxi):
     row = reconcile.run_metrics(spark, obs.get, 2.0, mode="batch", dataset="taxi", topic="t",
                                 data_path="/d", run_id="r1").first()
     assert (row.events, row.invalid, row.events_per_second) == (2, 1, 1.0)
+
+
+def test_fraction_of_a_second_survives(spark, taxi):
+    msgs = spark.createDataFrame([(f'{{"tpep_pickup_datetime": "2024-01-02T10:00:00{f}"}}',) for f in ("", ".5", ".250000")], "value string")
+    got = sorted(str(r.tpep_pickup_datetime) for r in parsing.parse_events(msgs, taxi).rows.collect())
+    assert got == ["2024-01-02 10:00:00", "2024-01-02 10:00:00.250000", "2024-01-02 10:00:00.500000"]
+
+
+def test_property_names_are_taken_literally(spark):
+    schema = {"properties": {"a.b": {"type": "integer"}}, "required": ["a.b"]}
+    msgs = spark.createDataFrame([('{"a.b": 1}',), ('{"a": {"b": 1}}',)], "value string")
+    got = {r.value: r.error for r in parsing.schema_gate(msgs, schema).collect()}
+    assert got == {'{"a.b": 1}': None, '{"a": {"b": 1}}': "'a.b' is a required property"}
+
+
+def test_partition_date_by_format(spark):
+    import dataclasses
+
+    from stratum import manifest as mf
+    from stratum.operators.silver import silver_project
+
+    m = dataclasses.replace(mf.builtin("orders"), partition_date_expr="to_date(date_format(event_ts, 'yyyy-MM-dd'))")
+    msgs = spark.createDataFrame([('{"event_ts": "2024-03-04T05:06:07", "amount": 1.5, "quantity": 2}',)], "value string")
+    row = silver_project(parsing.parse_events(msgs, m).rows, m).first()
+    assert str(row[m.partition_date_col]) == "2024-03-04"

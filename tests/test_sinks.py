@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 from certdata import RAW_SCHEMA, edge_set
 from pyspark.sql import functions as F
@@ -70,3 +71,84 @@ def test_compaction_same_rows_fewer_files(spark, taxi, tmp):
     files_after = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).count()
     assert _rows(spark.read.parquet(path)) == before
     assert files_after < files_before
+
+
+def test_upsert_prunes_evaluates_once_and_cleans_up(spark, taxi, tmp):
+    import glob
+
+    s = _silver_df(spark, taxi)
+    path = f"{tmp}/silver"
+    tables.write_partitioned(s, path, "pickup_date")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    first_day = min(r.pickup_date for r in s.select("pickup_date").collect())
+    batch = spark.createDataFrame(s.filter(F.col("pickup_date") == F.lit(first_day)).collect(), s.schema)
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/*/*.parquet")}
+    tables.upsert_by_key(spark, path, batch.mapInArrow(count, batch.schema), "trip_id", "pickup_date")
+    assert seen.value == batch.count()  # one evaluation
+    after = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/*/*.parquet")}
+    assert {f for f in before if f not in after} == {f for f in before if f"pickup_date={first_day}" in f}  # other dates untouched
+    assert _rows(spark.read.parquet(path)) == _rows(s)
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert glob.glob(f"{root}/staging/*") == []
+
+
+def test_upsert_of_a_key_that_moves_between_dates(spark, tmp):
+    path = f"{tmp}/t"
+    old = spark.createDataFrame([("a", 1, dt.date(2024, 1, 1)), ("b", 1, dt.date(2024, 1, 2))], "k string, v int, d date")
+    tables.write_partitioned(old, path, "d")
+    new = spark.createDataFrame([("a", 2, dt.date(2024, 1, 2))], "k string, v int, d date")
+    tables.upsert_by_key(spark, path, new, "k", "d", moves=True)
+    got = sorted((r.k, r.v, r.d) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 2, dt.date(2024, 1, 2)), ("b", 1, dt.date(2024, 1, 2))]
+
+
+def test_full_rebuild_drops_stale_dates(spark, taxi, tmp):
+    s = _silver_df(spark, taxi)
+    tables.write_silver(s, taxi, tmp)
+    part = s.filter(F.dayofmonth("pickup_date") <= 10)
+    tables.write_silver(part, taxi, tmp, full=True)
+    assert _rows(spark.read.parquet(tables.layer_path(tmp, taxi.silver_table))) == _rows(part)
+
+
+def test_incremental_rows_prune_by_date(spark, tmp):
+    rows = [(dt.datetime(2024, 1, d, 5), dt.date(2024, 1, d)) for d in range(1, 8)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, d date")
+    tables.write_partitioned(df, f"{tmp}/in", "d")
+    out = tables.incremental_rows(spark.read.parquet(f"{tmp}/in"), df.filter("d <= DATE '2024-01-05'"), "ts", "12 hours", "d")
+    assert sorted(str(r.d) for r in out.collect()) == ["2024-01-05", "2024-01-06", "2024-01-07"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan
+
+
+def test_publish_keeps_every_row_and_key(spark, taxi, tmp):
+    import json
+    from pathlib import Path
+
+    from stratum import manifest as mf
+    from stratum.sinks.publish import publish
+    from stratum.sources.events import read_file_topic
+
+    rows, _ = edge_set(taxi.quality_filters)
+    rows += [{**rows[0], "tpep_pickup_datetime": dt.datetime(2024, 1, 3, 4, 5, 6, 250000), "PULocationID": None}]
+    schema = json.loads(Path(mf.DATASETS_DIR / "taxi.schema.json").read_text())
+    publish(spark.createDataFrame(rows, RAW_SCHEMA), taxi, f"{tmp}/topic", json_schema=schema)
+    topic, dead = read_file_topic(spark, f"{tmp}/topic").collect(), read_file_topic(spark, f"{tmp}/topic.dlq").collect()
+    assert len(topic) + len(dead) == len(rows) and len(dead) == 2  # NULL pickup, NULL dropoff
+    assert sorted(m.key for m in topic) == sorted("" if json.loads(m.value)["PULocationID"] is None else str(json.loads(m.value)["PULocationID"]) for m in topic)
+    parsed = parse_events(read_file_topic(spark, f"{tmp}/topic"), taxi).rows
+    assert sorted(str(r.tpep_pickup_datetime) for r in parsed.collect()) == sorted(
+        str(r["tpep_pickup_datetime"]) for r in rows if r["tpep_pickup_datetime"] and r["tpep_dropoff_datetime"])
+    assert len(os.listdir(f"{tmp}/topic")) > 1
+
+
+def test_namespaces(spark, tmp):
+    tables.ensure_namespaces(spark, tmp, ("bronze_ns", "silver_ns"))
+    assert {"bronze_ns", "silver_ns"} <= {d.name for d in spark.catalog.listDatabases()}
+    for d in ("bronze_ns", "silver_ns"):
+        spark.sql(f"DROP DATABASE {d}")

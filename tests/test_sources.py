@@ -13,11 +13,14 @@ def test_lookup_csv_declared_types(spark, tmp):
     assert dict(zones.dtypes)["location_id"] == "bigint"
 
 
-def test_first_rows_and_spread(spark):
+def test_first_rows(spark):
     df = spark.range(100).selectExpr("id", "100 - id AS k").coalesce(1)
     got = [r.k for r in tables.first_rows(df, 3, ["k"]).collect()]
     assert got == [1, 2, 3]
     assert tables.first_rows(df, 0, ["k"]).count() == 100
-    assert tables.spread(df, 4).rdd.getNumPartitions() == 4
-    big = spark.range(0, 100, numPartitions=8)
-    assert tables.spread(big, 4) is big  # already split: unchanged, no shuffle
+
+
+def test_scan_with_declared_columns(spark, tmp):
+    spark.range(3).selectExpr("id", "id * 2 AS b", "'x' AS c").write.parquet(f"{tmp}/t")
+    out = tables.scan(spark, f"{tmp}/t", "b BIGINT, missing STRING")
+    assert sorted((r.b, r.missing) for r in out.collect()) == [(0, None), (2, None), (4, None)]

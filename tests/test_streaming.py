@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators.parsing import encode_events, parse_events
 from stratum.sinks.publish import write_file_topic
+from stratum.sources.events import read_file_topic
 from stratum.streaming.bronze import start_bronze_stream, start_dedup_stream
 
 
@@ -17,7 +18,7 @@ def test_bronze_stream_matches_batch_and_restarts(spark, taxi, tmp):
     for q in start_bronze_stream(spark, taxi, topic, bronze, ckpt, available_now=True):
         q.awaitTermination()
     assert spark.read.parquet(bronze).count() == want["bronze"]
-    batch = parse_events(spark.read.text(topic).select("value"), taxi).rows.drop("ingestion_ts")
+    batch = parse_events(read_file_topic(spark, topic), taxi).rows.drop("ingestion_ts")
     assert sorted(map(tuple, batch.collect()), key=str) == sorted(
         map(tuple, spark.read.parquet(bronze).drop("ingestion_ts").collect()), key=str)
     # restart from the checkpoint: nothing is read twice; new messages are appended
@@ -53,3 +54,38 @@ def test_latest_wins_stream(spark, taxi, tmp):
     start_latest_wins_stream(spark, taxi, topic, out, ckpt, available_now=True).awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == want["silver"] and got.select("trip_id").distinct().count() == want["silver"]
+
+
+def test_late_events(spark, taxi, tmp):
+    """Bronze keeps a late event; the streaming de-dup drops it once the watermark has passed it."""
+    import datetime as dt
+    import random
+
+    from certdata import valid_row
+
+    base = valid_row(random.Random(1))
+    at = lambda minute, fare: {**base, "tpep_pickup_datetime": dt.datetime(2024, 1, 10, 12, minute), "fare_amount": fare,
+                               "tpep_dropoff_datetime": dt.datetime(2024, 1, 10, 13, 0)}
+    topic, bronze, silver = f"{tmp}/topic", f"{tmp}/bronze", f"{tmp}/silver"
+    for rows in ([at(0, 1.0)], [at(30, 2.0)], [at(10, 3.0), at(30, 4.0)]):  # 12:10 is behind the watermark of 12:30 less ten seconds
+        _publish(spark, taxi, topic, rows)
+        for q in [*start_bronze_stream(spark, taxi, topic, bronze, f"{tmp}/c1", available_now=True),
+                  start_dedup_stream(spark, taxi, topic, silver, f"{tmp}/c2", available_now=True)]:
+            q.awaitTermination()
+    assert sorted(r.fare_amount for r in spark.read.parquet(bronze).collect()) == [1.0, 2.0, 3.0, 4.0]
+    assert sorted(float(r.fare_amount) for r in spark.read.parquet(silver).collect()) == [1.0, 2.0, 4.0]
+
+
+def test_rejects_of_a_stream_are_kept(spark, taxi, tmp):
+    bad = spark.createDataFrame([("k", "{broken")], "key string, value string")
+    write_file_topic(bad, f"{tmp}/topic")
+    for q in start_bronze_stream(spark, taxi, f"{tmp}/topic", f"{tmp}/bronze", f"{tmp}/c", available_now=True):
+        q.awaitTermination()
+    assert [r.payload for r in spark.read.parquet(f"{tmp}/bronze_dlq").collect()] == ["{broken"]
+
+
+def test_watermark_is_declared(spark, taxi):
+    from stratum.streaming.bronze import with_event_time
+
+    df = with_event_time(spark.createDataFrame([], RAW_SCHEMA), taxi)
+    assert "EventTimeWatermark" in df._jdf.queryExecution().logical().toString() and "event_time" in df.columns
