@@ -25,5 +25,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_nn_descent": embeddings.oracle_sql(),
     "op3_mixing": mixing.oracle_sql(),
+    "op5_licenses": licenses.oracle_sql(),
+    "op9_minhash": neardup.oracle_sql(),
 }

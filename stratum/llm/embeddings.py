@@ -324,4 +324,19 @@ def near_vectors(table_: DataFrame, id_col: str = "vec_id", vector_col: str = "e
 
 def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
-    return out.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"), "audit_recall")
+    return out.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
+def oracle_sql() -> str:
+    """The same result in DuckDB SQL, from the cosines of all pairs."""
+    return f"""
+    WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+    u AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v
+          WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+              WHERE a.norm > 0 AND b.norm > 0 AND list_inner_product(a.e, b.e) / (a.norm * b.norm) >= {THRESHOLD}),
+    reach(id, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.id),
+    n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+    SELECT v.vec_id, coalesce(any_value(n.n), 0) AS n_links, min(root) AS component_id, v.vec_id = min(root) AS kept
+    FROM v JOIN reach ON reach.id = v.vec_id LEFT JOIN n ON n.vec_id = v.vec_id GROUP BY v.vec_id
+    """

@@ -198,3 +198,28 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"CAST(array_max(transform({base}, d -> d.s)) AS BIGINT)").alias("last_word"),
         F.expr(f"concat_ws(',', sort_array(array_distinct(transform({base}, d -> d.label))))").alias("base_labels"),
         F.expr("concat_ws(',', sort_array(labels))").alias("labels"), "score")
+
+
+def oracle_sql() -> str:
+    """The same scan in DuckDB SQL, from the same rules: detections as rows, suppression by a join."""
+    rows = [(regex, LEVELS, 1.0, label, True, "") for regex, label in BASE]
+    rows += [(r.regex, r.priority, r.confidence, r.label, False, key) for key, rules in RULES.items() for r in rules]
+    values = ", ".join(f"('{x}', {p}, {c}::DOUBLE, {f"'{label}'" if label else 'NULL'}, {base}, '{key}')" for x, p, c, label, base, key in rows)
+    anchors = ", ".join(f"'{a}'" for a in ANCHORS)
+    spaces = lambda s: f"(length({s}) - length(replace({s}, ' ', '')))"
+    return f"""
+    WITH rules(regex, p, c, label, base, key) AS (VALUES {values}),
+    w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+    anchored AS (SELECT doc_id, ws, unnest(list_filter(range(1, len(ws) + 1), lambda i: ws[i] IN ({anchors}))) AS i FROM w),
+    ctx AS (SELECT doc_id, i - 1 AS pos, array_to_string(list_concat(ws[greatest(i - {LEFT}, 1):i - 1], ['@' || ws[i]], ws[i + 1:i + {RIGHT}]), ' ') AS ctx FROM anchored),
+    hit AS (SELECT doc_id, pos, p, c, label, base, regexp_extract(ctx, '(?:^| )(' || regex || ')(?: |$)', 1) AS m FROM ctx JOIN rules ON contains(ctx, key)),
+    det AS (SELECT doc_id, p, c, label, base, pos - {spaces("split_part(m, '@', 1)")} AS s, pos + {spaces("split_part(m, '@', 2)")} AS e FROM hit WHERE m <> ''),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s, e DESC, p DESC, label NULLS FIRST, c, base) AS rn FROM det),
+    kept AS (SELECT * FROM ranked d WHERE base OR NOT EXISTS (SELECT 1 FROM ranked o WHERE o.doc_id = d.doc_id AND o.rn < d.rn AND o.p >= d.p AND o.e >= d.e)),
+    sums AS (SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(s) FILTER (WHERE base) AS first_word, max(s) FILTER (WHERE base) AS last_word,
+                    array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE base)), ',') AS base_labels,
+                    array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE label IS NOT NULL)), ',') AS labels, max(c) AS score FROM kept GROUP BY doc_id)
+    SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+           coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+    FROM w LEFT JOIN sums USING (doc_id)
+    """

@@ -259,3 +259,20 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     with_id = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
     return (with_id.join(kept, F.col(id_col) == F.col("_kept"), "left_semi")
             .unionByName(docs.where(F.col(id_col).isNull())))
+
+
+def oracle_sql() -> str:
+    """The same result in DuckDB SQL: exact set overlaps of all pairs that share a shingle."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+    sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + {SHINGLE - 1}], ' ') AS s
+           FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {SHINGLE - 1}, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+    n AS (SELECT w.doc_id, count(sh.s) AS n FROM w LEFT JOIN sh USING (doc_id) GROUP BY w.doc_id),
+    pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE {SIMILAR_DEN} * shared >= {SIMILAR_NUM} * (x.n + y.n - shared)),
+    steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach(id, root) AS (SELECT doc_id, doc_id FROM n UNION SELECT steps.b, reach.root FROM reach JOIN steps ON steps.a = reach.id)
+    SELECT n.doc_id, n.n AS n_shingles, min(root) AS component_id, n.doc_id = min(root) AS kept
+    FROM n JOIN reach ON reach.id = n.doc_id GROUP BY n.doc_id, n.n
+    """
