@@ -38,3 +38,77 @@ def test_registered_query_returns_rows_for_its_whole_table(spark, name):
     out = catalog.QUERIES[name](spark, SF)
     source = "embeddings" if name.startswith("op2_") else "pages" if name.startswith("op7_") else "documents"
     assert out.count() == table(spark, SF, source).count()
+
+
+# ------------------------------------------------------------- brute force
+def plain_copies(rows):
+    """Copies of each (doc_id, text, source) by highest quotients over blocks, one shard a source."""
+    import hashlib
+    import math
+    import re
+
+    from stratum.llm import mixing
+    from test_llm_rules import water_fill
+
+    words = {i: len(re.findall(mixing.WORD, t or "")) for i, t, _ in rows}
+    sizes = {}
+    for i, _, s in rows:
+        sizes[s] = sizes.get(s, 0) + words[i]
+    target = water_fill(sizes)
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    no = {s: n + 1 for n, s in enumerate(order)}
+    seats = math.floor(1.5 * sum(sizes.values()) / mixing.BLOCK + 0.5)
+    quotients = sorted(((-target[s] / (2 * k + 1), no[s]) for s in order for k in range(seats)))[:seats]
+    md5 = lambda *p: hashlib.md5(":".join((mixing.SEED, *map(str, p))).encode()).hexdigest()
+    out = {}
+    for s in order:
+        assert sizes[s] <= mixing.SHARD_TOKENS
+        blocks = max(1, math.ceil(sizes[s] / mixing.BLOCK))
+        quota = min(sum(q[1] == no[s] for q in quotients), 2 * math.ceil(sizes[s] / mixing.BLOCK))
+        times, more = divmod(quota, blocks)
+        offset = int(md5(no[s], 0)[:8], 16) % blocks
+        at = 0
+        for _, i in sorted((md5(i), i) for i, _, src in rows if src == s):
+            first = at // mixing.BLOCK
+            extra = ((first + 1) * more + offset) // blocks - (first * more + offset) // blocks
+            out[i] = times + extra if words[i] else 0
+            at += words[i]
+    return out
+
+
+def test_pipeline_against_brute_force(spark):
+    import hashlib
+    import re
+    from collections import Counter
+
+    import public_tokenizers as P
+    import sentencepiece
+    from test_llm_dedup import plain_set, roots
+    from test_llm_rules import plain_spans
+
+    rows = [(r.doc_id, r.text, r.source) for r in table(spark, SF, "documents").collect()]
+    sets = {i: plain_set(t) for i, t, _ in rows}
+    ids = sorted(sets)
+    links = [(a, b) for n, a in enumerate(ids) for b in ids[n + 1:] if sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    kept = {i for i, root in roots(ids, links).items() if i == root}
+
+    def redacted(text):
+        spans = [(a, b, k) for k, a, b in plain_spans(text)]
+        spans += [(*m.span(1), "secret") for m in re.finditer(r'(?:password=|token = ")([0-9a-f]{12,})', text)]
+        out, done = [], 0
+        for a, b, k in sorted(spans):
+            if a >= done:
+                out += [text[done:a], f"<{k.upper()}>"]
+            done = max(done, b)
+        return "".join(out) + text[done:]
+
+    left = [(i, redacted(t), s) for i, t, s in rows if i in kept]
+    copies = plain_copies(left)
+    library = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    expect = Counter()
+    for i, text, _ in left:
+        tokens = library.encode(text)
+        expect[(i, len(tokens), sha(",".join(map(str, tokens))), sha(library.decode(tokens)))] += copies[i]
+    got = Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF).collect())
+    assert got == +expect
