@@ -126,14 +126,27 @@ def _result(model: str, label: str, column: str | None, failures: Column, severi
                     status.alias("status"), (passed | (F.lit(severity) == "warn")).alias("passed"))
 
 
-def run_row_checks(df: DataFrame, checks: Sequence[Check], model: str) -> DataFrame:
-    """All row-level checks of one table in one aggregation pass."""
+def run_row_checks(df: DataFrame, checks: Sequence[Check], model: str, unique: Check | None = None) -> DataFrame:
+    """All row-level checks of one table in one aggregation pass, and one ``unique`` check with them.
+
+    With ``unique``, rows are first counted per value of its column (partial aggregates, so a hot
+    value ships one row per task) together with their failures, then the counts are added up:
+    the table is still evaluated once.
+    """
     checks = [c for c in checks if c.kind in ROW_LEVEL]
-    if not checks:
+    if not checks and unique is None:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    counts = df.agg(*[F.count_if(failing(c)).alias(f"_f{i}") for i, c in enumerate(checks)])
-    rows = F.array(*[_result(model, c.label, c.column, F.col(f"_f{i}"), c.severity)
-                     for i, c in enumerate(checks)])
+    names = [f"_f{i}" for i in range(len(checks))]
+    failures = [F.count_if(failing(c)).alias(n) for n, c in zip(names, checks, strict=True)]
+    results = list(zip(names, checks, strict=True))
+    if unique is None:
+        counts = df.agg(*failures)
+    else:
+        per_value = df.groupBy(F.col(unique.column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"), *failures)
+        repeated = F.count_if(F.col("_value").isNotNull() & (F.col("_n") > 1))
+        counts = per_value.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names], repeated.alias("_u"))
+        results.append(("_u", unique))
+    rows = F.array(*[_result(model, c.label, c.column, F.col(n), c.severity) for n, c in results])
     return counts.select(F.inline(rows))
 
 
@@ -158,14 +171,12 @@ def relationships_check(child: DataFrame, column: str, parent: DataFrame, parent
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], model: str) -> DataFrame:
-    """Every check of one table → one results DataFrame (lazy)."""
-    parts = [run_row_checks(df, checks, model)]
-    for c in checks:
-        if c.kind == "unique":
-            parts.append(unique_check(df, c.column, model, c.severity))
-        elif c.kind == "relationships":
-            parts.append(relationships_check(df, c.column, c.parent, c.parent_column, model,
-                                             c.severity))
+    """Every check of one table → one results DataFrame (lazy). The row-level checks and the first
+    ``unique`` one share an evaluation; each further ``unique`` or ``relationships`` check has its own."""
+    keys = [c for c in checks if c.kind == "unique"]
+    parts = [run_row_checks(df, checks, model, keys[0] if keys else None)]
+    parts += [unique_check(df, c.column, model, c.severity) for c in keys[1:]]
+    parts += [relationships_check(df, c.column, c.parent, c.parent_column, model, c.severity) for c in checks if c.kind == "relationships"]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

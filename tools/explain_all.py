@@ -17,7 +17,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__ as E  # noqa: E402
+from stratum.plans import catalog  # noqa: E402
 from stratum.session import local_session  # noqa: E402
 
 KEEP = ("Exchange", "Broadcast", "Scan", "Join", "Aggregate", "Window", "Sort", "TakeOrdered",
@@ -29,7 +29,7 @@ def main() -> None:
     spark = local_session(8)
     out = ["# Physical plans of the registered queries", "",
            f"Initial adaptive plans at `{sf_dir}`, operators only (expressions cut at 150 chars).", ""]
-    for name, q in sorted(E.queries().items()):
+    for name, q in sorted(catalog.QUERIES.items()):
         buf = io.StringIO()
         with redirect_stdout(buf):
             q(spark, sf_dir).explain()
