@@ -12,31 +12,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.llm import language, mixing, neardup, pieces, pii
-from stratum.llm.common import Scratch, table
+from stratum.llm.common import Scratch, importable, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose language cannot be told (operator 7)."""
+    importable(spark)
     return language.keep_identified(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates (operator 9)."""
+    importable(spark)
     return neardup.deduplicate(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data in the texts by its kind (operator 10); n_chars follows."""
+    importable(spark)
     return pii.redact(docs, pii.fit(docs), length_col="n_chars")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take documents from the sources by their targets, some of them twice (operator 3)."""
+    importable(spark)
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encode the texts that remain (operator 8): one row per document taken."""
+    importable(spark)
     return pieces.digest_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +19,20 @@ SLICE_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has it. On a
+    cluster the package is installed, or shipped with ``--py-files``; the entry does no harm there."""
+    env = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only in a single local JVM."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -45,6 +58,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        importable(spark)
         self.spark = spark
         self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
