@@ -240,3 +240,14 @@ def test_language_evidence(spark):
 def test_page_text():
     page = '<html lang="fr"><head><script>var t="</p>";</script><style>p{}</style></head><body><!-- <b> --><p>l&eacute;a &amp; co</p></body></html>'
     assert language.html_text(page).split() == ["léa", "&", "co"]
+
+
+def test_language_on_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fit(docs.where("doc_id % 2 = 0"), "doc_id", "text", "lang")
+    rest = docs.where("doc_id % 2 = 1").collect()
+    hits = 0
+    for r in rest:
+        scores = model[language.trigrams(r.text)].mean(axis=0)[:-1]
+        hits += language.LANGUAGES[scores.argmax()] == r.lang
+    assert hits >= 0.99 * len(rest)
