@@ -236,6 +236,14 @@ bounds AS (SELECT TIMESTAMP '2024-01-01' AS start_d, TIMESTAMP '2024-02-01' AS e
     q["dim_locations"] = w(ZONES, "SELECT * FROM zones")
     q.update(extra_sql())
     q["mart_location_ranked"] = q["mart_location_performance"]
+    q["topic_read"] = q["encode_events"]
+    q["silver_table"] = q["silver_pipeline"]
+    q["bronze_stream"] = w(BRONZE, "SELECT * EXCLUDE (ingestion_ts) FROM bronze")
+    q["upsert_table"] = f"SELECT *, CAST(extract(year FROM o_orderdate) AS INT) AS o_year FROM ({q['upsert_by_key']})"
+    q["published"] = w(SRC, """SELECT 'topic' AS topic, coalesce(CAST(PULocationID AS VARCHAR), '') AS key, count(*) AS messages
+  FROM src WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'dlq', 'tpep_pickup_datetime: null is not of type ''string\'\'', count(*)
+  FROM src WHERE tpep_pickup_datetime IS NULL HAVING count(*) > 0""")
     contracts = ("fct_trips", "dim_dates", "dim_locations", "mart_daily_revenue", "mart_hourly_demand", "mart_location_performance")
     q["contract_check"] = "\nUNION ALL\n".join(
         f"""SELECT '{name}' AS model, 'contract' AS "check", CAST(NULL AS VARCHAR) AS "column", CAST(0 AS BIGINT) AS failures,

@@ -89,3 +89,16 @@ def test_watermark_is_declared(spark, taxi):
 
     df = with_event_time(spark.createDataFrame([], RAW_SCHEMA), taxi)
     assert "EventTimeWatermark" in df._jdf.queryExecution().logical().toString() and "event_time" in df.columns
+
+
+def test_catch_up_drains_and_rebuilds(spark, taxi, tmp):
+    from stratum.streaming.bronze import catch_up
+
+    rows, want = edge_set(taxi.quality_filters)
+    _publish(spark, taxi, f"{tmp}/topic", rows)
+    first = catch_up(spark, taxi, f"{tmp}/topic", f"{tmp}/w", f"{tmp}/c")
+    ids = sorted(r.trip_id for r in first.collect())
+    assert len(ids) == want["silver"]
+    _publish(spark, taxi, f"{tmp}/topic", rows[:5])  # replays change nothing
+    again = catch_up(spark, taxi, f"{tmp}/topic", f"{tmp}/w", f"{tmp}/c")
+    assert sorted(r.trip_id for r in again.collect()) == ids
