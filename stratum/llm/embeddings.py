@@ -4,8 +4,8 @@ Equal vectors are one class, represented by its smallest id, so copies cost a co
 On the classes a neighbour graph is grown: first lists come from random-hyperplane
 leaves, then each round joins, around every vector, its neighbours and the vectors
 that have it as neighbour, compares pairs of which one is new, and keeps every
-vector's best K (neighbours of neighbours become neighbours). Rounds end when few
-lists change. A list whose last entry is still similar enough is saturated: it is
+vector's best K (neighbours of neighbours become neighbours). Rounds end when
+hardly any list gains an entry near the threshold. A list whose last entry is still similar enough is saturated: it is
 enlarged and refined again; components that still hold saturated lists are then
 compared whole, in pairs of blocks, of which only counts leave the tasks.
 A sample of rows is compared with all rows (audit); while the recall of links is
@@ -37,7 +37,7 @@ MARGIN = 0.004  # of half-precision cosines
 NEIGHBOURS, ENLARGED = 10, 30
 LEAF, LEAF_TABLES = 64, 8
 HUB = 96  # members of one group before it is split
-SETTLED = 0.02  # changed entries per vector below which a descent ends
+SETTLED = 0.001  # new near entries per vector at which a descent ends
 ROUNDS = 8  # of one descent
 BLOCK = 256
 AUDIT_ROWS, AUDIT_GOAL, AUDITS = 1024, 0.995, 3
@@ -197,7 +197,8 @@ def _descend(scratch: Scratch, lists: DataFrame, vectors: DataFrame, n: int, wid
         after = scratch.write(_best(merged, wide), f"lists-{round_}")
         scratch.drop(lists)
         lists = after
-        if lists.where("fresh").count() <= SETTLED * n:
+        gained = lists.where(F.col("fresh") & (F.col("sim") >= THRESHOLD - MARGIN)).count()
+        if round_ and gained <= SETTLED * n:
             break
     return lists
 
