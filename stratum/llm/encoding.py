@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 SPACES = r"[\s\p{Z}\x{b}\x{1c}-\x{1f}\x{85}]"
 #: Texts whose spaces do not all stand alone between non-spaces.
 UNEVEN = f" {SPACES}|{SPACES} |^ | $"
-REMEMBERED = 1_000_000  # pieces; then the memory starts anew
+REMEMBERED = 1_000_000  # pieces, about 230 MB a worker; then the memory starts anew
 STOPS = ".,"
 JOINED = 2_000  # new pieces encoded by one call
 
@@ -31,9 +31,9 @@ class PieceEncoder:
     """
 
     def __init__(self, whole: Callable[[list[str]], list[list[int]]], opens: np.ndarray, first_alike: bool, also_uneven: str | None = None,
-                 stops_alone: dict[str, int] | None = None):
+                 stops_alone: dict[str, int] | None = None, remembered: int = REMEMBERED):
         self.whole, self.opens, self.first_alike, self.also_uneven = whole, opens, first_alike, also_uneven
-        self.stops_alone = stops_alone
+        self.stops_alone, self.remembered = stops_alone, remembered
         self._forget()
 
     def _forget(self) -> None:
@@ -110,7 +110,7 @@ class PieceEncoder:
         pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         codes = codes[bounds[0]:bounds[-1]]
         bounds = bounds - bounds[0]
-        if len(self.rows) + len(pieces) > REMEMBERED and self.rows:
+        if len(self.rows) + len(pieces) > self.remembered and self.rows:
             self._forget()
         known = self.rows
         self._learn([p for p in pieces if p not in known])

@@ -26,6 +26,8 @@ from stratum.llm.encoding import PieceEncoder
 
 MARK = "▁"  # stands for a space in pieces
 MARK_BYTES = MARK.encode()
+#: Pieces remembered and text bytes encoded at once by a worker, which shares its executor with other stages.
+REMEMBERED, SLICE = 250_000, 4 << 20
 
 
 class CharacterMap:
@@ -147,7 +149,7 @@ class Pieces:
         apart = (not rules.precompiled_charsmap and rules.add_dummy_prefix and not rules.remove_extra_whitespaces
                  and rules.escape_whitespaces and not any(MARK in n.lstrip(MARK) for n in names))
         whole = lambda texts: self.library.encode(texts, num_threads=1)
-        self.encoder = PieceEncoder(whole, opens, first_alike=True, also_uneven=MARK if apart else "")
+        self.encoder = PieceEncoder(whole, opens, first_alike=True, also_uneven=MARK if apart else "", remembered=REMEMBERED)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         return self.encoder.encode(texts)
@@ -183,7 +185,7 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces_of(model)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids = p.encode(batch.column("text"))
             spans = [p.spans(raw, x) for raw, x in zip(batch.column("text").cast(pa.binary()).to_pylist(), ids, strict=True)]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
@@ -201,7 +203,7 @@ def digest_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces_of(model)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids = p.encode(batch.column("text"))
             lists = [x.tolist() for x in ids]
             decoded = p.library.decode(lists)
