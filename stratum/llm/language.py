@@ -94,16 +94,18 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, language
     return np.column_stack([np.log(counts[:, :-1] / counts[:, :-1].sum(axis=0)), seen])
 
 
-def _score(model: np.ndarray | None, place: int, markup: bool, n_languages: int):
+def _score(model: np.ndarray | None, text_col: str, markup: bool, n_languages: int):
+    """Add text log-likelihoods and whether the text is in a known language; texts are read from ``_row``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             if not whole.num_rows:
                 continue
-            step = max(1, whole.num_rows * SLICE_BYTES // max(1, whole.column(place).nbytes))
+            texts = whole.column("_row").field(text_col)
+            step = max(1, whole.num_rows * SLICE_BYTES // max(1, texts.nbytes))
             for at in range(0, whole.num_rows, step):
                 batch = whole.slice(at, step)
                 out, letters = np.zeros((batch.num_rows, n_languages)), np.zeros(batch.num_rows, bool)
-                for i, text in enumerate(batch.column(place).to_pylist()):
+                for i, text in enumerate(texts.slice(at, step).to_pylist()):
                     if not text or model is None:
                         continue
                     buckets = trigrams(html_text(text) if markup else text)
@@ -144,16 +146,16 @@ def identify(rows: DataFrame, model: np.ndarray | None, text_col: str, declared:
     spark = rows.sparkSession
     n = len(languages)
     known = lambda c: F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).when(c.isin(*languages), c).otherwise("other")
-    nested = rows.select(F.struct(*rows.columns).alias("_row"), F.col(text_col).cast("string").alias("_text"), known(declared).alias("_declared"),
-                         known(suffix).alias("_suffix"), F.lower(host).alias("_host"))
-    slim = nested.drop("_row")
+    evidence = [known(declared).alias("_declared"), known(suffix).alias("_suffix"), F.lower(host).alias("_host")]
+    nested = rows.select(F.struct(*rows.columns).alias("_row"), *evidence)
+    slim = rows.select(F.struct(text_col).alias("_row"), *evidence)
 
     def scored(df: DataFrame) -> DataFrame:
         schema = T.StructType([*df.schema.fields, T.StructField("_text_ll", T.ArrayType(T.DoubleType())), T.StructField("_spoken", T.BooleanType())])
-        return df.mapInArrow(_score(model, df.columns.index("_text"), markup, n), schema)
+        return df.mapInArrow(_score(model, text_col, markup, n), schema)
 
     scratch = Scratch(spark, "language")
-    votes = scratch.write(scored(slim).drop("_text").withColumn("_r", F.expr(_softmax("_text_ll"))).drop("_text_ll"), "votes")
+    votes = scratch.write(scored(slim).drop("_row").withColumn("_r", F.expr(_softmax("_text_ll"))).drop("_text_ll"), "votes")
     declared_logs, suffix_logs = (_evidence_table(votes, c, languages) for c in ("_declared", "_suffix"))
     sums = [F.sum(F.col("_r")[i]).alias(f"s{i}") for i in range(n)]
     heard = votes.where("_spoken")
