@@ -100,21 +100,29 @@ def _taken_before(x) -> F.Column:
 def plan_mix(docs: DataFrame, scratch: Scratch, keep: list[str], source_col: str = "source", text_col: str = "text",
              id_col: str = "doc_id") -> DataFrame:
     """Per row: the ``keep`` columns (renamed ``k0``, ``k1``, ...), size, source_size, target, taken and
-    ``copies``, the times that the block with the row's first word is taken (0 without words)."""
-    rows = scratch.write(docs.select(
-        *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(source_col).alias("source"),
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), word_count(text_or_empty(text_col)).alias("size")), "sizes")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    ``copies``, the times that the block with the row's first word is taken (0 without words).
+
+    Targets and quotas are made from a written table of sizes. If the texts are kept, they are read
+    again for the result and moved once, to their shard's line, but never written to scratch.
+    """
+    kept = [f"k{i}" for i in range(len(keep))]
+    own = [F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)]
+    basic = [F.col(source_col).alias("source"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
+             word_count(text_or_empty(text_col)).alias("size")]
+    slim = text_col not in keep
+    sized = scratch.write(docs.select(*(own if slim else []), *basic), "sizes")
+    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     # a row per source; as a small written table it is broadcast only if its bytes are below Spark's threshold
     sources = apportion(targets(sizes), [], "no", "target", "seats").withColumn(
         "shards", F.greatest(F.lit(1), F.least(F.lit(MAX_SHARDS), F.ceil(F.col("source_size") / SHARD_TOKENS))).cast("long"))
     sources = scratch.write(sources, "sources")
 
-    dealt = (rows.withColumnRenamed("source", "_source").join(sources, F.col("_source").eqNullSafe(F.col("source")))
-             .withColumn("_order", _hash("id")).withColumn("shard", _number(F.col("_order")) % F.col("shards"))
-             .select(*[f"k{i}" for i in range(len(keep))], "size", "source_size", "target", "no", "shard", "_order", "won"))
-    dealt = scratch.write(dealt, "dealt")
-    shards = (dealt.groupBy("no", "shard").agg(F.sum("size").alias("tokens"), F.first("won").alias("won"))
+    def deal(rows: DataFrame, columns: list[str]) -> DataFrame:
+        return (rows.withColumnRenamed("source", "_source").join(sources, F.col("_source").eqNullSafe(F.col("source")))
+                .withColumn("_order", _hash("id")).withColumn("shard", _number(F.col("_order")) % F.col("shards"))
+                .select(*columns, "size", "source_size", "target", "no", "shard", "_order", "won"))
+
+    shards = (deal(sized, []).groupBy("no", "shard").agg(F.sum("size").alias("tokens"), F.first("won").alias("won"))
               .withColumn("_blocks", F.ceil(F.col("tokens") / BLOCK)))
     shards = shards.withColumn("quota", F.least("won", CAP * F.sum("_blocks").over(Window.partitionBy("no")))).drop("won")
     quotas = (apportion(shards, ["no"], "shard", "tokens", "quota")
@@ -123,14 +131,16 @@ def plan_mix(docs: DataFrame, scratch: Scratch, keep: list[str], source_col: str
               .withColumn("_times", F.expr("_quota div _blocks")).withColumn("_more", F.expr("_quota % _blocks"))
               .withColumn("_offset", _number(_hash("no", "shard")) % F.col("_blocks"))
               .select("no", "shard", "_blocks", "_times", "_more", "_offset"))
+    quotas = scratch.write(quotas, "quotas")
     line = Window.partitionBy("no", "shard").orderBy("_order", "size").rowsBetween(Window.unboundedPreceding, 0)
     first = F.expr(f"_start div {BLOCK}")
+    dealt = deal(sized if slim else docs.select(*own, *basic), kept)
     return (dealt.drop("won").withColumn("_end", F.sum("size").over(line)).withColumn("_start", F.col("_end") - F.col("size"))
             .join(quotas, ["no", "shard"])
             .withColumn("taken", (F.col("_times") * F.col("size") + _taken_before("_end") - _taken_before("_start")).cast("long"))
             .withColumn("copies", F.when(F.col("size") > 0, F.col("_times") + F.floor(((first + 1) * F.col("_more") + F.col("_offset")) / F.col("_blocks"))
                                          - F.floor((first * F.col("_more") + F.col("_offset")) / F.col("_blocks"))).otherwise(0).cast("int"))
-            .select(*[f"k{i}" for i in range(len(keep))], "size", "source_size", "target", "taken", "copies"))
+            .select(*kept, "size", "source_size", "target", "taken", "copies"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +152,7 @@ def mix(docs: DataFrame) -> DataFrame:
     """The mix as rows of ``docs``: each as often as the block with its first word is taken."""
     columns = docs.columns
     planned = plan_mix(docs, Scratch(docs.sparkSession, "mix"), columns)
-    times = planned.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+    times = planned.where("copies > 0").withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
     return times.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(columns)])
 
 
