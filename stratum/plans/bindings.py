@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from stratum.manifest import Manifest
 from stratum.operators.parsing import encode_events
-from stratum.sources.tables import scan
+from stratum.sources.tables import deal_single_split, scan
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -40,8 +40,9 @@ RUN_TS = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table."""
-    return scan(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; ``events``, whose rows are encoded and parsed as JSON, never as a single split."""
+    df = scan(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return deal_single_split(df) if name == "events" else df
 
 
 def _payment_code(event_type):

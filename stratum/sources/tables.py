@@ -18,6 +18,18 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
     return reader.parquet(path)
 
 
+def deal_single_split(df: DataFrame) -> DataFrame:
+    """Deal an input that comes as one split over the session's cores, before per-row work such as JSON.
+
+    A file with a single row group cannot be split and would be parsed by one task. One split is
+    at most ``spark.sql.files.maxPartitionBytes``, so this never shuffles more than that;
+    an input of two splits or more is returned as it is.
+    """
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """SRC2: the first ``n`` rows by a total order (``n = 0`` means all).
 

@@ -24,3 +24,10 @@ def test_scan_with_declared_columns(spark, tmp):
     spark.range(3).selectExpr("id", "id * 2 AS b", "'x' AS c").write.parquet(f"{tmp}/t")
     out = tables.scan(spark, f"{tmp}/t", "b BIGINT, missing STRING")
     assert sorted((r.b, r.missing) for r in out.collect()) == [(0, None), (2, None), (4, None)]
+
+
+def test_only_a_single_split_is_dealt(spark):
+    one = spark.range(0, 100, numPartitions=1)
+    assert tables.deal_single_split(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    two = spark.range(0, 100, numPartitions=2)
+    assert tables.deal_single_split(two) is two
