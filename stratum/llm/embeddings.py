@@ -11,8 +11,13 @@ compared whole, in pairs of blocks, of which only counts leave the tasks.
 A sample of rows is compared with all rows (audit); while the recall of links is
 below the goal, leaves with new hyperplanes are added and the descent goes on.
 
+What a leaf or a join sees near the threshold also goes, apart from the capped lists, into
+a table of bridges: per group, the sets of members that hang together. Components are
+taken over links and bridges, so a list that is full of its own group hides no way to another.
+
 Lists are refined on half-precision copies; every link that is kept has been computed
-in double precision. Groups are bounded: leaves and hubs are split by a hash.
+in double precision, or is a bridge above the threshold by more than the margin. Leaves over
+the limit are compared in pairs of blocks; hubs are split by a hash.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components have no links; vectors of different lengths are never linked; a null id is
@@ -23,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -74,9 +80,10 @@ def _half(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(q, pa.binary())], names=[*b.schema.names, "q"])
 
 
-def _emit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    a, b, s = (np.concatenate(x) for x in zip(*rows))
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s.astype(np.float32))], names=["src", "dst", "sim"])
+def _emit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]) -> pa.RecordBatch:
+    a, b, s = (np.concatenate(x) for x in zip(*[r[:3] for r in rows]))
+    bridge = np.repeat([r[3] for r in rows], [len(r[0]) for r in rows])
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s.astype(np.float32)), pa.array(bridge)], names=["src", "dst", "sim", "bridge"])
 
 
 def _batched(chunks: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -91,8 +98,44 @@ def _batched(chunks: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         yield _emit(rows)
 
 
+def _to_compare(g: pa.Table) -> np.ndarray:
+    """Which pairs of a group are compared: all pairs of one block, or those between two blocks."""
+    if g.column("cross")[0].as_py():
+        side = g.column("side").to_numpy()
+        return side[:, None] != side[None, :]
+    return ~np.eye(g.num_rows, dtype=bool)
+
+
+SURE = 2.0  # sim of a bridge that needs no check
+
+
+def _bridges(ids: np.ndarray, sims: np.ndarray, may: np.ndarray) -> Iterator[tuple]:
+    """What a group tells about components, apart from the capped lists: its members that hang together by
+    pairs above the margin, each with the first of them, and the pairs inside the margin between such sets."""
+    near = may & (sims >= THRESHOLD - MARGIN)
+    if not near.any():
+        return
+    sure = near & (sims >= THRESHOLD + MARGIN)
+    first = np.arange(len(ids))
+    for i in np.flatnonzero(sure.any(axis=1)).tolist():
+        if first[i] != i:
+            continue
+        reached, size = sure[i].copy(), 0
+        reached[i] = True
+        while reached.sum() > size:
+            size = reached.sum()
+            reached |= sure[reached].any(axis=0)
+        first[reached] = i
+    tied = np.flatnonzero(first != np.arange(len(ids)))
+    if len(tied):
+        yield ids[first[tied]], ids[tied], np.full(len(tied), SURE), True
+    a, b = np.nonzero(np.triu(near & (first[:, None] != first[None, :]), 1))
+    if len(a):
+        yield ids[a], ids[b], sims[a, b], True
+
+
 def _leaf_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each member's best neighbours inside its leaf."""
+    """Each member's best neighbours inside its leaf, and the leaf's bridges; of two blocks only near neighbours."""
     def chunks():
         for g in groups(batches, "grp"):
             n = g.num_rows
@@ -100,11 +143,14 @@ def _leaf_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             ids = g.column("id").to_numpy()
             q = _matrix(g.column("q"), np.float16).astype(np.float32)
-            sims = q @ q.T
-            np.fill_diagonal(sims, -2)
+            may = _to_compare(g)
+            sims = np.where(may, q @ q.T, np.float32(-2))
             k = min(NEIGHBOURS, n - 1)
             best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-            yield np.repeat(ids, k), ids[best].ravel(), np.take_along_axis(sims, best, 1).ravel()
+            s = np.take_along_axis(sims, best, 1).ravel()
+            keep = s >= (THRESHOLD - MARGIN if g.column("cross")[0].as_py() else -1.5)
+            yield np.repeat(ids, k)[keep], ids[best].ravel()[keep], s[keep], False
+            yield from _bridges(ids, sims, may)
 
     yield from _batched(chunks())
 
@@ -123,7 +169,8 @@ def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = np.nonzero(np.triu(gain, 1))
             if len(a):
                 s = sims[a, b]
-                yield np.concatenate([ids[a], ids[b]]), np.concatenate([ids[b], ids[a]]), np.concatenate([s, s])
+                yield np.concatenate([ids[a], ids[b]]), np.concatenate([ids[b], ids[a]]), np.concatenate([s, s]), False
+            yield from _bridges(ids, sims, ~np.eye(len(ids), dtype=bool) & (fresh[:, None] | fresh[None, :]))
 
     yield from _batched(chunks())
 
@@ -141,11 +188,22 @@ def _split(df: DataFrame, key: str, limit: int, salt: int) -> DataFrame:
                 F.pmod(F.xxhash64("id", F.lit(salt)), F.ceil(F.col("_n") / limit))).cast("long")).drop("_n"))
 
 
-LISTS = "src long, dst long, sim float"
+def _blocks(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """Groups of ``key`` over ``limit`` rows fall into blocks by a hash of the id, and every pair of blocks
+    (``lo``, ``hi``) becomes a group, so that all pairs of the whole group are compared."""
+    large = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / limit).alias("_blocks")).where("_blocks > 1")
+    sided = (df.join(large, key, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)).cast("long"))
+             .withColumn("side", F.pmod(F.xxhash64("id"), F.col("_blocks")))
+             .withColumn("_other", F.explode(F.expr("sequence(CAST(0 AS BIGINT), _blocks - 1)"))))
+    return (sided.withColumn("lo", F.least("side", "_other")).withColumn("hi", F.greatest("side", "_other"))
+            .withColumn("cross", F.col("lo") != F.col("hi")).drop("_blocks", "_other"))
+
+
+LISTS = "src long, dst long, sim float, bridge boolean"
 
 
 def _leaves(scratch: Scratch, vectors: DataFrame, n: int, seed: int) -> DataFrame:
-    """First lists: (src, dst, sim) from leaves of random hyperplanes."""
+    """First lists and bridges from leaves of random hyperplanes."""
     bits = max(0, math.ceil(math.log2(max(1, n) / LEAF)))
 
     def codes(batches):
@@ -163,8 +221,15 @@ def _leaves(scratch: Scratch, vectors: DataFrame, n: int, seed: int) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(leaves, pa.int64())], names=["id", "leaf"])
 
     coded = scratch.write(vectors.select("id", "u").mapInArrow(codes, "id long, leaf long"), "codes")
-    placed = _split(coded, "leaf", 4 * LEAF, seed).join(vectors.select("id", "q"), "id")
-    return _grouped(placed, _leaf_lists, LISTS, "leaf", "sub")
+    placed = _blocks(coded, "leaf", 4 * LEAF).join(vectors.select("id", "q"), "id")
+    return _grouped(placed, _leaf_lists, LISTS, "leaf", "lo", "hi")
+
+
+def _apart(scratch: Scratch, found: DataFrame, bridges: list[DataFrame]) -> DataFrame:
+    """List entries of what a join found; its bridges are added to ``bridges``."""
+    found = scratch.write(found, "found")
+    bridges.append(found.where("bridge").select("src", "dst", "sim"))
+    return found.where("NOT bridge").drop("bridge")
 
 
 def _best(lists: DataFrame, wide: DataFrame | None) -> DataFrame:
@@ -177,7 +242,7 @@ def _best(lists: DataFrame, wide: DataFrame | None) -> DataFrame:
             .where((F.col("_rank") <= NEIGHBOURS) | F.col("_wide")).drop("_rank", "_wide"))
 
 
-def _descend(scratch: Scratch, lists: DataFrame, vectors: DataFrame, n: int, wide: DataFrame | None, salt: int) -> DataFrame:
+def _descend(scratch: Scratch, lists: DataFrame, vectors: DataFrame, n: int, wide: DataFrame | None, salt: int, bridges: list[DataFrame]) -> DataFrame:
     """Rounds of neighbours-of-neighbours joins until few lists change."""
     for round_ in range(ROUNDS):
         held = lists.groupBy("src").agg(F.count(F.lit(1)).alias("_c"), F.min("sim").alias("_low"))
@@ -192,7 +257,7 @@ def _descend(scratch: Scratch, lists: DataFrame, vectors: DataFrame, n: int, wid
                   .groupBy("center", "id").agg(F.max("fresh").alias("fresh")))
         live = around.where("fresh").select("center").distinct()
         members = _split(around.join(live, "center", "left_semi"), "center", HUB, salt + round_)
-        found = _grouped(members.join(nodes, "id"), _local_join, LISTS, "center", "sub")
+        found = _apart(scratch, _grouped(members.join(nodes, "id"), _local_join, LISTS, "center", "sub"), bridges)
         merged = lists.withColumn("fresh", F.lit(False)).unionByName(found.withColumn("fresh", F.lit(True)))
         after = scratch.write(_best(merged, wide), f"lists-{round_}")
         scratch.drop(lists)
@@ -212,7 +277,7 @@ def _dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(scratch: Scratch, lists: DataFrame, vectors: DataFrame) -> DataFrame:
-    """List entries that are links in double precision: (a < b) once each."""
+    """Entries that are links in double precision: (a < b) once each."""
     near = (lists.where(F.col("sim") >= THRESHOLD - MARGIN)
             .select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct())
     full = (near.join(vectors.select(F.col("id").alias("a"), F.col("u").alias("ua")), "a")
@@ -293,22 +358,27 @@ def near_vectors(table_: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     n = vectors.count()
 
     lists = None
+    bridges: list[DataFrame] = []
     recall = 1.0
     for attempt in range(AUDITS):
-        first = _leaves(scratch, vectors, n, 101 + attempt).withColumn("fresh", F.lit(True))
+        first = _apart(scratch, _leaves(scratch, vectors, n, 101 + attempt), bridges).withColumn("fresh", F.lit(True))
         if lists is not None:
             first = first.unionByName(lists.withColumn("fresh", F.lit(False)))
         lists = scratch.write(_best(first, None), "lists")
-        lists = _descend(scratch, lists, vectors, n, None, 1000 * attempt)
+        lists = _descend(scratch, lists, vectors, n, None, 1000 * attempt, bridges)
         saturated = lambda k: (lists.groupBy("src").agg(F.count(F.lit(1)).alias("c"), F.min("sim").alias("s"))
                                .where((F.col("c") >= k) & (F.col("s") >= THRESHOLD - MARGIN)).select(F.col("src").alias("id")))
         wide = scratch.write(saturated(NEIGHBOURS), "saturated")
         if not wide.isEmpty():
             again = lists.join(wide.select(F.col("id").alias("src"), F.lit(True).alias("_wide")), "src", "left")
             lists = scratch.write(again.withColumn("fresh", F.coalesce("_wide", F.lit(False))).drop("_wide"), "lists")
-            lists = _descend(scratch, lists, vectors, n, wide, 1000 * attempt + 500)
+            lists = _descend(scratch, lists, vectors, n, wide, 1000 * attempt + 500, bridges)
         links = _links(scratch, lists, vectors)
-        placed = scratch.write(components(scratch, links), "components")
+        spans = scratch.write(reduce(DataFrame.unionByName, bridges).distinct(), "bridges")
+        bridges = [spans]
+        checked = _links(scratch, spans.where(F.col("sim") < SURE), vectors)
+        tied = spans.where(F.col("sim") == SURE).select(F.col("src").alias("a"), F.col("dst").alias("b"))
+        placed = scratch.write(components(scratch, links.unionByName(checked).unionByName(tied)), "components")
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         listed = both.join(vectors.select(F.col("id").alias("b"), "size"), "b").groupBy(F.col("a").alias("id")).agg(F.sum("size").alias("n"))
         whole = _whole_components(scratch, placed, vectors, saturated(ENLARGED))

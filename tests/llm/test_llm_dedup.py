@@ -139,3 +139,29 @@ def test_near_vectors_against_brute_force(spark):
     assert degree == {i: r.n_links for i, r in got.items()}
     assert roots(got, links) == {i: r.component_id for i, r in got.items()}
     assert embeddings.near_vectors(df.limit(0)).count() == 0
+
+
+def two_crowds():
+    """Two tight crowds, each larger than any list; only a few pairs between them are links."""
+    rng = np.random.default_rng(8)
+    axis = np.eye(16)
+    far = math.acos(0.955)
+    crowds = [axis[0], math.cos(far) * axis[0] + math.sin(far) * axis[1]]
+    return [(i, [float(x) for x in crowds[i % 2] + 0.01 * rng.standard_normal(16)]) for i in range(700)]
+
+
+def brute(rows):
+    u = np.array([v for _, v in rows])
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    linked = u @ u.T >= 0.95
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def test_links_between_crowds_are_kept(spark):
+    rows = two_crowds()
+    linked = brute(rows)
+    assert linked[0::2, 1::2].any() and linked[0::2, 0::2].sum(axis=1).min() > embeddings.ENLARGED
+    got = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert {i: int(linked[i].sum()) for i, _ in rows} == {i: r.n_links for i, r in got.items()}
+    assert {r.component_id for r in got.values()} == {0}
