@@ -6,7 +6,7 @@ leaves, then each round joins, around every vector, its neighbours and the vecto
 that have it as neighbour, compares pairs of which one is new, and keeps every
 vector's best K (neighbours of neighbours become neighbours). Rounds end when
 hardly any list gains an entry near the threshold. A list whose last entry is still similar enough is saturated: it is
-enlarged and refined again; components that still hold saturated lists are then
+enlarged and refined again; components that hold lists saturated at any time are then
 compared whole, in pairs of blocks, of which only counts leave the tasks.
 A sample of rows is compared with all rows (audit); while the recall of links is
 below the goal, leaves with new hyperplanes are added and the descent goes on.
@@ -16,8 +16,8 @@ a table of bridges: per group, the sets of members that hang together. Component
 taken over links and bridges, so a list that is full of its own group hides no way to another.
 
 Lists are refined on half-precision copies; every link that is kept has been computed
-in double precision, or is a bridge above the threshold by more than the margin. Leaves over
-the limit are compared in pairs of blocks; hubs are split by a hash.
+in double precision, or is a bridge above the threshold by more than the margin. Leaves and
+hubs over the limit are compared in pairs of blocks.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components have no links; vectors of different lengths are never linked; a null id is
@@ -42,7 +42,7 @@ THRESHOLD = 0.95
 MARGIN = 0.004  # of half-precision cosines
 NEIGHBOURS, ENLARGED = 10, 30
 LEAF, LEAF_TABLES = 64, 8
-HUB = 96  # members of one group before it is split
+HUB = 96  # members of one block
 SETTLED = 0.001  # new near entries per vector at which a descent ends
 ROUNDS = 8  # of one descent
 BLOCK = 256
@@ -156,7 +156,7 @@ def _leaf_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs around one vector of which one member is new, if either one's list gains by it."""
+    """Pairs around one vector of which one member is new: what a list gains by them, and bridges."""
     def chunks():
         for g in groups(batches, "grp"):
             fresh = g.column("fresh").to_numpy(zero_copy_only=False).astype(bool)
@@ -164,13 +164,18 @@ def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             ids, low = g.column("id").to_numpy(), g.column("low").to_numpy()
             q = _matrix(g.column("q"), np.float16).astype(np.float32)
-            sims = q @ q.T
-            gain = (sims > np.minimum(low[:, None], low[None, :])) & (fresh[:, None] | fresh[None, :])
-            a, b = np.nonzero(np.triu(gain, 1))
+            may = _to_compare(g) & (fresh[:, None] | fresh[None, :])
+            sims = np.where(may, q @ q.T, np.float32(-3))
+            gain = sims > np.maximum(low, np.float32(-2.5))[:, None]
+            if gain.sum(axis=1).max() > ENLARGED:  # no list holds more
+                best = np.argpartition(-sims, ENLARGED - 1, axis=1)[:, :ENLARGED]
+                top = np.zeros_like(gain)
+                np.put_along_axis(top, best, True, axis=1)
+                gain &= top
+            a, b = np.nonzero(gain)
             if len(a):
-                s = sims[a, b]
-                yield np.concatenate([ids[a], ids[b]]), np.concatenate([ids[b], ids[a]]), np.concatenate([s, s]), False
-            yield from _bridges(ids, sims, ~np.eye(len(ids), dtype=bool) & (fresh[:, None] | fresh[None, :]))
+                yield ids[a], ids[b], sims[a, b], False
+            yield from _bridges(ids, sims, may)
 
     yield from _batched(chunks())
 
@@ -180,14 +185,6 @@ def _grouped(df: DataFrame, fn, schema: str, *key: str) -> DataFrame:
     return keyed.repartition(partitions(df.sparkSession), "grp").sortWithinPartitions("grp").mapInArrow(fn, schema)
 
 
-def _split(df: DataFrame, key: str, limit: int, salt: int) -> DataFrame:
-    """Add ``sub``: groups of ``key`` over ``limit`` rows fall into parts by a hash of the id."""
-    large = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    return (df.join(large, key, "left")
-            .withColumn("sub", F.when(F.col("_n").isNull(), 0).otherwise(
-                F.pmod(F.xxhash64("id", F.lit(salt)), F.ceil(F.col("_n") / limit))).cast("long")).drop("_n"))
-
-
 def _blocks(df: DataFrame, key: str, limit: int) -> DataFrame:
     """Groups of ``key`` over ``limit`` rows fall into blocks by a hash of the id, and every pair of blocks
     (``lo``, ``hi``) becomes a group, so that all pairs of the whole group are compared."""
@@ -242,7 +239,7 @@ def _best(lists: DataFrame, wide: DataFrame | None) -> DataFrame:
             .where((F.col("_rank") <= NEIGHBOURS) | F.col("_wide")).drop("_rank", "_wide"))
 
 
-def _descend(scratch: Scratch, lists: DataFrame, vectors: DataFrame, n: int, wide: DataFrame | None, salt: int, bridges: list[DataFrame]) -> DataFrame:
+def _descend(scratch: Scratch, lists: DataFrame, vectors: DataFrame, n: int, wide: DataFrame | None, bridges: list[DataFrame]) -> DataFrame:
     """Rounds of neighbours-of-neighbours joins until few lists change."""
     for round_ in range(ROUNDS):
         held = lists.groupBy("src").agg(F.count(F.lit(1)).alias("_c"), F.min("sim").alias("_low"))
@@ -256,8 +253,8 @@ def _descend(scratch: Scratch, lists: DataFrame, vectors: DataFrame, n: int, wid
                   .unionByName(lists.select(F.col("dst").alias("center"), F.col("src").alias("id"), "fresh"))
                   .groupBy("center", "id").agg(F.max("fresh").alias("fresh")))
         live = around.where("fresh").select("center").distinct()
-        members = _split(around.join(live, "center", "left_semi"), "center", HUB, salt + round_)
-        found = _apart(scratch, _grouped(members.join(nodes, "id"), _local_join, LISTS, "center", "sub"), bridges)
+        members = _blocks(around.join(live, "center", "left_semi"), "center", HUB)
+        found = _apart(scratch, _grouped(members.join(nodes, "id"), _local_join, LISTS, "center", "lo", "hi"), bridges)
         merged = lists.withColumn("fresh", F.lit(False)).unionByName(found.withColumn("fresh", F.lit(True)))
         after = scratch.write(_best(merged, wide), f"lists-{round_}")
         scratch.drop(lists)
@@ -268,6 +265,12 @@ def _descend(scratch: Scratch, lists: DataFrame, vectors: DataFrame, n: int, wid
     return lists
 
 
+def _full(lists: DataFrame) -> DataFrame:
+    """Ids of the lists that hold NEIGHBOURS near entries or more."""
+    return (lists.where(F.col("sim") >= THRESHOLD - MARGIN).groupBy("src").agg(F.count(F.lit(1)).alias("c"))
+            .where(F.col("c") >= NEIGHBOURS).select(F.col("src").alias("id")))
+
+
 def _dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         dots = [float(np.frombuffer(x, np.float64) @ np.frombuffer(y, np.float64))
@@ -365,14 +368,12 @@ def near_vectors(table_: DataFrame, id_col: str = "vec_id", vector_col: str = "e
         if lists is not None:
             first = first.unionByName(lists.withColumn("fresh", F.lit(False)))
         lists = scratch.write(_best(first, None), "lists")
-        lists = _descend(scratch, lists, vectors, n, None, 1000 * attempt, bridges)
-        saturated = lambda k: (lists.groupBy("src").agg(F.count(F.lit(1)).alias("c"), F.min("sim").alias("s"))
-                               .where((F.col("c") >= k) & (F.col("s") >= THRESHOLD - MARGIN)).select(F.col("src").alias("id")))
-        wide = scratch.write(saturated(NEIGHBOURS), "saturated")
+        lists = _descend(scratch, lists, vectors, n, None, bridges)
+        wide = scratch.write(_full(lists), "saturated")
         if not wide.isEmpty():
             again = lists.join(wide.select(F.col("id").alias("src"), F.lit(True).alias("_wide")), "src", "left")
             lists = scratch.write(again.withColumn("fresh", F.coalesce("_wide", F.lit(False))).drop("_wide"), "lists")
-            lists = _descend(scratch, lists, vectors, n, wide, 1000 * attempt + 500, bridges)
+            lists = _descend(scratch, lists, vectors, n, wide, bridges)
         links = _links(scratch, lists, vectors)
         spans = scratch.write(reduce(DataFrame.unionByName, bridges).distinct(), "bridges")
         bridges = [spans]
@@ -381,7 +382,8 @@ def near_vectors(table_: DataFrame, id_col: str = "vec_id", vector_col: str = "e
         placed = scratch.write(components(scratch, links.unionByName(checked).unionByName(tied)), "components")
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         listed = both.join(vectors.select(F.col("id").alias("b"), "size"), "b").groupBy(F.col("a").alias("id")).agg(F.sum("size").alias("n"))
-        whole = _whole_components(scratch, placed, vectors, saturated(ENLARGED))
+        # a list that was full once has lost entries, and others may have filled up since
+        whole = _whole_components(scratch, placed, vectors, wide.unionByName(_full(lists)))
         counts = scratch.write(listed.join(whole, "id", "left_anti").unionByName(whole.select("id", "n")), "counts")
         recall = _audit(vectors, counts, n)
         if recall >= AUDIT_GOAL:

@@ -165,3 +165,30 @@ def test_links_between_crowds_are_kept(spark):
     got = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
     assert {i: int(linked[i].sum()) for i, _ in rows} == {i: r.n_links for i, r in got.items()}
     assert {r.component_id for r in got.values()} == {0}
+
+
+def test_hubs_are_joined_whole(spark):
+    """Every pair around a hub is compared, whichever blocks its members fall into."""
+    rng = np.random.default_rng(2)
+    n = 3 * embeddings.HUB
+    u = rng.standard_normal((n, 4))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    rows = [(0, i, True, -2.0, bytearray(u[i].astype(np.float16).tobytes())) for i in range(n)]
+    df = embeddings._blocks(spark.createDataFrame(rows, "center long, id long, fresh boolean, low float, q binary"), "center", embeddings.HUB)
+    found = embeddings._grouped(df, embeddings._local_join, embeddings.LISTS, "center", "lo", "hi").where("NOT bridge").collect()
+    best: dict[int, set] = {}
+    for r in sorted(found, key=lambda r: -r.sim):
+        own = best.setdefault(r.src, set())
+        if len(own) < embeddings.NEIGHBOURS:
+            own.add(r.dst)
+    half = u.astype(np.float16).astype(np.float32)
+    sims = half @ half.T
+    np.fill_diagonal(sims, -2)
+    tenth = np.sort(sims, axis=1)[:, -embeddings.NEIGHBOURS]
+    assert all(len(best[i]) == embeddings.NEIGHBOURS and sims[i, list(best[i])].min() >= tenth[i] - 1e-5 for i in range(n))
+
+
+def test_lists_full_at_their_own_limit_are_sent_on(spark):
+    near = embeddings.THRESHOLD + 0.01
+    rows = [(1, i, near) for i in range(10, 10 + embeddings.NEIGHBOURS)] + [(2, i, near) for i in range(30, 35)] + [(2, i, 0.5) for i in range(35, 40)]
+    assert [r.id for r in embeddings._full(spark.createDataFrame(rows, "src long, dst long, sim float")).collect()] == [1]
