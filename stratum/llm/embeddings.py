@@ -4,12 +4,15 @@ Equal vectors are one class, represented by its smallest id, so copies cost a co
 On the classes a neighbour graph is grown: first lists come from random-hyperplane
 leaves, then each round joins, around every vector, its neighbours and the vectors
 that have it as neighbour, compares pairs of which one is new, and keeps every
-vector's best K (neighbours of neighbours become neighbours). Rounds end when
-hardly any list gains an entry near the threshold. A list whose last entry is still similar enough is saturated: it is
+vector's best K (neighbours of neighbours become neighbours). Rounds end when few
+lists change, apart from those full of near entries, which are compared whole in any case. A list whose last entry is still similar enough is saturated: it is
 enlarged and refined again; components that hold lists saturated at any time are then
 compared whole, in pairs of blocks, of which only counts leave the tasks.
-A sample of rows is compared with all rows (audit); while the recall of links is
-below the goal, leaves with new hyperplanes are added and the descent goes on.
+The tables of leaves grow with the number of hyperplanes, so that a pair at the threshold
+meets in one with the same chance at any size. Two samples of rows, of all vectors and of
+those with links, are compared with all rows (audit); while the recall of links, averaged
+per vector, is below the goal in one of them, leaves with new hyperplanes are added and
+the descent goes on, and in the end the operator fails rather than return less.
 
 What a leaf or a join sees near the threshold also goes, apart from the capped lists, into
 a table of bridges: per group, the sets of members that hang together. Components are
@@ -41,9 +44,10 @@ from stratum.llm.common import Scratch, components, groups, partitions, table
 THRESHOLD = 0.95
 MARGIN = 0.004  # of half-precision cosines
 NEIGHBOURS, ENLARGED = 10, 30
-LEAF, LEAF_TABLES = 64, 8
+LEAF, LEAF_TABLES = 64, 8  # tables at least
+CONTACT = 0.995  # chance that a pair at the threshold shares a leaf
 HUB = 96  # members of one block
-SETTLED = 0.001  # new near entries per vector at which a descent ends
+SETTLED = 0.02  # changed entries per vector at which a descent ends
 ROUNDS = 8  # of one descent
 BLOCK = 256
 AUDIT_ROWS, AUDIT_GOAL, AUDITS = 1024, 0.995, 3
@@ -135,7 +139,8 @@ def _bridges(ids: np.ndarray, sims: np.ndarray, may: np.ndarray) -> Iterator[tup
 
 
 def _leaf_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each member's best neighbours inside its leaf, and the leaf's bridges; of two blocks only near neighbours."""
+    """Each member's best neighbours inside its leaf, and the leaf's bridges; of two blocks, and in
+    the tables over the first LEAF_TABLES, only near neighbours."""
     def chunks():
         for g in groups(batches, "grp"):
             n = g.num_rows
@@ -148,7 +153,7 @@ def _leaf_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k = min(NEIGHBOURS, n - 1)
             best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
             s = np.take_along_axis(sims, best, 1).ravel()
-            keep = s >= (THRESHOLD - MARGIN if g.column("cross")[0].as_py() else -1.5)
+            keep = s >= (THRESHOLD - MARGIN if g.column("cross")[0].as_py() or g.column("later")[0].as_py() else -1.5)
             yield np.repeat(ids, k)[keep], ids[best].ravel()[keep], s[keep], False
             yield from _bridges(ids, sims, may)
 
@@ -199,25 +204,33 @@ def _blocks(df: DataFrame, key: str, limit: int) -> DataFrame:
 LISTS = "src long, dst long, sim float, bridge boolean"
 
 
+def _tables(bits: int) -> int:
+    """Tables of ``bits`` hyperplanes in which a pair at the threshold shares a leaf with chance CONTACT."""
+    met = (1 - math.acos(THRESHOLD) / math.pi) ** bits
+    return LEAF_TABLES if met == 1 else max(LEAF_TABLES, math.ceil(math.log(1 - CONTACT) / math.log(1 - met)))
+
+
 def _leaves(scratch: Scratch, vectors: DataFrame, n: int, seed: int) -> DataFrame:
     """First lists and bridges from leaves of random hyperplanes."""
     bits = max(0, math.ceil(math.log2(max(1, n) / LEAF)))
+    tables = _tables(bits)
 
     def codes(batches):
         planes: dict[int, np.ndarray] = {}
         for b in batches:
-            ids, leaves = [], []
+            ids, leaves, later = [], [], []
             for i, u in zip(b.column("id").to_pylist(), b.column("u").to_pylist(), strict=True):
                 x = np.frombuffer(u, np.float64)
                 d = len(x)
                 if d not in planes:
-                    planes[d] = np.random.default_rng((seed, d)).standard_normal((LEAF_TABLES * bits, d))
-                signs = np.packbits((planes[d] @ x > 0).reshape(LEAF_TABLES, bits), axis=1)
-                ids += [i] * LEAF_TABLES
-                leaves += [xxhash.xxh3_64_intdigest(f"{seed}:{d}:{t}:".encode() + signs[t].tobytes()) - (1 << 63) for t in range(LEAF_TABLES)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(leaves, pa.int64())], names=["id", "leaf"])
-
-    coded = scratch.write(vectors.select("id", "u").mapInArrow(codes, "id long, leaf long"), "codes")
+                    planes[d] = np.random.default_rng((seed, d)).standard_normal((tables * bits, d))
+                signs = np.packbits((planes[d] @ x > 0).reshape(tables, bits), axis=1)
+                ids += [i] * tables
+                leaves += [xxhash.xxh3_64_intdigest(f"{seed}:{d}:{t}:".encode() + signs[t].tobytes()) - (1 << 63) for t in range(tables)]
+                later += [t >= LEAF_TABLES for t in range(tables)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(leaves, pa.int64()), pa.array(later, pa.bool_())], names=["id", "leaf", "later"])
+
+    coded = scratch.write(vectors.select("id", "u").mapInArrow(codes, "id long, leaf long, later boolean"), "codes")
     placed = _blocks(coded, "leaf", 4 * LEAF).join(vectors.select("id", "q"), "id")
     return _grouped(placed, _leaf_lists, LISTS, "leaf", "lo", "hi")
 
@@ -259,8 +272,8 @@ def _descend(scratch: Scratch, lists: DataFrame, vectors: DataFrame, n: int, wid
         after = scratch.write(_best(merged, wide), f"lists-{round_}")
         scratch.drop(lists)
         lists = after
-        gained = lists.where(F.col("fresh") & (F.col("sim") >= THRESHOLD - MARGIN)).count()
-        if round_ and gained <= SETTLED * n:
+        changed = lists.where("fresh").join(_full(lists).withColumnRenamed("id", "src"), "src", "left_anti").count()
+        if changed <= SETTLED * n:
             break
     return lists
 
@@ -318,9 +331,16 @@ def _whole_components(scratch: Scratch, placed: DataFrame, vectors: DataFrame, s
 
 
 def _audit(vectors: DataFrame, counts: DataFrame, n: int) -> float:
-    """Share of the links of a bounded sample of rows, found by comparing it with all rows, that ``counts`` has."""
-    step = max(1, n // AUDIT_ROWS)
-    rows = vectors.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(step)) == 0).select("id", "dim", "u").orderBy("id").limit(2 * AUDIT_ROWS).collect()
+    """Share of a vector's links, found by comparing it with all rows, that ``counts`` has: the mean over the vectors
+    with links in a bounded sample of all, or in one of the vectors known to have links if that is less."""
+    linked = counts.where("n > 0").select("id")
+    rows, samples = [], []
+    for of, m in ((vectors, n), (vectors.join(linked, "id", "left_semi"), linked.count())):
+        step = max(1, m // AUDIT_ROWS)
+        part = of.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(step)) == 0).select("id", "dim", "u").orderBy("id").limit(2 * AUDIT_ROWS).collect()
+        known = {i for s in samples for i in s}
+        rows += [r for r in part if r.id not in known]
+        samples.append({r.id for r in part})
     by_dim: dict[int, tuple[list[int], np.ndarray]] = {}
     for dim in {r.dim for r in rows}:
         own = [r for r in rows if r.dim == dim]
@@ -343,12 +363,13 @@ def _audit(vectors: DataFrame, counts: DataFrame, n: int) -> float:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["id", "n"])
 
     true = vectors.select("id", "dim", "size", "u").mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("t"))
-    got = true.join(counts, "id", "left").agg(F.sum("t").alias("t"), F.sum(F.least("t", F.coalesce("n", F.lit(0)))).alias("g")).first()
-    return got.g / got.t if got.t else 1.0
+    held = true.where("t > 0").join(counts, "id", "left").select("id", (F.least("t", F.coalesce("n", F.lit(0))) / F.col("t")).alias("share")).collect()
+    shares = [[r.share for r in held if r.id in s] for s in samples]
+    return min((sum(s) / len(s) for s in shares if s), default=1.0)
 
 
 def near_vectors(table_: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """One row per id: n_links, component_id, audit_recall (share of a sample's links that were found)."""
+    """One row per id: n_links, component_id, audit_recall (mean share of a sampled vector's links that were found)."""
     spark = table_.sparkSession
     scratch = Scratch(spark, "nn-descent")
     raw = table_.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where("id IS NOT NULL")
@@ -388,6 +409,8 @@ def near_vectors(table_: DataFrame, id_col: str = "vec_id", vector_col: str = "e
         recall = _audit(vectors, counts, n)
         if recall >= AUDIT_GOAL:
             break
+    else:
+        raise RuntimeError(f"near_vectors: recall of links {recall:.4f} is below {AUDIT_GOAL} after {AUDITS} descents")
     of_class = (vectors.select("id", "digest", "size").join(placed, "id", "left").join(counts, "id", "left")
                 .select("digest", (F.col("size") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component")))
     return (rows.select("id", "digest").join(of_class, "digest", "left")

@@ -192,3 +192,26 @@ def test_lists_full_at_their_own_limit_are_sent_on(spark):
     near = embeddings.THRESHOLD + 0.01
     rows = [(1, i, near) for i in range(10, 10 + embeddings.NEIGHBOURS)] + [(2, i, near) for i in range(30, 35)] + [(2, i, 0.5) for i in range(35, 40)]
     assert [r.id for r in embeddings._full(spark.createDataFrame(rows, "src long, dst long, sim float")).collect()] == [1]
+
+
+@pytest.mark.parametrize("n", [1_000_000, 100_000_000])
+def test_first_contact_does_not_fall_with_size(n):
+    bits = math.ceil(math.log2(n / embeddings.LEAF))
+    met = (1 - math.acos(embeddings.THRESHOLD) / math.pi) ** bits
+    assert 1 - (1 - met) ** embeddings._tables(bits) >= embeddings.AUDIT_GOAL
+
+
+def test_audit_is_not_hidden_by_a_hot_group(spark, monkeypatch):
+    """A lost pair beside a crowd whose links are all there; the operator fails rather than return it."""
+    rows = [r for r in two_crowds() if r[0] % 2 == 0] + [(i, list(np.eye(16)[2 + (i - 1000) // 2])) for i in range(1000, 1020)]
+    rows = [(i, [x + 0.001 * i * (j == 15) / 1000 for j, x in enumerate(v)]) for i, v in rows]
+    linked = brute(rows)
+    data = [(i, 1, 16, bytearray((np.array(v) / np.linalg.norm(v)).tobytes())) for i, v in rows]
+    vectors = spark.createDataFrame(data, "id long, size long, dim int, u binary")
+    whole = spark.createDataFrame([(r[0], int(l.sum())) for r, l in zip(rows, linked)], "id long, n long")
+    assert embeddings._audit(vectors, whole, len(rows)) == 1.0
+    assert embeddings._audit(vectors, whole.where("id < 1000"), len(rows)) < embeddings.AUDIT_GOAL
+    monkeypatch.setattr(embeddings, "_audit", lambda *_: 0.9)
+    monkeypatch.setattr(embeddings, "AUDITS", 1)
+    with pytest.raises(RuntimeError, match="below"):
+        embeddings.near_vectors(spark.createDataFrame(rows[:5], "vec_id long, embedding array<double>"))
