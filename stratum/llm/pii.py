@@ -1,10 +1,13 @@
 """Personal data by base patterns and a skip-chain conditional random field (operator 10).
 
-Base patterns (e-mail, IP, card, phone) find their spans first. In texts with a digit or
-an at-sign, the tokens around such marks are the nodes of a conditional random field:
-neighbouring tokens share chain potentials, and repeated or similar tokens anywhere in
-the document (the same digits in another form, a mention of an address's local part)
-share skip potentials. Loopy sum-product message passing then carries what is known at
+Base patterns (e-mail, IP, card, phone) find their spans first. In texts with a digit, an
+at-sign or a credential cue, the tokens around such marks are the nodes of a conditional
+random field: neighbouring tokens share chain potentials, and similar tokens anywhere in
+the document (the same digits, a mention of an address's local part) share skip
+potentials. Mentions of one datum are tied: a base card or phone and the same digits in
+another form, of a phone also without country code; and in texts with a span or an
+assignment, repeated tokens of six characters or more that are unlike words. Values of
+assignments that are unlike words count as evidence. Loopy sum-product message passing then carries what is known at
 one place, the base spans above all, to the others, so that labels agree across
 the document. Tokens outside the base spans whose marginal for a kind reaches 0.9 become
 added spans; credentials (kind ``secret``) only arise this way.
@@ -23,10 +26,12 @@ columns are passed through (``redact``) or not read.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import pickle
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +58,12 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SECRET = re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"']{6,})")
 _TOKEN = re.compile(r"[^\s=\"'<>|,;()\[\]{}]+")
 _MARK = re.compile(r"[0-9@]")
+_CUES = ("passw", "pwd", "token", "secret", "key")  # one is in every match of _SECRET, in lower case
+MARKED = "[0-9@]|(?i:password|passwd|pwd|token|secret|api[_-]?key)[\"']?\\s{0,3}[=:]"  # texts that can hold spans
+_NUMBER = re.compile(r"[0-9+./-]+")
+_JOINT = re.compile(r"[\s()./-]{1,3}")
+_UNLIKE_WORDS = re.compile(r"[^A-Za-z]|[a-z][A-Z]")
+TIE, OBSERVED = 100.0, 200.0  # log-odds: two mentions of one datum have one label; a mention that a pattern or an assignment labels
 
 
 def luhn(digits: str) -> bool:
@@ -112,6 +123,59 @@ def _shape(core: str) -> str:
     return "".join(out)
 
 
+def _digits(text: str) -> str:
+    return "".join(c for c in text if c in "0123456789")
+
+
+def _assignments(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, label) of the values of credential assignments."""
+    low = text.lower()
+    return [(m.start(1), m.end(1), 5) for m in _SECRET.finditer(text)] if any(c in low for c in _CUES) else []
+
+
+def _mentions(text: str, tokens: list[tuple[int, int]], known: list[tuple[int, int, int]], assigned: list) -> dict[int, str]:
+    """Tokens that belong to a mention of one datum, with the datum: all tokens of a base card or phone; runs of
+    tokens whose joined digits are such a number, of a phone also without its country code or behind zeros; and,
+    where the text holds a span or an assignment, tokens unlike words that are repeated."""
+    out: dict[int, str] = {}
+    forms: dict[str, str] = {}
+    spans = []
+    for k, a, b in known:
+        if k in (2, 3):
+            digits = _digits(text[a:b])
+            spans.append((a, b, forms.setdefault(digits, f"d{digits}")))
+            for cut in (1, 2, 3) if k == 3 else ():
+                if len(digits) - cut >= 7:
+                    forms.setdefault(digits[cut:], f"d{digits}")
+    starts = [a for a, _ in tokens]
+    for a, b, datum in spans:
+        for i in range(max(0, bisect.bisect_right(starts, a) - 1), bisect.bisect_left(starts, b)):
+            if tokens[i][1] > a:
+                out[i] = datum
+    if forms:
+        longest = max(map(len, forms)) + 3
+        i = 0
+        while i < len(tokens):
+            joined, j, found = "", i, None
+            while j < len(tokens) and j not in out and _NUMBER.fullmatch(text, *tokens[j]) and len(joined) <= longest \
+                    and (j == i or _JOINT.fullmatch(text, tokens[j - 1][1], tokens[j][0])):
+                joined += _digits(text[slice(*tokens[j])])
+                datum = forms.get(joined) or forms.get(joined.lstrip("0"))
+                if datum:
+                    found = j, datum
+                j += 1
+            if found:
+                out.update((t, found[1]) for t in range(i, found[0] + 1))
+                i = found[0]
+            i += 1
+    if known or assigned:
+        times = Counter(c for a, b in tokens if b - a >= 6 and _UNLIKE_WORDS.search(c := text[a:b]))
+        for i, (a, b) in enumerate(tokens):
+            if i not in out and times.get(text[a:b], 0) > 1 and "@" not in text[a:b]:
+                out[i] = f"t{text[a:b]}"
+    return out
+
+
 class Nodes:
     """The field's nodes of one or more documents: spans, feature indices, edges, known labels."""
 
@@ -120,8 +184,10 @@ class Nodes:
         self.features: list[list[int]] = []
         self.base: list[int] = []
         self.taught: list[int] = []
+        self.assigned: list[int] = []
         self.chain: list[tuple[int, int]] = []
         self.skip: list[tuple[int, int]] = []
+        self.tie: list[tuple[int, int]] = []
 
     def add(self, doc: int, text: str, known: list[tuple[int, int, int]], teach: bool = False) -> None:
         tokens = []
@@ -132,14 +198,20 @@ class Nodes:
             if b > a:
                 tokens.append((a, b))
         marked = [i for i, (a, b) in enumerate(tokens) if _MARK.search(text, a, b)]
+        assigned = _assignments(text)
+        mentions = _mentions(text, tokens, known, assigned)
+        marked += mentions
+        for a, b, _ in assigned:
+            marked += [i for i in range(max(0, bisect.bisect_right(tokens, (a, len(text))) - 1), bisect.bisect_left(tokens, (b, 0))) if tokens[i][1] > a]
         names = {text[s:text.index("@", s)].lower() for k, s, _ in known if k == 0}
         wanted = {j for i in marked for j in range(max(0, i - 2), min(len(tokens), i + 3))}
         if names:
             wanted.update(i for i, (a, b) in enumerate(tokens) if text[a:b].lower() in names)
         cover = sorted((s, e, k + 1) for k, s, e in known)
-        lessons = sorted((m.start(1), m.end(1), 5) for m in _SECRET.finditer(text)) if teach else []
+        lessons = assigned
         at = lesson_at = 0
         last_seen: dict[str, int] = {}
+        first_of: dict[str, int] = {}
         previous = -2
         for i in sorted(wanted):
             a, b = tokens[i]
@@ -150,7 +222,8 @@ class Nodes:
             label = cover[at][2] if at < len(cover) and cover[at][0] < b else 0
             while lesson_at < len(lessons) and lessons[lesson_at][1] <= a:
                 lesson_at += 1
-            taught = label or (lessons[lesson_at][2] if lesson_at < len(lessons) and lessons[lesson_at][0] < b else 0)
+            value = lessons[lesson_at][2] if lesson_at < len(lessons) and lessons[lesson_at][0] < b else 0
+            taught = label or (value if teach else 0)
             gap = text[tokens[i - 1][1]:a] if i else ""
             before = text[tokens[i - 1][0]:tokens[i - 1][1]] if i else ""
             after = text[tokens[i + 1][0]:tokens[i + 1][1]] if i + 1 < len(tokens) else ""
@@ -164,11 +237,17 @@ class Nodes:
             self.spans.append((doc, a, b))
             self.base.append(label)
             self.taught.append(taught)
+            self.assigned.append(0 if label or not _UNLIKE_WORDS.search(core) else value)
             if i == previous + 1:
                 self.chain.append((node - 1, node))
             previous = i
+            if i in mentions:
+                if mentions[i] in first_of:
+                    self.tie.append((first_of[mentions[i]], node))
+                first_of.setdefault(mentions[i], node)
+                continue
             key = core.partition("@")[0].lower() if "@" in core or core.lower() in names else \
-                "".join(c for c in core if c in "0123456789") if digits >= 5 else None
+                _digits(core) if digits >= 5 else None
             if key:
                 if key in last_seen:
                     self.skip.append((last_seen[key], node))
@@ -219,18 +298,23 @@ def train(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | Non
     return tuple(params)
 
 
-def marginals(model, features, base, chain, skip) -> np.ndarray:
-    """Node marginals by loopy sum-product message passing over chain and skip edges."""
+def marginals(model, features, base, chain, skip, tie=np.zeros((0, 2), np.int64)) -> np.ndarray:
+    """Node marginals by loopy sum-product message passing over chain, skip and tie edges."""
     unary, a, s = model
     n = len(features)
     u = unary[features].sum(axis=1)
     u[np.arange(n), base] += np.where(base > 0, BASE_WEIGHT, 0.0)
+    seen = np.unique(tie)
+    seen = seen[base[seen] > 0]
+    u[seen, base[seen]] += OBSERVED
     u -= u.max(axis=1, keepdims=True)
+    own = len(skip)
+    skip = np.concatenate([skip, tie])
     m1, m2 = len(chain), len(skip)
     src = np.concatenate([chain[:, 0], chain[:, 1], skip[:, 0], skip[:, 1]])
     dst = np.concatenate([chain[:, 1], chain[:, 0], skip[:, 1], skip[:, 0]])
     back = np.concatenate([np.arange(m1) + m1, np.arange(m1), 2 * m1 + m2 + np.arange(m2), 2 * m1 + np.arange(m2)])
-    pair = np.concatenate([np.broadcast_to(a, (m1, LABELS, LABELS)), np.broadcast_to(a.T, (m1, LABELS, LABELS)), np.broadcast_to(s, (2 * m2, LABELS, LABELS))])
+    pair = np.concatenate([np.broadcast_to(a, (m1, LABELS, LABELS)), np.broadcast_to(a.T, (m1, LABELS, LABELS)), *[np.broadcast_to(x, (m, LABELS, LABELS)) for x, m in 2 * ((s, own), (TIE * np.eye(LABELS), m2 - own))]])
     messages = np.zeros((len(src), LABELS))
     for _ in range(ROUNDS if len(src) else 0):
         belief = u + _spread(dst, messages, n)
@@ -256,7 +340,8 @@ def detect_texts(texts: list[str], model) -> list[tuple[list, list]]:
     added: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     if nodes.spans:
         features, labels, _, chain, skip = nodes.arrays()
-        p = marginals(model, features, labels, chain, skip)
+        evidence = np.where(labels > 0, labels, np.array(nodes.assigned, np.int64))
+        p = marginals(model, features, evidence, chain, skip, np.array(nodes.tie, np.int64).reshape(-1, 2))
         best = p.argmax(axis=1)
         new = np.flatnonzero((best > 0) & (p.max(axis=1) >= CERTAIN) & (labels == 0))
         before = -2
@@ -272,13 +357,13 @@ def detect_texts(texts: list[str], model) -> list[tuple[list, list]]:
 
 
 def with_marks(texts: pa.Array) -> np.ndarray:
-    """Indices of the texts that hold a digit or an at-sign: no span can be in another."""
-    return np.flatnonzero(pc.match_substring_regex(texts, "[0-9@]").to_numpy(zero_copy_only=False))
+    """Indices of the texts that hold a digit, an at-sign or a credential cue: no span can be in another."""
+    return np.flatnonzero(pc.match_substring_regex(texts, MARKED).to_numpy(zero_copy_only=False))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """Train on a bounded sample: documents with marks, kept by a hash of their id."""
-    marked = docs.select(F.col(id_col).cast("string").alias("id"), text_or_empty(text_col).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    marked = docs.select(F.col(id_col).cast("string").alias("id"), text_or_empty(text_col).alias("text")).where(F.col("text").rlike(MARKED))
     step = max(1, marked.count() // TRAIN_DOCS)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

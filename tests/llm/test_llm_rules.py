@@ -251,3 +251,20 @@ def test_language_on_held_out_documents(spark):
         scores = model[language.trigrams(r.text)].mean(axis=0)[:-1]
         hits += language.LANGUAGES[scores.argmax()] == r.lang
     assert hits >= 0.99 * len(rest)
+
+
+FAR = " alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu "
+
+
+@pytest.mark.parametrize(("text", "kind", "repeat"), [
+    ("paid by 4111 1111 1111 1111 today," + FAR + "card 4111.1111.1111.1111 again" + FAR, "card", "4111.1111.1111.1111"),
+    ("call +1 (688) 555-0922 now," + FAR + "or 16885550922 then" + FAR, "phone", "16885550922"),
+    ("call +1 (688) 555-0922 now," + FAR + "or 688 555 0922 then" + FAR, "phone", "688 555 0922"),
+    ('password = "hunter2x!z"' + FAR + "they typed hunter2x!z there" + FAR, "secret", "hunter2x!z"),
+    ("password = blue-Horse-staple" + FAR + "they typed blue-Horse-staple there" + FAR, "secret", "blue-Horse-staple"),
+])
+def test_far_repeats_in_another_form_become_spans(spark, model, text, kind, repeat):
+    at = text.rindex(repeat)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = pii.find_spans(df, model).first().spans.split(",")
+    assert f"{kind}:{at}:{at + len(repeat)}" in spans
