@@ -16,8 +16,9 @@ The weights are trained by pseudo-likelihood on a bounded sample of documents (a
 about TRAIN_DOCS with marks, chosen by a hash of the id), labelled by the base patterns
 and by assignments such as ``password=...``; everything else looks at all rows.
 
-Skip edges join each occurrence to the one before, so a token repeated m times has m - 1
-of them. Texts are processed whole and one by one; nothing is shuffled.
+Skip edges and ties join each occurrence to one hub, the first that a base span labels or
+else the first, so a token repeated m times has m - 1 of them and none is more than two
+edges from another. Messages go on until they rest. Texts are processed whole and one by one; nothing is shuffled.
 
 Defined cases: a null text is an empty one and has no spans; repeated rows give repeated
 rows; a table without marks gives a model without weights, which adds nothing; other
@@ -33,11 +34,12 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.common import slices, table, text_or_empty
@@ -48,7 +50,9 @@ LABELS = len(KINDS) + 1  # 0: none
 TRAIN_DOCS = 600
 CERTAIN = 0.9
 BASE_WEIGHT = 8.0  # log-odds that a base span lends its tokens
-ROUNDS, DAMPING = 8, 0.5
+DAMPING = 0.5
+SETTLED = 1e-3  # log-odds: messages that would change by less rest
+ROUNDS = 1000  # a guard; from a tenth on, steps get shorter, which ends oscillations
 
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -133,10 +137,11 @@ def _assignments(text: str) -> list[tuple[int, int, int]]:
     return [(m.start(1), m.end(1), 5) for m in _SECRET.finditer(text)] if any(c in low for c in _CUES) else []
 
 
-def _mentions(text: str, tokens: list[tuple[int, int]], known: list[tuple[int, int, int]], assigned: list) -> dict[int, str]:
+def _mentions(text: str, tokens: list[tuple[int, int]], known: list[tuple[int, int, int]], assigned: list, names: set[str]) -> dict[int, str]:
     """Tokens that belong to a mention of one datum, with the datum: all tokens of a base card or phone; runs of
     tokens whose joined digits are such a number, of a phone also without its country code or behind zeros; and,
-    where the text holds a span or an assignment, tokens unlike words that are repeated."""
+    where the text holds a span or an assignment, tokens unlike words that are repeated
+    (``names``, the local parts of addresses, may mean someone else and are left to the skip potentials)."""
     out: dict[int, str] = {}
     forms: dict[str, str] = {}
     spans = []
@@ -171,7 +176,7 @@ def _mentions(text: str, tokens: list[tuple[int, int]], known: list[tuple[int, i
     if known or assigned:
         times = Counter(c for a, b in tokens if b - a >= 6 and _UNLIKE_WORDS.search(c := text[a:b]))
         for i, (a, b) in enumerate(tokens):
-            if i not in out and times.get(text[a:b], 0) > 1 and "@" not in text[a:b]:
+            if i not in out and times.get(text[a:b], 0) > 1 and "@" not in text[a:b] and text[a:b].lower() not in names:
                 out[i] = f"t{text[a:b]}"
     return out
 
@@ -199,19 +204,19 @@ class Nodes:
                 tokens.append((a, b))
         marked = [i for i, (a, b) in enumerate(tokens) if _MARK.search(text, a, b)]
         assigned = _assignments(text)
-        mentions = _mentions(text, tokens, known, assigned)
+        names = {text[s:text.index("@", s)].lower() for k, s, _ in known if k == 0}
+        mentions = _mentions(text, tokens, known, assigned, names)
         marked += mentions
         for a, b, _ in assigned:
             marked += [i for i in range(max(0, bisect.bisect_right(tokens, (a, len(text))) - 1), bisect.bisect_left(tokens, (b, 0))) if tokens[i][1] > a]
-        names = {text[s:text.index("@", s)].lower() for k, s, _ in known if k == 0}
         wanted = {j for i in marked for j in range(max(0, i - 2), min(len(tokens), i + 3))}
         if names:
             wanted.update(i for i, (a, b) in enumerate(tokens) if text[a:b].lower() in names)
         cover = sorted((s, e, k + 1) for k, s, e in known)
         lessons = assigned
         at = lesson_at = 0
-        last_seen: dict[str, int] = {}
-        first_of: dict[str, int] = {}
+        seen: dict[str, list[int]] = {}
+        tied: dict[str, list[int]] = {}
         previous = -2
         for i in sorted(wanted):
             a, b = tokens[i]
@@ -242,16 +247,16 @@ class Nodes:
                 self.chain.append((node - 1, node))
             previous = i
             if i in mentions:
-                if mentions[i] in first_of:
-                    self.tie.append((first_of[mentions[i]], node))
-                first_of.setdefault(mentions[i], node)
+                tied.setdefault(mentions[i], []).append(node)
                 continue
             key = core.partition("@")[0].lower() if "@" in core or core.lower() in names else \
                 _digits(core) if digits >= 5 else None
             if key:
-                if key in last_seen:
-                    self.skip.append((last_seen[key], node))
-                last_seen[key] = node
+                seen.setdefault(key, []).append(node)
+        for same, edges in ((seen, self.skip), (tied, self.tie)):
+            for nodes in same.values():
+                hub = next((j for j in nodes if self.base[j]), nodes[0])
+                edges += [(hub, j) for j in nodes if j != hub]
 
     def arrays(self):
         edges = lambda e: np.array(e, np.int64).reshape(-1, 2)
@@ -304,7 +309,7 @@ def marginals(model, features, base, chain, skip, tie=np.zeros((0, 2), np.int64)
     n = len(features)
     u = unary[features].sum(axis=1)
     u[np.arange(n), base] += np.where(base > 0, BASE_WEIGHT, 0.0)
-    seen = np.unique(tie)
+    seen = np.unique(np.concatenate([skip, tie]))  # a hub's label is known, however many others it has
     seen = seen[base[seen] > 0]
     u[seen, base[seen]] += OBSERVED
     u -= u.max(axis=1, keepdims=True)
@@ -316,13 +321,21 @@ def marginals(model, features, base, chain, skip, tie=np.zeros((0, 2), np.int64)
     back = np.concatenate([np.arange(m1) + m1, np.arange(m1), 2 * m1 + m2 + np.arange(m2), 2 * m1 + np.arange(m2)])
     pair = np.concatenate([np.broadcast_to(a, (m1, LABELS, LABELS)), np.broadcast_to(a.T, (m1, LABELS, LABELS)), *[np.broadcast_to(x, (m, LABELS, LABELS)) for x, m in 2 * ((s, own), (TIE * np.eye(LABELS), m2 - own))]])
     messages = np.zeros((len(src), LABELS))
-    for _ in range(ROUNDS if len(src) else 0):
+    live = np.arange(len(src))
+    for round_ in range(ROUNDS):
+        if not len(live):
+            break
         belief = u + _spread(dst, messages, n)
-        into = (belief[src] - messages[back])[:, :, None] + pair
+        into = (belief[src[live]] - messages[back[live]])[:, :, None] + pair[live]
         top = into.max(axis=1, keepdims=True)
         new = np.log(np.exp(into - top).sum(axis=1)) + top[:, 0]
         new -= new.max(axis=1, keepdims=True)
-        messages = DAMPING * messages + (1 - DAMPING) * new
+        change = new - messages[live]
+        messages[live] += (1 - DAMPING) * min(1.0, 0.1 * ROUNDS / (round_ + 1)) * change
+        moving = live[np.abs(change).max(axis=1) >= SETTLED]
+        stirred, again = np.zeros(n, bool), np.zeros(len(src), bool)
+        stirred[dst[moving]] = again[moving] = True
+        live = np.flatnonzero(again | stirred[src])
     belief = u + _spread(dst, messages, n)
     belief -= belief.max(axis=1, keepdims=True)
     p = np.exp(belief)
@@ -363,7 +376,9 @@ def with_marks(texts: pa.Array) -> np.ndarray:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """Train on a bounded sample: documents with marks, kept by a hash of their id."""
-    marked = docs.select(F.col(id_col).cast("string").alias("id"), text_or_empty(text_col).alias("text")).where(F.col("text").rlike(MARKED))
+    marked = docs.select(F.col(id_col).cast("string").alias("id"), text_or_empty(text_col).alias("text"))
+    cued = reduce(Column.__or__, [F.lower("text").contains(c) for c in _CUES])  # spares most texts the slower pattern
+    marked = marked.where(F.col("text").rlike(_MARK.pattern) | (cued & F.col("text").rlike(MARKED)))
     step = max(1, marked.count() // TRAIN_DOCS)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

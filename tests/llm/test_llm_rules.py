@@ -5,6 +5,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 
 from stratum.llm import language, licenses, mixing, pii
@@ -268,3 +269,19 @@ def test_far_repeats_in_another_form_become_spans(spark, model, text, kind, repe
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     spans = pii.find_spans(df, model).first().spans.split(",")
     assert f"{kind}:{at}:{at + len(repeat)}" in spans
+
+
+def test_evidence_reaches_every_mention(model):
+    text = "write to kim.lee@x.org now" + 30 * (FAR + "kim.lee said")
+    nodes = pii.Nodes()
+    nodes.add(0, text, pii.base_spans(text))
+    features, labels, _, chain, skip = nodes.arrays()
+    ties = np.array(nodes.tie, np.int64).reshape(-1, 2)
+    p = pii.marginals(model, features, labels, chain, skip, ties)
+    alone = pii.marginals(model, features, labels, chain, skip[:0])
+    mentions = [j for j, (_, a, b) in enumerate(nodes.spans) if text[a:b] == "kim.lee"]
+    gain = (np.log(p) - np.log(alone))[mentions, 1]
+    assert len(mentions) == 30 and gain.min() > 1 and np.ptp(gain) < 0.5
+    phones = "call +1 (688) 555-0922 now" + 30 * (FAR + "or 16885550922 then")
+    (base, spans), = pii.detect_texts([phones], model)
+    assert len(base) == 1 and sum(k == 3 for k, _, _ in spans) == 31
