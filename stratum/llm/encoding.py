@@ -9,6 +9,7 @@ encoded whole. Either way the ids equal the library's for the whole text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -130,29 +131,32 @@ class PieceEncoder:
         return out
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
 
 
-def byte_bpe(path: str) -> PieceEncoder:
+def byte_bpe(path: str, specials: bool = False) -> PieceEncoder:
     """An encoder for a byte-level BPE file of the tokenizers library, one per Python worker.
 
-    Strings of special tokens in a text count as ordinary text.
+    Strings of special tokens in a text count as ordinary text, or with ``specials`` as these
+    tokens, as by the library's default; texts that hold one are then encoded whole.
     """
-    if path not in _ENCODERS:
+    if (path, specials) not in _ENCODERS:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = not specials
+        added = sorted(t.content for t in tokenizer.get_added_tokens_decoder().values())
+        literals = "|".join(re.escape(t) for t in added) if specials and added else None
         opens = np.array([(tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(tokenizer.get_vocab_size())])
         whole = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         # the pattern ends a run of letters before a stop, and a run of other marks before a space
-        encoder = PieceEncoder(whole, opens, first_alike=False, stops_alone={c: tokenizer.token_to_id(c) for c in STOPS})
+        encoder = PieceEncoder(whole, opens, first_alike=False, also_uneven=literals, stops_alone={c: tokenizer.token_to_id(c) for c in STOPS})
         encoder.tokenizer = tokenizer
-        _ENCODERS[path] = encoder
-    return _ENCODERS[path]
+        _ENCODERS[path, specials] = encoder
+    return _ENCODERS[path, specials]
 
 
 def byte_lengths(encoder: PieceEncoder) -> np.ndarray:

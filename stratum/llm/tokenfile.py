@@ -44,7 +44,7 @@ PARQUET = {
 
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, before = byte_bpe(path), TaskContext.get().partitionId(), 0
+        encoder, shard, before = byte_bpe(path, specials=True), TaskContext.get().partitionId(), 0
         for batch in slices(batches, "text"):
             ids = [np.append(x, np.int32(END_ID)) for x in encoder.encode(batch.column("text"))]
             n = np.array([len(x) for x in ids], np.int64)

@@ -231,3 +231,12 @@ def test_schema_names_may_clash(spark):
     t = T.StructType([T.StructField(c, T.StringType()) for c in ("text", "ids", "grp", "u")] + [T.StructField("doc_id", T.LongType())])
     df = spark.createDataFrame([("a b", "x", "y", "z", 1)], t)
     assert pieces.digest_documents(df, PIECE).count() == attribution.section_tokens(df, BPE).count() == fingerprints.fingerprint_documents(df).count() == 1
+
+
+def test_token_files_equal_the_unmodified_library(spark, tmp):
+    library = Tokenizer.from_file(BPE)
+    texts = ["a<|endoftext|>b", "plain words", "x <|endoftext|> y z", "<|endoftext|>", *fuzz(300)]
+    tokenfile.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), BPE, f"{tmp}/t")
+    rows = tokenfile.read_tokens(spark, f"{tmp}/t").orderBy("start").collect()
+    assert [r.token_ids for r in rows] == [[*library.encode(t, add_special_tokens=False).ids, tokenfile.END_ID] for t in texts]
+    assert rows[0].token_ids[:-1] == [64, 50256, 65]
