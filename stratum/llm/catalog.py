@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import attribution, embeddings, language, licenses, mixing, neardup, pieces, pii, tokenfile
+from stratum.llm import attribution, embeddings, language, licenses, mixing, neardup, pieces, pii, tokenfile, variants
 from stratum.llm.fingerprints import op1_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_minhash": neardup.op9_minhash,
     "op10_pii": pii.op10_pii,
+    "op11_variants": variants.op11_variants,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -29,4 +30,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_mixing": mixing.oracle_sql(),
     "op5_licenses": licenses.oracle_sql(),
     "op9_minhash": neardup.oracle_sql(),
+    "op11_variants": variants.oracle_sql(),
 }
