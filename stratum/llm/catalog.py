@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.llm import attribution, decontaminate, embeddings, language, licenses, mixing, neardup, pieces, pii, tokenfile, variants
+from stratum.llm import attribution, decontaminate, embeddings, language, licenses, mixing, neardup, negatives, pieces, pii, tokenfile, variants
 from stratum.llm.fingerprints import op1_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": pii.op10_pii,
     "op11_variants": variants.op11_variants,
     "op12_decontaminate": decontaminate.op12_decontaminate,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -33,4 +34,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_minhash": neardup.oracle_sql(),
     "op11_variants": variants.oracle_sql(),
     "op12_decontaminate": decontaminate.oracle_sql(),
+    "op13_hard_negatives": negatives.oracle_sql(),
 }
