@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import slices, table, text_or_empty
+from stratum.llm.common import released, slices, table, text_or_empty
 from stratum.llm.encoding import byte_bpe, byte_lengths
 
 RULES = ("start", "end", "majority")
@@ -97,7 +97,7 @@ def section_tokens(docs: DataFrame, tokenizer: str, rule: str = "majority", sect
     """Per row: id, n_tokens, n_sections, n_crossing (tokens over a boundary), section_starts (code
     points) and section_tokens, one entry a section."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    return src.mapInArrow(_count(tokenizer, rule, sections), "id long, n_tokens long, n_sections long, n_crossing long, "
+    return src.mapInArrow(released(_count(tokenizer, rule, sections)), "id long, n_tokens long, n_sections long, n_crossing long, "
                           "section_starts array<long>, section_tokens array<long>").withColumnRenamed("id", id_col)
 
 

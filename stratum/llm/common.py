@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
-import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
-from functools import cache
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -16,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes handled at once inside a Python task.
 SLICE_BYTES = 8 << 20
+#: Bytes of one Arrow batch between Spark and a Python worker, unless the session sets its own.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from where the driver has it. On a
-    cluster the package is installed, or shipped with ``--py-files``; the entry does no harm there."""
+    cluster the package is installed, or shipped with ``--py-files``; the entry does no harm there.
+    Arrow batches get a bound that suits whole texts, if the session has none of its own."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     env = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -34,21 +38,13 @@ def importable(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only in a single local JVM."""
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = _local_root()
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return root.rstrip("/")
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="stratum-llm-")
-
-
 class Scratch:
     """Tables of one operator run, written below the shared folder.
 
@@ -82,6 +78,21 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def released(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``task`` for mapInArrow; at its end what it has freed goes back to the system, so that workers that
+    wait for the next stage, or serve another one, do not hold the most that any stage ever took."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library keeps its memory
+                pass
+    return run
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``limit`` bytes in each piece (one row at least)."""
     for batch in batches:

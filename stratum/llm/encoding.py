@@ -4,13 +4,14 @@ For the tokenizers used here no token spans the start of a space that follows a
 non-space, so the ids of a text are the ids of its pieces one after another. Equal pieces of a batch
 are found by dictionary encoding and encoded once, by the library itself; texts with
 other spacing (two white-space characters beside each other, a space at an end) are
-encoded whole. Either way the ids equal the library's for the whole text.
+encoded whole, as are texts with a piece of over LONG bytes (no spaces, encoded data, minified code), in calls of
+about WHOLE_BYTES. Either way the ids equal the library's for the whole text.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ UNEVEN = f" {SPACES}|{SPACES} |^ | $"
 REMEMBERED = 1_000_000  # pieces, about 230 MB a worker; then the memory starts anew
 STOPS = ".,"
 JOINED = 2_000  # new pieces encoded by one call
+LONG = 64  # bytes of a piece; texts with longer ones are encoded whole, and such pieces are not remembered
+WHOLE_BYTES = 1 << 20  # text bytes of one library call, which makes objects for every token; one text at least
 
 
 class PieceEncoder:
@@ -98,15 +101,22 @@ class PieceEncoder:
         if self.also_uneven is not None:
             uneven = pc.or_(uneven, pc.match_substring_regex(texts, self.also_uneven))
         uneven = uneven.to_numpy(zero_copy_only=False)
-        at = np.flatnonzero(uneven)
-        if len(at):
-            for i, ids in zip(at.tolist(), self.whole(texts.take(pa.array(at)).to_pylist()), strict=True):
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        even = np.flatnonzero(~uneven & (sizes > 0))
+        if len(even):
+            split = pc.split_pattern(texts.take(pa.array(even)), " ")
+            bounds = split.offsets.to_numpy().astype(np.int64)
+            long = np.maximum.reduceat(pc.binary_length(split.values).to_numpy(zero_copy_only=False), bounds[:-1]) > LONG
+            if long.any():
+                uneven[even[long]] = True
+                even = even[~long]
+                split = pc.split_pattern(texts.take(pa.array(even)), " ")
+                bounds = split.offsets.to_numpy().astype(np.int64)
+        for part in _parts(np.flatnonzero(uneven), sizes):
+            for i, ids in zip(part, self.whole(texts.take(pa.array(part)).to_pylist()), strict=True):
                 out[i] = np.array(ids, np.int32)
-        even = np.flatnonzero(~uneven & (pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0))
         if not len(even):
             return out
-        split = pc.split_pattern(texts.take(pa.array(even)), " ")
-        bounds = split.offsets.to_numpy().astype(np.int64)
         coded = split.values.dictionary_encode()
         pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         codes = codes[bounds[0]:bounds[-1]]
@@ -131,6 +141,19 @@ class PieceEncoder:
         return out
 
 
+def _parts(at: np.ndarray, sizes: np.ndarray) -> Iterator[list[int]]:
+    """``at`` cut into runs of about WHOLE_BYTES, one at least."""
+    part, held = [], 0
+    for i in at.tolist():
+        if part and held + sizes[i] > WHOLE_BYTES:
+            yield part
+            part, held = [], 0
+        part.append(i)
+        held += sizes[i]
+    if part:
+        yield part
+
+
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
 
 

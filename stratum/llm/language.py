@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.llm.common import SLICE_BYTES, Scratch, table
+from stratum.llm.common import SLICE_BYTES, Scratch, released, table
 
 LANGUAGES = ("de", "en", "es", "fr")
 #: Country domains and the language they speak for (fixed values).
@@ -47,13 +47,37 @@ HOST_STRENGTH, DOMAIN_STRENGTH = 8.0, 16.0
 KNOWN_SHARE = 0.4  # of a text's trigrams, seen in training: below it the text is in none of the languages
 
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_DROP = re.compile(r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+_OPEN = re.compile(r"(?i)<(?:(script|style|noscript)(?![A-Za-z0-9_])|!--)?")
+_CLOSE = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "noscript")}
 _HTML_LANG = r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]{2,3})"
 
 
 def html_text(page: str) -> str:
-    """The text of a page without scripts, styles, comments and tags."""
-    return html_entities.unescape(_DROP.sub(" ", page))
+    """The text of a page without scripts, styles, comments and tags, each of which is a space.
+
+    One walk from opening to closing marks: a kind of mark that is not closed any more is
+    looked for once, so the time stays in proportion to the page. An unclosed script, style
+    or comment counts as a mere tag, and an unclosed tag as text."""
+    out, at, lost = [], 0, set()
+    while (m := _OPEN.search(page, at)) is not None:
+        end = -1
+        kind = "--" if m[0] == "<!--" else (m[1] or "").lower()
+        if kind and kind not in lost:
+            if kind == "--":
+                end = page.find("-->", m.end())
+                end = end + 3 if end >= 0 else -1
+            else:
+                closed = _CLOSE[kind].search(page, m.end())
+                end = closed.end() if closed else -1
+            if end < 0:
+                lost.add(kind)
+        if end < 0:
+            end = page.find(">", m.start()) + 1
+            if not end:
+                break
+        out += [page[at:m.start()], " "]
+        at = end
+    return html_entities.unescape("".join([*out, page[at:]]))
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -83,7 +107,7 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, language
         l, k = np.nonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(l.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(totals[l, k])], names=["l", "k", "n"])
 
-    found = (sample.repartition(8).select("lang", "text").mapInArrow(count, "l int, k int, n long")
+    found = (sample.repartition(8).select("lang", "text").mapInArrow(released(count), "l int, k int, n long")
              .groupBy("l", "k").agg(F.sum("n").alias("n")).collect())  # at most (languages + 1) x buckets rows
     if not found:
         return None
@@ -141,8 +165,7 @@ def _lookup(column: str, table_: dict[str, list[float]], n: int) -> Column:
 
 def identify(rows: DataFrame, model: np.ndarray | None, text_col: str, declared: Column, suffix: Column, host: Column,
              markup: bool = False, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """``rows`` with _lang, _confidence, _text_lang, _kept. The columns are nested as ``_row`` while
-    they pass through, so that any names may occur among them."""
+    """``_row`` (a struct of the columns of ``rows``, so that any names may occur among them), lang, confidence, text_lang, kept."""
     spark = rows.sparkSession
     n = len(languages)
     known = lambda c: F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).when(c.isin(*languages), c).otherwise("other")
@@ -152,7 +175,7 @@ def identify(rows: DataFrame, model: np.ndarray | None, text_col: str, declared:
 
     def scored(df: DataFrame) -> DataFrame:
         schema = T.StructType([*df.schema.fields, T.StructField("_text_ll", T.ArrayType(T.DoubleType())), T.StructField("_spoken", T.BooleanType())])
-        return df.mapInArrow(_score(model, text_col, markup, n), schema)
+        return df.mapInArrow(released(_score(model, text_col, markup, n)), schema)
 
     scratch = Scratch(spark, "language")
     votes = scratch.write(scored(slim).drop("_row").withColumn("_r", F.expr(_softmax("_text_ll"))).drop("_text_ll"), "votes")
@@ -179,9 +202,9 @@ def identify(rows: DataFrame, model: np.ndarray | None, text_col: str, declared:
     names = F.array(*[F.lit(x) for x in languages])
     pick = lambda c: F.element_at(names, F.expr(f"CAST(array_position({c}, array_max({c})) AS INT)"))
     return (fused.withColumn("_p", F.expr(_softmax("_ll")))
-            .select("_row.*", F.when(F.col("_spoken"), pick("_p")).alias("_lang"), F.when(F.col("_spoken"), F.array_max("_p")).otherwise(0.0).alias("_confidence"),
-                    F.when(F.col("_spoken"), pick("_text_ll")).alias("_text_lang"))
-            .withColumn("_kept", F.col("_confidence") >= CONFIDENT))
+            .select("_row", F.when(F.col("_spoken"), pick("_p")).alias("lang"), F.when(F.col("_spoken"), F.array_max("_p")).otherwise(0.0).alias("confidence"),
+                    F.when(F.col("_spoken"), pick("_text_ll")).alias("text_lang"))
+            .withColumn("kept", F.col("confidence") >= CONFIDENT))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +220,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         spoken = F.when(country == code, lang).otherwise(spoken)
     suffix = F.when(folder.isin(*LANGUAGES), folder).otherwise(spoken)
     judged = identify(pages, model, "html", F.lower(F.regexp_extract("html", _HTML_LANG, 1)), suffix, host, markup=True)
-    return judged.select("page_id", F.col("_lang").alias("lang"), F.col("_confidence").alias("confidence"), F.col("_text_lang").alias("text_lang"), F.col("_kept").alias("kept"))
+    return judged.select("_row.page_id", "lang", "confidence", "text_lang", "kept")
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
@@ -205,4 +228,4 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     and the source as the host. Rejected rows go; the others stay as they are."""
     model = fit(docs, "doc_id", "text", "lang")
     judged = identify(docs, model, "text", F.lower(F.substring("lang", 1, 2)), F.lit(None).cast("string"), F.col("source"))
-    return judged.where("_kept").select(*docs.columns)
+    return judged.where("kept").select("_row.*")

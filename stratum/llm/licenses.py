@@ -10,7 +10,8 @@ higher priority is dropped, unless it is a base phrase.
 
 Nothing is shuffled and no rows are multiplied, so hot lines or long texts only cost
 their own length. Defined cases: null and empty texts have no words, no labels and
-score 0; repeated rows give repeated rows; other columns are not read.
+score 0; repeated rows give repeated rows; other columns are not read; an empty table
+gives an empty result. Contexts are as wide as the longest rule, so none is cut short.
 """
 
 from __future__ import annotations
@@ -26,9 +27,8 @@ from stratum.llm.common import table, text_or_empty
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LEFT, RIGHT = 12, 16  # words of context before and after an anchor
 
-ANCHORS = ("license", "licence", "licenses", "licensed", "licenced", "unlicense", "spdx", "cc", "cc0", "gpl", "lgpl", "agpl",
+ANCHORS = ("license", "licence", "licenses", "licensed", "licenced", "unlicense", "unlicensed", "spdx", "cc", "cc0", "gpl", "lgpl", "agpl",
            "gplv2", "gplv3", "wtfpl", "mpl", "epl", "eupl", "cddl", "permission", "redistribution", "domain", "reserved")
 
 #: Base phrases (fixed values): phrase with its anchor marked, label.
@@ -38,7 +38,8 @@ V = "(?:(?:version|v|ver) ?)?"
 L = "{m}licen[sc]e"
 #: Family: label, key that its contexts hold, regex of its full name ({m} stands before the anchor), short name.
 FAMILIES = (
-    ("mit", "mit", f"(?:mit|expat)(?: x11)? {L}", "(?:mit|expat)"),
+    ("mit", "mit", f"mit(?: x11)? {L}", "mit"),
+    ("mit", "expat", f"expat(?: mit)? {L}", "expat"),
     ("mit-0", "mit", f"mit (?:0|no attribution) {L}", "mit 0"),
     ("apache-1.1", "apache", f"apache(?: software)? {L} {V}1 1", "apache 1 1"),
     ("apache-2", "apache", f"apache(?: software)? {L} {V}2(?: 0)?", "apache ?2(?: 0)?"),
@@ -86,7 +87,7 @@ OF = "(?:(?:the )?terms (?:and conditions )?of )?(?:the )?"
 TEMPLATES = (
     ("not", 5, 0.0, f"not @licen[sc]ed under {OF}" "{plain}"),
     ("spdx", 4, 1.0, "@spdx licen[sc]e identifier {short}"),
-    ("licensed", 3, 0.95, f"(?:(?:is|are|be|dual|work|code) )*@licen[sc]ed (?:to you )?under {OF}" "(?:{plain}|{short})"),
+    ("licensed", 3, 0.95, f"(?:(?:is|are|be|dual|work|code) ){{0,4}}@licen[sc]ed (?:to you )?under {OF}" "(?:{plain}|{short})"),
     ("released", 3, 0.9, f"(?:released|distributed|available|published|provided|covered|redistributed) under {OF}" "{name}"),
     ("terms", 3, 0.85, "(?:subject to|governed by|in accordance with|in compliance with) (?:the )?(?:terms of )?(?:the )?{name}"),
     ("field", 2, 0.8, "@licen[sc]e(?: is)? {short}"),
@@ -120,7 +121,7 @@ def _rules() -> dict[str, list[Rule]]:
         ("bsd", "redistribution", 0.8, "@redistribution and use in source and binary forms"),
         ("public-domain", "domain", 0.7, "(?:(?:in|into|to) the )?public @domain"),
         ("proprietary", "reserved", 0.4, "all rights @reserved"),
-        ("proprietary", "licensed", 0.0, "un@licensed"),
+        ("proprietary", "unlicensed", 0.0, "@unlicensed"),
     )
     for label, key, confidence, regex in grants:
         out.setdefault(key, []).append(Rule(label, "grant", 2, label, confidence, regex))
@@ -131,6 +132,42 @@ RULES = _rules()
 LEVELS = 1 + max(t[1] for t in TEMPLATES)
 
 
+def longest(regex: str) -> str:
+    """A text of the most words that a rule's regex matches: every option taken, every repeat as often as allowed."""
+    def choice(at: int) -> tuple[str, int]:
+        best, own = "", ""
+        while at < len(regex) and regex[at] != ")":
+            if regex[at] == "|":
+                best, own, at = max(best, own, key=lambda x: (x.count(" "), len(x))), "", at + 1
+                continue
+            if regex[at] == "(":
+                unit, at = choice(at + 3)  # groups are all (?: )
+                at += 1
+            elif regex[at] == "[":
+                unit, at = regex[at + 1], regex.index("]", at) + 1
+            else:
+                unit, at = regex[at], at + 1
+            times = 1
+            if regex[at:at + 1] == "?":
+                at += 1
+            elif regex[at:at + 1] == "{":
+                end = regex.index("}", at)
+                times, at = int(regex[at + 1:end].split(",")[1]), end + 1
+            own += unit * times
+        return max(best, own, key=lambda x: (x.count(" "), len(x))), at
+
+    return choice(0)[0]
+
+
+def _reach() -> tuple[int, int]:
+    """Words before and after an anchor that a rule can take in at most."""
+    texts = [longest(r) for r in [*(b for b, _ in BASE), *(r.regex for rules in RULES.values() for r in rules)]]
+    return tuple(max(t.split("@")[i].count(" ") for t in texts) for i in (0, 1))
+
+
+LEFT, RIGHT = _reach()  # words of context around an anchor: no rule needs more
+
+
 def _hit(regex: str, priority: int, confidence: float, label: str | None, base: bool) -> str:
     quoted = f"'{label}'" if label else "CAST(NULL AS STRING)"
     return (f"named_struct('m', regexp_extract(x.ctx, '(?:^| )({regex})(?= |$)', 1), 'p', {priority}, "

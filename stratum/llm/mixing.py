@@ -7,8 +7,13 @@ Inside a shard the documents lie in a seeded order on one token line, cut into
 blocks; a quota of q for n blocks takes every block q div n times and q mod n of
 them once more, at a seeded offset and evenly spaced. All of it is DataFrame work.
 
+``mix`` takes whole documents. A document's taken words make a fractional number of
+copies; along the shard, from the longest document to the shortest, the running sum of
+these is rounded, so that what one document gets too much the next ones get less. Of
+STARTS places to begin rounding the one is used whose words come nearest to the quota.
+
 Defined cases: a null text has no words; a null source is a source of its own, last
-in order; null ids are ordered like an empty id; repeated rows are rows of their
+in order; a row with a null id is ordered by its text; repeated rows are rows of their
 own; a source without words has target 0; an empty table gives an empty mix.
 Columns beyond the three named ones are not looked at.
 """
@@ -26,7 +31,7 @@ SHARE = 1.5
 CAP = 2
 BLOCK = 64  # tokens of a block
 SHARD_TOKENS = 1 << 18
-MAX_SHARDS = 1 << 16  # of one source: beyond it the shards get larger, so that quotas stay a small table
+STARTS = 32
 SEED = "mix-1"
 
 
@@ -100,27 +105,27 @@ def _taken_before(x) -> F.Column:
 def plan_mix(docs: DataFrame, scratch: Scratch, keep: list[str], source_col: str = "source", text_col: str = "text",
              id_col: str = "doc_id") -> DataFrame:
     """Per row: the ``keep`` columns (renamed ``k0``, ``k1``, ...), size, source_size, target, taken and
-    ``copies``, the times that the block with the row's first word is taken (0 without words).
+    ``copies``, the times that a mix of whole documents takes the row (0 without words).
 
     Targets and quotas are made from a written table of sizes. If the texts are kept, they are read
     again for the result and moved once, to their shard's line, but never written to scratch.
     """
     kept = [f"k{i}" for i in range(len(keep))]
     own = [F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)]
-    basic = [F.col(source_col).alias("source"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
-             word_count(text_or_empty(text_col)).alias("size")]
+    basic = [F.col(source_col).alias("source"), F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("~"), F.md5(F.encode(text_or_empty(text_col), "UTF-8")))).alias("id"),
+             word_count(text_or_empty(text_col)).alias("size"), F.xxhash64(text_or_empty(text_col)).alias("tid")]
     slim = text_col not in keep
     sized = scratch.write(docs.select(*(own if slim else []), *basic), "sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     # a row per source; as a small written table it is broadcast only if its bytes are below Spark's threshold
     sources = apportion(targets(sizes), [], "no", "target", "seats").withColumn(
-        "shards", F.greatest(F.lit(1), F.least(F.lit(MAX_SHARDS), F.ceil(F.col("source_size") / SHARD_TOKENS))).cast("long"))
+        "shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD_TOKENS)).cast("long"))
     sources = scratch.write(sources, "sources")
 
     def deal(rows: DataFrame, columns: list[str]) -> DataFrame:
         return (rows.withColumnRenamed("source", "_source").join(sources, F.col("_source").eqNullSafe(F.col("source")))
                 .withColumn("_order", _hash("id")).withColumn("shard", _number(F.col("_order")) % F.col("shards"))
-                .select(*columns, "size", "source_size", "target", "no", "shard", "_order", "won"))
+                .select(*columns, "size", "tid", "source_size", "target", "no", "shard", "_order", "won"))
 
     shards = (deal(sized, []).groupBy("no", "shard").agg(F.sum("size").alias("tokens"), F.first("won").alias("won"))
               .withColumn("_blocks", F.ceil(F.col("tokens") / BLOCK)))
@@ -132,14 +137,20 @@ def plan_mix(docs: DataFrame, scratch: Scratch, keep: list[str], source_col: str
               .withColumn("_offset", _number(_hash("no", "shard")) % F.col("_blocks"))
               .select("no", "shard", "_blocks", "_times", "_more", "_offset"))
     quotas = scratch.write(quotas, "quotas")
-    line = Window.partitionBy("no", "shard").orderBy("_order", "size").rowsBetween(Window.unboundedPreceding, 0)
-    first = F.expr(f"_start div {BLOCK}")
+    shard = Window.partitionBy("no", "shard")
+    line = shard.orderBy("_order", "size", "tid").rowsBetween(Window.unboundedPreceding, 0)
+    falling = shard.orderBy(F.desc("size"), "_order", "tid")
+    before = F.coalesce(F.sum("_part").over(falling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     dealt = deal(sized if slim else docs.select(*own, *basic), kept)
-    return (dealt.drop("won").withColumn("_end", F.sum("size").over(line)).withColumn("_start", F.col("_end") - F.col("size"))
-            .join(quotas, ["no", "shard"])
-            .withColumn("taken", (F.col("_times") * F.col("size") + _taken_before("_end") - _taken_before("_start")).cast("long"))
-            .withColumn("copies", F.when(F.col("size") > 0, F.col("_times") + F.floor(((first + 1) * F.col("_more") + F.col("_offset")) / F.col("_blocks"))
-                                         - F.floor((first * F.col("_more") + F.col("_offset")) / F.col("_blocks"))).otherwise(0).cast("int"))
+    placed = (dealt.drop("won").withColumn("_end", F.sum("size").over(line)).withColumn("_start", F.col("_end") - F.col("size"))
+              .join(quotas, ["no", "shard"])
+              .withColumn("taken", (F.col("_times") * F.col("size") + _taken_before("_end") - _taken_before("_start")).cast("long"))
+              .withColumn("_part", F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0.0))
+              .withColumn("_before", before).withColumn("_after", F.sum("_part").over(falling.rowsBetween(Window.unboundedPreceding, 0))))
+    rounded = [F.floor(F.col("_after") + k / STARTS) - F.floor(F.col("_before") + k / STARTS) for k in range(STARTS)]
+    missed = F.array(*[F.abs(F.sum(F.col("size") * c).over(shard) - F.sum("taken").over(shard)) for c in rounded])
+    return (placed.withColumn("_missed", missed).withColumn("_rounded", F.array(*rounded))
+            .withColumn("copies", F.expr("_rounded[array_position(_missed, array_min(_missed)) - 1]").cast("int"))
             .select(*kept, "size", "source_size", "target", "taken", "copies"))
 
 
@@ -149,7 +160,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mix as rows of ``docs``: each as often as the block with its first word is taken."""
+    """The mix as rows of ``docs``, whole documents: each as often as its ``copies`` say."""
     columns = docs.columns
     planned = plan_mix(docs, Scratch(docs.sparkSession, "mix"), columns)
     times = planned.where("copies > 0").withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
@@ -183,7 +194,7 @@ def oracle_sql() -> str:
     weights = f"[{', '.join(map(str, WEIGHTS))}]"
     return f"""
     WITH rows_ AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
-                          md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS ord FROM documents),
+                          md5('{SEED}:' || coalesce(doc_id::VARCHAR, '~' || md5(coalesce(text, '')))) AS ord FROM documents),
     sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM rows_ GROUP BY source),
     n AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS no FROM sizes),
     w AS (SELECT *, {weights}[((no - 1) % {len(WEIGHTS)} + 1)::INT] AS weight, ({CAP} * source_size)::DOUBLE AS cap_,
@@ -196,7 +207,7 @@ def oracle_sql() -> str:
     t AS (SELECT source, no, source_size, CASE WHEN is_full THEN cap_ ELSE level_ * weight END AS target,
                  floor(share_ / {BLOCK} + 0.5)::BIGINT AS seats FROM lv),
     {_apportion_sql("t", "", "no", "target", "seats", "s")},
-    src AS (SELECT *, greatest(1, least({MAX_SHARDS}, ceil(source_size / {SHARD_TOKENS}::DOUBLE)))::BIGINT AS shards FROM won_s),
+    src AS (SELECT *, greatest(1, ceil(source_size / {SHARD_TOKENS}::DOUBLE))::BIGINT AS shards FROM won_s),
     dealt AS (SELECT r.doc_id, r.size, r.ord, s.source_size, s.target, s.no, s.won, {number.format("r.ord")} % s.shards AS shard
               FROM rows_ r JOIN src s ON r.source IS NOT DISTINCT FROM s.source),
     sh AS (SELECT no, shard, sum(size)::BIGINT AS tokens, first(won) AS won, ceil(sum(size) / {BLOCK}::DOUBLE)::BIGINT AS blocks0 FROM dealt GROUP BY no, shard),

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import Scratch, components, groups, partitions, slices, table, text_or_empty
+from stratum.llm.common import Scratch, components, groups, partitions, released, slices, table, text_or_empty
 
 SHINGLE = 5
 SIMILAR_NUM, SIMILAR_DEN = 75, 100
@@ -195,7 +195,7 @@ def _across(scratch: Scratch, open_rows: DataFrame, reps: DataFrame, found: Data
               .withColumn("lo", F.least("side", "other")).withColumn("hi", F.greatest("side", "other"))
               .withColumn("grp", F.xxhash64("i", "band", "lo", "hi")).select("grp", "i", "lo", "hi", "side", "id", "n", "component", "bands", "s"))
     grouped = placed.repartition(partitions(rows.sparkSession), "grp").sortWithinPartitions("grp")
-    links = scratch.write(grouped.mapInArrow(_compare_blocks, "a long, b long"), "across")
+    links = scratch.write(grouped.mapInArrow(released(_compare_blocks), "a long, b long"), "across")
     scratch.drop(rows)
     return links
 
@@ -206,8 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scratch = Scratch(spark, "neardup")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")).where("id IS NOT NULL")
     texts = texts.select("id", F.xxhash64("text").alias("tid"), "text")
-    sketched = scratch.write(texts.mapInArrow(
-        _sketch, "id long, tid long, n long, set_hash string, bands array<long>, p0 long, p1 long"), "sketch")
+    sketched = scratch.write(texts.mapInArrow(released(_sketch), "id long, tid long, n long, set_hash string, bands array<long>, p0 long, p1 long"), "sketch")
     rest = ["n", "set_hash", "bands", "p0", "p1"]
     single = sketched.groupBy("id").agg(F.min(F.struct("tid", *rest)).alias("r")).select("id", "r.*")
     single = scratch.write(single, "documents")
@@ -223,14 +222,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tables = scratch.write(keyed.join(shared, "key"), "tables")
     wanted = tables.select("id").distinct().join(reps.select("id", "tid"), "id")
     sets = scratch.write(texts.join(wanted, ["id", "tid"], "left_semi").dropDuplicates(["id"]).select("id", "text")
-                         .mapInArrow(_read_sets, "id long, s binary"), "sets")
+                         .mapInArrow(released(_read_sets), "id long, s binary"), "sets")
 
     small = reps.select("id", "n", "p0", "p1")
     stars = (tables.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct().alias("c")
              .join(small.alias("y"), F.expr("c.b = y.id")).join(small.alias("x"), F.expr("c.a = x.id AND " + sieve("x", "y"))).select("c.a", "c.b"))
     with_sets = (stars.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
                  .join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a"))
-    links = scratch.write(with_sets.select("a", "b", "sa", "sb").mapInArrow(_verify, "a long, b long"), "links")
+    links = scratch.write(with_sets.select("a", "b", "sa", "sb").mapInArrow(released(_verify), "a long, b long"), "links")
     found = scratch.write(components(scratch, links), "first-components")
 
     placed = tables.select("id", "t", "key").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -253,12 +252,18 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group; of rows repeated under one id, all stay only if
-    the id is kept, and as one row; rows with a null id stay as they are."""
-    kept = near_duplicates(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept"))
-    with_id = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return (with_id.join(kept, F.col(id_col) == F.col("_kept"), "left_semi")
-            .unionByName(docs.where(F.col(id_col).isNull())))
+    """``docs`` with one document of each group. Of rows repeated under one id the one that was compared
+    stays (smallest text hash; of equal texts the row that sorts first by a hash of all its columns and then
+    by what it holds as JSON), if the id is kept; rows with a null id stay as they are. Columns pass through in a struct, under any names."""
+    kept = near_duplicates(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text").where("id = component_id").select("id")
+    own = F.col(id_col).cast("long")
+    rows = docs.where(own.isNotNull()).select(own.alias("id"), F.xxhash64(text_or_empty(text_col)).alias("tid"), F.struct(*docs.columns).alias("row"))
+    repeated = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("tid").alias("tid"))  # ids and hashes only
+    kept = kept.join(repeated, "id")
+    single = rows.join(kept.where("n = 1").select("id"), "id", "left_semi").select("row.*")
+    several = rows.join(kept.where("n > 1").select("id", "tid"), ["id", "tid"], "left_semi")
+    first = several.groupBy("id").agg(F.min_by("row", F.struct(F.xxhash64("row"), F.to_json("row"))).alias("row")).select("row.*")
+    return single.unionByName(first).unionByName(docs.where(own.isNull()))
 
 
 def oracle_sql() -> str:

@@ -17,7 +17,7 @@ Defined cases: rows with a null id, label or vector, or a null or non-finite com
 take no part; neither do rows with a component so large that a score could leave 62 bits
 (1.0e6 / sqrt(length / 64) for a scale of 256), as no long can hold what they mean. Rows
 of different lengths are not compared; empty vectors score 0 with each other. Of rows
-repeated under one id the one of smallest label, then components, counts. Ties go to the
+repeated under one id the one of smallest label, then length, then integers as bytes, counts. Ties go to the
 smaller id. An empty table, or one without anchors, gives an empty result; other columns
 are not read. Only the window of a positive with a score of 0 or more can hold negatives.
 """

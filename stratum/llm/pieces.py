@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import slices, table, text_or_empty
+from stratum.llm.common import released, slices, table, text_or_empty
 from stratum.llm.encoding import PieceEncoder
 
 MARK = "▁"  # stands for a space in pieces
@@ -194,7 +194,7 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
                                              names=["id", "ids", "span_starts", "span_ends", "decoded"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    return src.mapInArrow(run, "id long, ids array<int>, span_starts array<int>, span_ends array<int>, decoded string").withColumnRenamed("id", id_col)
+    return src.mapInArrow(released(run), "id long, ids array<int>, span_starts array<int>, span_ends array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
 def digest_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,7 +216,7 @@ def digest_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    return src.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string").withColumnRenamed("id", id_col)
+    return src.mapInArrow(released(run), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string").withColumnRenamed("id", id_col)
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import slices, table, text_or_empty
+from stratum.llm.common import released, slices, table, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
@@ -53,6 +53,7 @@ BASE_WEIGHT = 8.0  # log-odds that a base span lends its tokens
 DAMPING = 0.5
 SETTLED = 1e-3  # log-odds: messages that would change by less rest
 ROUNDS = 1000  # a guard; from a tenth on, steps get shorter, which ends oscillations
+EDGES = 1 << 14  # whose messages are computed at once
 
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -319,16 +320,20 @@ def marginals(model, features, base, chain, skip, tie=np.zeros((0, 2), np.int64)
     src = np.concatenate([chain[:, 0], chain[:, 1], skip[:, 0], skip[:, 1]])
     dst = np.concatenate([chain[:, 1], chain[:, 0], skip[:, 1], skip[:, 0]])
     back = np.concatenate([np.arange(m1) + m1, np.arange(m1), 2 * m1 + m2 + np.arange(m2), 2 * m1 + np.arange(m2)])
-    pair = np.concatenate([np.broadcast_to(a, (m1, LABELS, LABELS)), np.broadcast_to(a.T, (m1, LABELS, LABELS)), *[np.broadcast_to(x, (m, LABELS, LABELS)) for x, m in 2 * ((s, own), (TIE * np.eye(LABELS), m2 - own))]])
+    potentials = np.stack([a, a.T, s, TIE * np.eye(LABELS)])
+    kind = np.repeat([0, 1, 2, 3, 2, 3], [m1, m1, own, m2 - own, own, m2 - own])  # of each directed edge
     messages = np.zeros((len(src), LABELS))
     live = np.arange(len(src))
     for round_ in range(ROUNDS):
         if not len(live):
             break
         belief = u + _spread(dst, messages, n)
-        into = (belief[src[live]] - messages[back[live]])[:, :, None] + pair[live]
-        top = into.max(axis=1, keepdims=True)
-        new = np.log(np.exp(into - top).sum(axis=1)) + top[:, 0]
+        new = np.empty((len(live), LABELS))
+        for at in range(0, len(live), EDGES):
+            some = live[at:at + EDGES]
+            into = (belief[src[some]] - messages[back[some]])[:, :, None] + potentials[kind[some]]
+            top = into.max(axis=1, keepdims=True)
+            new[at:at + EDGES] = np.log(np.exp(into - top).sum(axis=1)) + top[:, 0]
         new -= new.max(axis=1, keepdims=True)
         change = new - messages[live]
         messages[live] += (1 - DAMPING) * min(1.0, 0.1 * ROUNDS / (round_ + 1)) * change
@@ -393,7 +398,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     key = F.xxhash64(F.coalesce("id", F.lit("")), F.lit("pii"))
     chosen = marked.where(F.pmod(key, F.lit(step)) == 0).select(F.xxhash64("text").alias("key"), "text")
     # the hash keeps about TRAIN_DOCS rows; ids that repeat without end must not enlarge the sample
-    rows = chosen.mapInArrow(learn, "key long, nodes binary").orderBy("key").limit(2 * TRAIN_DOCS).collect()
+    rows = chosen.mapInArrow(released(learn), "key long, nodes binary").orderBy("key").limit(2 * TRAIN_DOCS).collect()
     return train([pickle.loads(r.nodes) for r in rows])
 
 
@@ -429,7 +434,7 @@ def find_spans(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     schema = f"id long, {', '.join(f'n_{k} long' for k in BASE_KINDS)}, base string, base_sha256 string, spans string"
-    return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return src.mapInArrow(released(run), schema).withColumnRenamed("id", id_col)
 
 
 def redact(docs: DataFrame, model, text_col: str = "text", length_col: str | None = None) -> DataFrame:
@@ -441,9 +446,7 @@ def redact(docs: DataFrame, model, text_col: str = "text", length_col: str | Non
     length_place = docs.columns.index(length_col) if length_col else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches, text_col):
             column = batch.column(place)
             texts, changed = column.to_pylist(), set()
             plain = pa.RecordBatch.from_arrays([pc.fill_null(column, "")], names=["text"])
@@ -464,7 +467,7 @@ def redact(docs: DataFrame, model, text_col: str = "text", length_col: str | Non
                 columns[length_place] = pa.array([len(texts[i]) if i in changed else n for i, n in enumerate(old.to_pylist())], old.type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import Scratch, partitions, slices, table, text_or_empty
+from stratum.llm.common import Scratch, partitions, released, slices, table, text_or_empty
 from stratum.llm.encoding import byte_bpe
 
 END_ID = 0
@@ -65,7 +65,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
             .withColumn("_tie", F.xxhash64("text")))
     order = [F.asc_nulls_last("doc_id"), F.asc("_tie")]
     ordered = rows.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "text")
-    ordered.mapInArrow(_encode(tokenizer), DATA_SCHEMA).write.options(**PARQUET).parquet(f"{path}/data")
+    ordered.mapInArrow(released(_encode(tokenizer)), DATA_SCHEMA).write.options(**PARQUET).parquet(f"{path}/data")
     shards = (spark.read.schema(DATA_SCHEMA).parquet(f"{path}/data").groupBy("shard")
               .agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens")))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
@@ -96,4 +96,4 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = f"{Scratch(spark, 'op4').root}/tokens"
     write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
-    return read_tokens(spark, path).mapInArrow(_crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_tokens(spark, path).mapInArrow(released(_crc), "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import Scratch, partitions, table
+from stratum.llm.common import Scratch, partitions, released, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LETTERS = "[A-Za-z\\x{C0}-\\x{FF}]"
@@ -171,7 +171,7 @@ def near_words(scratch: Scratch, words: DataFrame) -> DataFrame:
               .withColumn("lo", F.least("part", "other")).withColumn("hi", F.greatest("part", "other")).drop("other", "cut"))
     order = ["side", "s", "affix", "lo", "hi"]
     near = (placed.repartition(partitions(words.sparkSession), *order).sortWithinPartitions(*order)
-            .mapInArrow(_near, "word string, near string, near_n long"))
+            .mapInArrow(released(_near), "word string, near string, near_n long"))
     return scratch.write(near, "near")
 
 

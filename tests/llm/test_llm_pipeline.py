@@ -67,12 +67,24 @@ def plain_copies(rows):
         quota = min(sum(q[1] == no[s] for q in quotients), 2 * math.ceil(sizes[s] / mixing.BLOCK))
         times, more = divmod(quota, blocks)
         offset = int(md5(no[s], 0)[:8], 16) % blocks
-        at = 0
+        at, part = 0, {}
         for _, i in sorted((md5(i), i) for i, _, src in rows if src == s):
-            first = at // mixing.BLOCK
-            extra = ((first + 1) * more + offset) // blocks - (first * more + offset) // blocks
-            out[i] = times + extra if words[i] else 0
+            twice = [((b + 1) * more + offset) // blocks - (b * more + offset) // blocks for b in range(at // mixing.BLOCK, (at + words[i]) // mixing.BLOCK + 1)]
+            edges = [at, *range((at // mixing.BLOCK + 1) * mixing.BLOCK, at + words[i], mixing.BLOCK), at + words[i]]
+            part[i] = times * words[i] + sum(t * (y - x) for t, x, y in zip(twice, edges, edges[1:]))
             at += words[i]
+        falling = sorted(part, key=lambda i: (-words[i], md5(i)))
+        best = None
+        for k in range(mixing.STARTS):
+            run, copies = 0.0, {}
+            for i in falling:
+                old = run
+                run += part[i] / words[i] if words[i] else 0.0
+                copies[i] = math.floor(run + k / mixing.STARTS) - math.floor(old + k / mixing.STARTS)
+            miss = abs(sum(words[i] * copies[i] for i in copies) - sum(part.values()))
+            if best is None or miss < best[0]:
+                best = miss, copies
+        out |= best[1]
     return out
 
 

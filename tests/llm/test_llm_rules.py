@@ -81,6 +81,12 @@ def test_apportion_is_by_highest_quotients(spark):
 def test_mix_rows_and_empty(mix_docs):
     out = mixing.mix(mix_docs)
     assert out.columns == mix_docs.columns and 0 < out.count() <= 2 * mix_docs.count()
+    planned = mixing.plan_mix(mix_docs, Scratch(mix_docs.sparkSession, "t"), ["source", "text"]).collect()
+    for s in {r.k0 for r in planned}:  # whole documents keep to their source's words
+        own = [r for r in planned if r.k0 == s]
+        assert all(0 <= r.copies <= 2 for r in own)
+        typical = sorted(r.size for r in own)[len(own) // 2]
+        assert abs(sum(r.copies * r.size for r in own) - sum(r.taken for r in own)) <= max(typical, mixing.BLOCK) or len(own) == 1
     assert mixing.mix(mix_docs.limit(0)).count() == 0
 
 
@@ -229,10 +235,10 @@ def test_language_evidence(spark):
     odd = [(900, None, "en", None), (901, "12 34 !", "en", "x"), (902, "", None, "x"), (903, "漢字仮名交じり文の例です" * 5, "en", "x"), (904, text("fr", 25), "en", "x"), (905, "la", None, "hes.example.es"), (906, text("de", 4000), "de", None)]
     df = labelled.unionByName(spark.createDataFrame(odd, labelled.schema))
     F = language.F
-    got = {r.doc_id: r for r in language.identify(df, model, "text", F.col("lang"), F.lit(None).cast("string"), F.col("source")).collect()}
-    assert sum(got[i]._lang == l for i, _, l, _ in rows) >= 0.99 * len(rows)
-    assert not any(got[i]._kept for i in (900, 901, 902, 903))
-    assert got[904]._lang == "fr" and got[905]._lang == "es" and got[906]._lang == "de"  # text beats a wrong label; host decides for a short text
+    got = {r._row.doc_id: r for r in language.identify(df, model, "text", F.col("lang"), F.lit(None).cast("string"), F.col("source")).collect()}
+    assert sum(got[i].lang == l for i, _, l, _ in rows) >= 0.99 * len(rows)
+    assert not any(got[i].kept for i in (900, 901, 902, 903))
+    assert got[904].lang == "fr" and got[905].lang == "es" and got[906].lang == "de"  # text beats a wrong label; host decides for a short text
     kept = language.keep_identified(df)
     assert kept.columns == df.columns and kept.count() == len(rows) + 3
     assert language.keep_identified(df.limit(0)).count() == 0
@@ -285,3 +291,24 @@ def test_evidence_reaches_every_mention(model):
     phones = "call +1 (688) 555-0922 now" + 30 * (FAR + "or 16885550922 then")
     (base, spans), = pii.detect_texts([phones], model)
     assert len(base) == 1 and sum(k == 3 for k, _, _ in spans) == 31
+
+
+def test_license_contexts_hold_every_rule_at_its_longest(spark):
+    """A text per family and template, with the rule's longest match between other words, is found whole."""
+    import re
+
+    rules = [r for rs in licenses.RULES.values() for r in rs]
+    rows, want = [], {}
+    for i, r in enumerate(rules):
+        text = licenses.longest(r.regex)
+        assert re.fullmatch(r.regex, text) and text.count("@") == 1
+        rows.append((i, "lorem ipsum dolor " + text.replace("@", "") + " sit amet"))
+        want[i] = (3, 2 + len(text.split()), r)
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()}
+    for i, (start, end, r) in want.items():
+        spans = {(d.s, -d.ne, d.c) for d in found[i].detections}
+        assert (start, end, r.confidence) in spans, rows[i]
+    sayings = ["released under the terms and conditions of the creative commons attribution share alike 4 0 international license",
+               "in accordance with the terms of the creative commons attribution non commercial 4 0 international license"]
+    scores = [r.score for r in licenses.scan(spark.createDataFrame(list(enumerate(sayings)), "doc_id long, text string"), ["doc_id"]).orderBy("doc_id").collect()]
+    assert scores == [0.9, 0.85]
