@@ -1,11 +1,9 @@
 """Table writes on plain Parquet directories: Bronze append (SNK4), Silver
 partitioned write (SNK5), namespaces (SNK6), delete+insert upsert and the
-high-water incremental filter (UP1–UP4), full refresh (UP3) and compaction
-(MT1).
+high-water incremental filter (UP1–UP4) and full refresh (UP3).
 
 Every write goes through Spark's file commit protocol, so a lost executor
-only re-runs its tasks. Replacing data that is also being read (upsert,
-compaction) never overwrites the source path directly: the new partitions
+only re-runs its tasks. Replacing data that is also being read (the upsert) never overwrites the source path directly: the new partitions
 are first written to a staging table under ``spark.checkpoint.dir`` (which
 also cuts the lineage), then swapped in with a dynamic partition overwrite
 that touches only those partitions.
@@ -16,14 +14,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from stratum.manifest import Manifest
 from stratum.session import checkpoint_dir
 
-TARGET_FILE_BYTES = 128 * 1024 * 1024
-SMALL_FILE_BYTES = 32 * 1024 * 1024
+#: Fixed value: the folder name that stands for NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def layer_path(warehouse: str, table: str) -> str:
@@ -63,6 +63,7 @@ def write_silver(df: DataFrame, manifest: Manifest, warehouse: str, full: bool =
     """Silver: the partitions computed replace theirs; ``full`` replaces the whole table, so that dates
     without rows any more go."""
     path = layer_path(warehouse, manifest.silver_table)
+    drop_key_indexes(df.sparkSession, path)
     if full:
         full_refresh(df.hint("rebalance", manifest.partition_date_col), path, manifest.partition_date_col)
     else:
@@ -72,16 +73,21 @@ def write_silver(df: DataFrame, manifest: Manifest, warehouse: str, full: bool =
 
 def full_refresh(df: DataFrame, path: str, partition_col: str | None = None) -> None:
     """UP3: rebuild the whole table."""
+    drop_key_indexes(df.sparkSession, path)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (w.partitionBy(partition_col) if partition_col else w).parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """False only if there is no such path or no file in it; any other failure is raised, as a table that
+    cannot be read must not be taken for a new one."""
     try:
         spark.read.parquet(path).schema  # noqa: B018 - raises when missing
         return True
-    except Exception:  # noqa: BLE001
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def staging_path(spark: SparkSession, tag: str) -> str:
@@ -105,25 +111,51 @@ def merge_by_key(target: DataFrame, batch: DataFrame, key: str | Sequence[str])
     return target.join(batch_keys, keys, "left_anti").unionByName(batch)
 
 
+def in_partitions(column: str | Column, values: Sequence) -> Column:
+    """Whether a partition column has one of the values, NULL among them: literals, so a scan is pruned by it."""
+    c = F.col(column) if isinstance(column, str) else column
+    some = c.isin([v for v in values if v is not None])
+    return (some | c.isNull()) if None in values else some
+
+
+def read_target(spark: SparkSession, path: str, like: DataFrame, partition_col: str) -> DataFrame:
+    """The table at ``path``. The type of the partition column is read from folder names, which tell
+    nothing when NULL is its only value; then it is the type that ``like`` has."""
+    target = spark.read.parquet(path)
+    wanted = like.schema[partition_col].dataType if partition_col in like.columns else None
+    if wanted is not None and target.schema[partition_col].dataType != wanted and partition_values(target, partition_col) in ([], [None]):
+        fields = [f if f.name != partition_col else StructField(f.name, wanted) for f in target.schema.fields]
+        target = spark.read.schema(StructType(fields)).parquet(path)
+    return target
+
+
 def upsert_by_key(spark: SparkSession, path: str, batch: DataFrame, key: str | Sequence[str],
                   partition_col: str, moves: bool = False) -> None:
     """UP1 on a partitioned Parquet table.
 
     The batch is evaluated once, into a stage; its distinct partition values (a bounded set of
-    dates) become literals, so the scan of the target prunes to those partitions, and only they
-    are rewritten. ``moves`` says that a key's rows may lie in another partition than the batch
-    has them in: then the target's partitions that hold batch keys are rewritten too, found by
-    a semi join on the keys over all of the target.
+    dates, NULL among them) become literals, so the scan of the target prunes to those partitions, and
+    only they are rewritten. ``moves`` says that a key's rows may lie in another partition than the
+    batch has them in: then the partitions that hold batch keys are rewritten too, which the table's
+    key index tells (see ``key_index``).
 
     The merged partitions are staged under ``spark.checkpoint.dir``, then swapped in by a dynamic
     overwrite. That replaces files partition by partition when the job commits: a reader that
     lists the table during the commit can see some partitions old and some new, and retries or
     reads before and after it see one state. Stages are removed at the end.
     """
+    from stratum.sinks.key_index import KeyIndex
+
+    keys = [key] if isinstance(key, str) else list(key)
+    index = KeyIndex(spark, path, keys, partition_col)
+    if not moves and not _exists(spark, index.path):
+        index = None  # an index that is there is kept up, whoever writes
     if not _exists(spark, path):
         write_partitioned(batch, path, partition_col)
+        if index:
+            index.build()
         return
-    target = spark.read.parquet(path)
+    target = read_target(spark, path, batch, partition_col)
     diff = schema_mismatch(batch, target)
     if diff:
         raise ValueError(f"schema change in incremental write: {diff}")
@@ -131,25 +163,32 @@ def upsert_by_key(spark: SparkSession, path: str, batch: DataFrame, key: str | S
     batch.write.parquet(batch_stage)
     staged = spark.read.schema(batch.schema).parquet(batch_stage)
     touched = partition_values(staged, partition_col)
-    if moves:
-        keys = [key] if isinstance(key, str) else list(key)
-        found = target.join(staged.select(*keys).distinct(), keys, "left_semi")
-        touched = sorted({*touched, *partition_values(found, partition_col)})
+    if index:
+        touched = sorted({*touched, *index.announce(staged)}, key=lambda v: (v is not None, v))
     if touched:
-        affected = target.filter(F.col(partition_col).isin(touched))
+        affected = target.filter(in_partitions(partition_col, touched))
         write_partitioned(merge_by_key(affected, staged, key), merged_stage, partition_col)
         merged = spark.read.schema(target.schema).parquet(merged_stage)
-        # partitions that the merge left empty are rewritten as empty ones
         write_partitioned(merged, path, partition_col, rebalance=False)
+        # a partition whose rows have all moved away is not among those overwritten
         left = set(partition_values(merged, partition_col))
         for gone in (v for v in touched if v not in left):
-            remove(spark, f"{path.rstrip('/')}/{partition_col}={gone}")
+            remove(spark, f"{path.rstrip('/')}/{partition_col}={NULL_PARTITION if gone is None else gone}")
+    if index:
+        index.settle()
     remove(spark, batch_stage, merged_stage)
 
 
 def partition_values(df: DataFrame, partition_col: str) -> list:
-    """Distinct values of a partition column, as literals for pruning: one row per partition."""
-    return sorted(r[0] for r in df.select(partition_col).distinct().collect() if r[0] is not None)
+    """Distinct values of a partition column, as literals for pruning: one row per partition, NULL first."""
+    return sorted((r[0] for r in df.select(partition_col).distinct().collect()), key=lambda v: (v is not None, v))
+
+
+def drop_key_indexes(spark: SparkSession, path: str) -> None:
+    """Writes that do not keep up a table's key index remove it; the next upsert that needs one builds it anew."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.keys-*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    remove(spark, *[f.getPath().toString() for f in found or []])
 
 
 def remove(spark: SparkSession, *paths: str) -> None:
@@ -179,38 +218,3 @@ def incremental_rows(incoming: DataFrame, target: DataFrame | None, ts_col: str,
         first = incoming.sparkSession.range(1).select(F.to_date(bound)).first()[0]
         later = later.filter(F.col(date_col) >= F.lit(first))
     return later
-
-
-# --------------------------------------------------------------- compaction
-def compact(spark: SparkSession, path: str, partition_col: str,
-            target_file_bytes: int = TARGET_FILE_BYTES, small_file_bytes: int = SMALL_FILE_BYTES) -> int:
-    """MT1: rewrite partitions that hold more than one small file into files
-    of about ``target_file_bytes``. The row set is unchanged. Returns the
-    number of partitions rewritten.
-
-    File sizes come from a listing (the ``binaryFile`` source without its
-    content column reads no data), grouped per partition on the executors;
-    only the total output file count reaches the driver.
-    """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-             .select(F.col(partition_col), F.col("length").alias("s")))
-    summary = (files.groupBy(partition_col)
-               .agg(F.count(F.lit(1)).alias("n_files"), F.sum("s").alias("bytes"),
-                    F.count_if(F.col("s") < small_file_bytes).alias("n_small"))
-               .filter((F.col("n_files") > 1) & (F.col("n_small") > 0)))
-    # One row per partition to rewrite: bounded by the partition count.
-    summary = summary.withColumn(
-        "_n_out", F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target_file_bytes))).cast("int"))
-    n_total, n_parts = summary.agg(F.sum("_n_out"), F.count(F.lit(1))).first()
-    if not n_total:
-        return 0
-    rows = spark.read.parquet(path).join(summary.select(partition_col, "_n_out"), partition_col, "inner")
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("_n_out"))
-    out = (rows.withColumn("_bucket", bucket)
-           .repartition(int(n_total), F.col(partition_col), F.col("_bucket"))
-           .drop("_bucket", "_n_out"))
-    stage = staging_path(spark, "compact")
-    out.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    write_partitioned(spark.read.parquet(stage), path, partition_col, rebalance=False)
-    remove(spark, stage)
-    return int(n_parts)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators.parsing import encode_events, parse_events
 from stratum.operators.silver import silver
-from stratum.sinks import tables
+from stratum.sinks import compaction, tables
 
 
 def _silver_df(spark, taxi, ts="2024-02-01 00:00:00"):
@@ -67,7 +67,7 @@ def test_compaction_same_rows_fewer_files(spark, taxi, tmp):
         s.filter(F.abs(F.hash("trip_id")) % 4 == i).write.mode("append").partitionBy("pickup_date").parquet(path)
     before = _rows(spark.read.parquet(path))
     files_before = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).count()
-    assert tables.compact(spark, path, "pickup_date") > 0
+    assert compaction.compact(spark, path, "pickup_date") > 0
     files_after = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).count()
     assert _rows(spark.read.parquet(path)) == before
     assert files_after < files_before
@@ -108,6 +108,68 @@ def test_upsert_of_a_key_that_moves_between_dates(spark, tmp):
     assert got == [("a", 2, dt.date(2024, 1, 2)), ("b", 1, dt.date(2024, 1, 2))]
 
 
+def _cells(spark, path, schema="k string, v int, d date"):
+    return sorted(((r.k, r.v, r.d) for r in spark.read.schema(schema).parquet(path).collect()), key=str)
+
+
+def test_upsert_keeps_null_partitions(spark, tmp):
+    """NULL dates in the batch, in the target, in both, and alone."""
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    make = lambda rows: spark.createDataFrame(rows, "k string, v int, d date")
+    for moves in (False, True):
+        path = f"{tmp}/null-{moves}"
+        tables.upsert_by_key(spark, path, make([("n", 1, None)]), "k", "d", moves=moves)  # NULL is the only partition
+        tables.upsert_by_key(spark, path, make([("n", 2, None), ("m", 2, None)]), "k", "d", moves=moves)
+        assert _cells(spark, path) == [("m", 2, None), ("n", 2, None)]
+        tables.upsert_by_key(spark, path, make([("a", 3, d1), ("b", 3, d2)]), "k", "d", moves=moves)
+        tables.upsert_by_key(spark, path, make([("a", 4, d1), ("n", 4, None), ("z", 4, None)]), "k", "d", moves=moves)
+        assert _cells(spark, path) == [("a", 4, d1), ("b", 3, d2), ("m", 2, None), ("n", 4, None), ("z", 4, None)]
+    tables.upsert_by_key(spark, path, make([("m", 5, d2), ("n", 5, d1), ("z", 5, d1), ("b", 5, None)]), "k", "d", moves=True)
+    assert _cells(spark, path) == [("a", 4, d1), ("b", 5, None), ("m", 5, d2), ("n", 5, d1), ("z", 5, d1)]
+    tables.upsert_by_key(spark, path, make([("b", 6, d1)]), "k", "d", moves=True)
+    assert not os.path.exists(f"{path}/d=__HIVE_DEFAULT_PARTITION__") and len(_cells(spark, path)) == 5
+
+
+def test_key_index_prunes_and_follows_moves(spark, tmp):
+    from stratum.sinks.key_index import KeyIndex, touched_by
+
+    path = f"{tmp}/moving"
+    rows = [(f"k{i}", 0, dt.date(2024, 1, 1 + i % 9)) for i in range(200)]
+    make = lambda rows: spark.createDataFrame(rows, "k string, v int, d date")
+    tables.write_partitioned(make(rows), path, "d")  # no index yet: the first moving upsert builds it
+    want = {k: (v, d) for k, v, d in rows}
+    rng = __import__("random").Random(3)
+    for step in range(1, 4):
+        batch = [(f"k{i}", step, dt.date(2024, 1, rng.randint(1, 12))) for i in rng.sample(range(260), 30)]
+        tables.upsert_by_key(spark, path, make(batch), "k", "d", moves=True)
+        want |= {k: (v, d) for k, v, d in batch}
+        assert {k: (v, d) for k, v, d in _cells(spark, path)} == want
+        index = KeyIndex(spark, path, ["k"], "d")
+        assert sorted((r.k, r.place) for r in index.places().collect()) == sorted((k, str(d)) for k, (_, d) in want.items())
+    found = touched_by(index, spark.read.parquet(path), make([("k3", 9, None)]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and str(want["k3"][1]) in plan
+    asked = index.lookup(make([("k3", 9, None)]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in asked.replace("isnotnull(bucket", "bucket") or "bucket" in asked.split("PartitionFilters: [")[1][:80]
+    tables.upsert_by_key(spark, path, make([("k999", 1, dt.date(2024, 1, 1))]), "k", "d")  # a plain upsert keeps the index up
+    assert ("k999", "2024-01-01") in {(r.k, r.place) for r in index.places().collect()}
+    tables.full_refresh(make(rows), path, "d")
+    assert not os.path.exists(index.path)
+
+
+def test_existing_table_that_cannot_be_read_is_not_new(spark, tmp, monkeypatch):
+    import pytest
+
+    os.makedirs(f"{tmp}/torn")
+    with open(f"{tmp}/torn/part-0.parquet", "wb") as f:
+        f.write(b"no parquet")
+    with pytest.raises(Exception):
+        tables._exists(spark, f"{tmp}/torn")
+    assert not tables._exists(spark, f"{tmp}/none")
+    os.makedirs(f"{tmp}/empty")
+    assert not tables._exists(spark, f"{tmp}/empty")
+
+
 def test_full_rebuild_drops_stale_dates(spark, taxi, tmp):
     s = _silver_df(spark, taxi)
     tables.write_silver(s, taxi, tmp)
