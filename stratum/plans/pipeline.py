@@ -30,11 +30,13 @@ from stratum.operators import models, reconcile
 from stratum.operators.parsing import parse_routed
 from stratum.operators.silver import silver
 from stratum.session import configure
+from stratum.sinks.ledger import files_of_batch_dates, partition_date, update_ledger
 from stratum.sinks.publish import publish
 from stratum.sinks.tables import (
     _exists,
     append_bronze,
     full_refresh,
+    in_partitions,
     incremental_rows,
     layer_path,
     remove,
@@ -65,16 +67,14 @@ def date_follows_key(manifest: Manifest, key: Sequence[str] | None = None) -> bo
 
 def silver_input(spark: SparkSession, manifest: Manifest, bronze_path: str, run_ts=None) -> DataFrame:
     """The Bronze rows Silver must be recomputed from: after a batch stamped ``run_ts``, when keys never
-    cross dates, only the dates that batch touched (everything else in Silver is unchanged);
-    otherwise all of Bronze."""
-    bronze = spark.read.parquet(bronze_path)
+    cross dates, only the dates that batch touched, rows without a date among them (everything else in
+    Silver is unchanged), read from the files that the ledger names; otherwise all of Bronze."""
     if run_ts is None or not date_follows_key(manifest):
-        return bronze
-    date = F.expr(manifest.partition_date_expr).cast("date")
-    batch = bronze.filter(F.col("ingestion_ts") == F.lit(run_ts).cast("timestamp_ntz"))
-    # one row per touched date, as literals
-    touched = [r[0] for r in batch.select(date.alias("d")).distinct().collect() if r[0] is not None]
-    return bronze.filter(date.isin(touched)) if touched else bronze.limit(0)
+        return spark.read.parquet(bronze_path)
+    dates, files = files_of_batch_dates(spark, manifest, bronze_path, run_ts)
+    if not files:
+        return spark.read.parquet(bronze_path).limit(0)
+    return spark.read.parquet(*files).filter(in_partitions(partition_date(manifest), dates))
 
 
 def paths_of(manifest: Manifest, warehouse: str) -> dict[str, str]:
@@ -97,6 +97,7 @@ def run_bronze(spark: SparkSession, manifest: Manifest, topic: DataFrame, wareho
     staged = spark.read.schema(routed.schema).parquet(stage)
     append_bronze(staged.filter(~F.col("rejected")).select("row.*"), paths["bronze"])
     append_bronze(staged.filter(F.col("rejected")).select("error", "payload", "rejected_at"), paths["dlq"])
+    update_ledger(spark, manifest, paths["bronze"])
     remove(spark, stage)
     metrics = reconcile.run_metrics(spark, observation.get, time.perf_counter() - began, mode="batch", dataset=manifest.name,
                                     topic=manifest.topic, data_path=data_path, run_id=uuid.uuid4().hex)

@@ -26,6 +26,12 @@ def read_file_topic(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE).json(path)
 
 
+def read_numbered_topic(spark: SparkSession, path: str) -> DataFrame:
+    """The same with ``seq``, the place in source order of the messages of hot keys, whose partitions
+    are several; within one publication, ``orderBy("key", "seq")`` restores the order of such a key."""
+    return spark.read.schema(f"{MESSAGE}, seq BIGINT").json(path)
+
+
 def stream_file_topic(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Unbounded read of a file topic; new files are picked up as they land."""
     reader = spark.readStream.schema(MESSAGE)
