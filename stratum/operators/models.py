@@ -152,6 +152,13 @@ def dim_dates_covering(df: DataFrame, date_col: str) -> DataFrame:
     return dim_dates_from(bounds)
 
 
+def dim_dates_until(df: DataFrame, date_col: str, open_days: int) -> DataFrame:
+    """Calendar from the first day of the first month in ``df[date_col]`` to the newest day there, without
+    the newest ``open_days`` days."""
+    bounds = df.agg(F.trunc(F.min(date_col), "MM").alias("start"), F.date_sub(F.max(date_col), open_days - 1).alias("end"))
+    return dim_dates_from(bounds)
+
+
 # --------------------------------------------------------------------- fact
 def fct_trips(metrics: DataFrame, locations: DataFrame) -> DataFrame:
     """Trips with pickup and dropoff zone names (JN1): two LEFT joins to one

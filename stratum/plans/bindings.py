@@ -16,6 +16,8 @@ per-row projection or a join over the *whole* table; no rows are sampled.
 * zones lookup  ← ``customer ⋈ nation ⋈ region``: a location per customer;
   borough = region name, zone = nation name, service zone = market segment.
 * payment types ← distinct event types of ``events``.
+* calendar      ← the days of ``events``, from the first of their first month; the newest OPEN_DAYS days are
+  not in it yet, so that the daily mart meets days without a calendar row.
 * rate codes    ← ``region``.
 * vendors       ← ``supplier``.
 """
@@ -34,6 +36,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Fixed values of the bindings.
 # event type -> payment type id (5 = unknown)
 PAYMENT_CODES = {"purchase": 1, "click": 2, "view": 3, "signup": 4, "error": 5}
+# Newest days that the calendar does not have yet.
+OPEN_DAYS = 2
 # The run time stamped on Bronze rows by the registered queries, so results
 # are reproducible; a real run uses current_timestamp().
 RUN_TS = "2024-02-01 00:00:00"
@@ -45,6 +49,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return deal_single_split(df) if name == "events" else df
 
 
+def event_days(events: DataFrame) -> DataFrame:
+    return events.select(F.to_date("ts").alias("day"))
+
+
 def _payment_code(event_type):
     expr = None
     for name, code in PAYMENT_CODES.items():

@@ -51,7 +51,7 @@ for _name, _attr in [
     _plan_node(_name, _attr)
 
 
-from stratum.plans import queries  # noqa: E402,F401  (registers the operator queries)
+from stratum.plans import queries, queries_tables  # noqa: E402,F401  (register the operator queries)
 
 
 def oracle() -> dict[str, str]:

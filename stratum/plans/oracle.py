@@ -222,7 +222,7 @@ def sql() -> dict[str, str]:
   FROM fct WHERE pickup_zone IS NOT NULL
   GROUP BY pickup_location_id, pickup_borough, pickup_zone""")
     bounds = """,
-bounds AS (SELECT TIMESTAMP '2024-01-01' AS start_d, TIMESTAMP '2024-02-01' AS end_d),"""
+bounds AS (SELECT date_trunc('month', min(ts))::TIMESTAMP AS start_d, CAST(max(ts) AS DATE)::TIMESTAMP - INTERVAL 1 DAY AS end_d FROM events),"""
     q["dim_dates"] = w(METRICS + bounds + DATES_FROM_BOUNDS, "SELECT * FROM dates")
     q["mart_daily_revenue"] = w(DAILY + bounds + DATES_FROM_BOUNDS, """SELECT d.date_key, d.day_of_week_name,
          d.is_weekend, d.is_holiday, d.week_of_year,
@@ -244,6 +244,7 @@ bounds AS (SELECT TIMESTAMP '2024-01-01' AS start_d, TIMESTAMP '2024-02-01' AS e
   FROM src WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 2
 UNION ALL SELECT 'dlq', 'tpep_pickup_datetime: null is not of type ''string\'\'', count(*)
   FROM src WHERE tpep_pickup_datetime IS NULL HAVING count(*) > 0""")
+    q.update(table_sql(q))
     contracts = ("fct_trips", "dim_dates", "dim_locations", "mart_daily_revenue", "mart_hourly_demand", "mart_location_performance")
     q["contract_check"] = "\nUNION ALL\n".join(
         f"""SELECT '{name}' AS model, 'contract' AS "check", CAST(NULL AS VARCHAR) AS "column", CAST(0 AS BIGINT) AS failures,
@@ -251,6 +252,37 @@ UNION ALL SELECT 'dlq', 'tpep_pickup_datetime: null is not of type ''string\'\''
     return q
 
 
+# -------------------------------------------------------------- through tables
+def table_sql(q: dict[str, str]) -> dict[str, str]:
+    year = "CAST(extract(year FROM o_orderdate) AS INT)"
+    return {
+        "running_value": """SELECT event_id, ts, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS BIGINT) AS running_cents,
+       row_number() OVER w AS number
+FROM events WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+        "row_accounting_merged": q["row_accounting"],
+        "late_events": """WITH r AS (SELECT event_id, event_id // 500 AS batch, ts - to_hours(CAST(user_id % 7 AS INT)) AS happened FROM events),
+m AS (SELECT batch, max(epoch_us(happened) // 1000) AS ms FROM r GROUP BY batch),
+w AS (SELECT batch, greatest(0, coalesce(max(ms) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 10000, 0)) AS mark FROM m)
+SELECT event_id, batch, happened, make_timestamp(mark * 1000) AS watermark, happened <= make_timestamp(mark * 1000) AS late FROM r JOIN w USING (batch)""",
+        "compacted": "SELECT *, CAST(ts AS DATE) AS day FROM events",
+        "upsert_moved": f"""WITH t AS (SELECT *, CASE WHEN o_orderkey % 20 <> 0 THEN {year} END AS o_year FROM orders),
+b AS (SELECT * EXCLUDE (o_year) REPLACE ('M' AS o_orderstatus, o_orderdate + INTERVAL 400 DAY AS o_orderdate) FROM t WHERE o_orderkey % 3 = 0)
+SELECT * FROM t WHERE o_orderkey % 3 <> 0 UNION ALL SELECT *, CASE WHEN o_orderkey % 15 <> 0 THEN {year} END FROM b""",
+        "silver_incremental": f"SELECT * EXCLUDE (ingestion_ts) FROM ({q['silver_pipeline']})",
+        "dedup_stream": f"SELECT * EXCLUDE (ingestion_ts) FROM ({q['silver_pipeline']})",
+        "latest_wins_stream": f"SELECT * EXCLUDE (ingestion_ts) FROM ({q['silver_pipeline']})",
+        "stream_catch_up": f"SELECT * EXCLUDE (ingestion_ts) FROM ({q['silver_pipeline']})",
+        "csv_zones": q["dim_locations"],
+        "full_refresh": f"SELECT *, {year} AS o_year FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'",
+        "published_hot": """SELECT CASE WHEN event_id % 2 = 0 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END AS key, count(*) AS messages,
+       CASE WHEN key = 'hot' THEN min(event_id) END AS first_id, CASE WHEN key = 'hot' THEN max(event_id) END AS last_id FROM events GROUP BY 1""",
+        "table_counts": "\nUNION ALL\n".join(f"SELECT '{t}' AS layer, count(*) AS rows, true AS ok, CAST(NULL AS VARCHAR) AS message FROM {t}"
+                                             for t in ("customer", "orders", "lineitem", "events")),
+        "stream_run_metrics": """SELECT CAST(count(*) FILTER (WHERE event_id % 50 <> 0) AS BIGINT) AS events,
+       CAST(count(*) FILTER (WHERE event_id % 50 = 0) AS BIGINT) AS invalid, true AS trusted FROM events""",
+    }
+
+
 # ------------------------------------------------------------ operator queries
 def _res(model: str, check: str, column: str | None, failures: str, severity: str, source: str) -> str:
     col = f"'{column}'" if column else "CAST(NULL AS VARCHAR)"

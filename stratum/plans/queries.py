@@ -17,7 +17,8 @@ from stratum.plans.bindings import table
 from stratum.plans.catalog import register
 from stratum.plans.taxi import TripPlan
 from stratum.sinks.publish import dlq_path_of, publish, write_file_topic
-from stratum.sinks.tables import incremental_rows, layer_path, merge_by_key, staging_path
+from stratum.session import checkpoint_dir
+from stratum.sinks.tables import incremental_rows, layer_path, merge_by_key, remove
 from stratum.sinks.tables import upsert_by_key as upsert_by_key_sink
 from stratum.sources.events import read_file_topic
 from stratum.sources.tables import first_rows
@@ -381,11 +382,18 @@ def mart_location_ranked(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------ through the sinks
-# These write below the shared folder first, and return what a reader finds there.
+# These write below the shared folder first, and return what a reader finds there: each in a folder
+# of its own (``queries/<name>``), which stays for the reader and is emptied when the query runs again.
+def query_folder(spark: SparkSession, name: str) -> str:
+    path = f"{checkpoint_dir(spark).rstrip('/')}/queries/{name}"
+    remove(spark, path)
+    return path
+
+
 @register("topic_read")
 def topic_read(spark: SparkSession, d: str) -> DataFrame:
     """SRC3, SNK2, SNK3: the messages of a file topic, with their keys."""
-    path = staging_path(spark, "topic")
+    path = query_folder(spark, "topic_read")
     write_file_topic(TripPlan(spark, d).topic, path)
     return read_file_topic(spark, path)
 
@@ -393,7 +401,7 @@ def topic_read(spark: SparkSession, d: str) -> DataFrame:
 @register("published")
 def published(spark: SparkSession, d: str) -> DataFrame:
     """SNK3, QG2: messages per key on the topic and per error on the dead-letter topic, after publishing with the schema gate."""
-    p, path = TripPlan(spark, d), staging_path(spark, "published")
+    p, path = TripPlan(spark, d), query_folder(spark, "published")
     publish(p.source, p.manifest, path, json_schema=trip_json_schema(), at=p.run_ts)
     sent = read_file_topic(spark, path).select(F.lit("topic").alias("topic"), "key")
     dead = read_file_topic(spark, dlq_path_of(path)).select(F.lit("dlq").alias("topic"), F.get_json_object("value", "$.error").alias("key"))
@@ -405,7 +413,7 @@ def silver_table(spark: SparkSession, d: str) -> DataFrame:
     """SNK4, SNK5, SRC7: Bronze appended, Silver computed from it and written by date, and read again."""
     from stratum.plans import pipeline
 
-    p, warehouse = TripPlan(spark, d), staging_path(spark, "warehouse")
+    p, warehouse = TripPlan(spark, d), query_folder(spark, "silver_table")
     run_ts = pipeline.run_bronze(spark, p.manifest, p.topic, warehouse, ingestion_ts=p.run_ts)
     pipeline.run_silver(spark, p.manifest, warehouse, run_ts)
     return spark.read.parquet(layer_path(warehouse, p.manifest.silver_table))
@@ -414,7 +422,7 @@ def silver_table(spark: SparkSession, d: str) -> DataFrame:
 @register("upsert_table")
 def upsert_table(spark: SparkSession, d: str) -> DataFrame:
     """UP1: the same upsert of orders on a table partitioned by year."""
-    path = staging_path(spark, "orders")
+    path = query_folder(spark, "upsert_table")
     target, batch = (df.withColumn("o_year", F.year("o_orderdate")) for df in _orders_split(spark, d))
     upsert_by_key_sink(spark, path, target, "o_orderkey", "o_year")
     upsert_by_key_sink(spark, path, batch, "o_orderkey", "o_year")
@@ -426,7 +434,7 @@ def bronze_stream(spark: SparkSession, d: str) -> DataFrame:
     """ST1, SRC4: a topic drained by the streaming Bronze job, without its ingestion times."""
     from stratum.streaming.bronze import start_bronze_stream
 
-    p, path = TripPlan(spark, d), staging_path(spark, "stream")
+    p, path = TripPlan(spark, d), query_folder(spark, "bronze_stream")
     write_file_topic(p.topic, f"{path}/topic")
     for q in start_bronze_stream(spark, p.manifest, f"{path}/topic", f"{path}/bronze", f"{path}/checkpoint", available_now=True):
         q.awaitTermination()

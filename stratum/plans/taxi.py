@@ -93,8 +93,8 @@ class TripPlan:
 
     @cached_property
     def dim_dates(self) -> DataFrame:
-        """The calendar of the date range that the manifest admits, which is not derived from the fact."""
-        return models.dim_dates(self.spark)
+        """The calendar of the events' days, of which the last ones are not closed yet (see ``bindings``)."""
+        return models.dim_dates_until(b.event_days(self.table("events")), "day", b.OPEN_DAYS)
 
     @cached_property
     def mart_daily_revenue(self) -> DataFrame:

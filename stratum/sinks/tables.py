@@ -81,6 +81,9 @@ def full_refresh(df: DataFrame, path: str, partition_col: str | None = None) ->
 def _exists(spark: SparkSession, path: str) -> bool:
     """False only if there is no such path or no file in it; any other failure is raised, as a table that
     cannot be read must not be taken for a new one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return False
     try:
         spark.read.parquet(path).schema  # noqa: B018 - raises when missing
         return True
