@@ -5,122 +5,124 @@ window); a window is the set of its shingles of up to ``SHINGLE`` words. A docum
 holds a window only if it holds all its shingles, so the prefix that a join needs is the
 window's first shingle in the order of rarity over all documents.
 
-1. One pass over the documents counts the items' shingles (partial aggregates); each
-   window gets its rarest one. Windows of one item with the same prefix at the same
-   place form one row of the prefix table, with the item words that they span.
-2. Documents' shingles with their positions are joined with the prefix table. The place
-   of the shingle in the window fixes where the window would start; the length and
-   positional bounds (a start at 0 or later, an end within the document) are applied,
-   and the words of the window are compared with the document's at that place.
-3. Occurrences are intervals of words; a running maximum of their ends over each
-   document counts every word hit once.
-
-The prefix table is broadcast while it is below BROADCAST_BYTES, as measured; then the
-words of a document never leave their row. Beyond that the shingles are joined by a
-shuffle, on hashes and positions alone, and only candidates meet the words again.
+1. One pass over the documents writes where they hold shingles of items (hash and
+   position, no words). Their counts are the order of rarity.
+2. Each distinct window gets its rarest shingle; the written places are joined with these
+   prefixes. The place of the shingle in the window fixes where the window would start;
+   starts before the document are dropped.
+3. A second pass meets each document with its candidates: the end bound is applied, and
+   the words at each place are compared with the window's. The occurrences are intervals
+   of words, folded in order of their start to count every word hit once.
+4. Windows found become items by a join on the window.
+
+What is broadcast (the items' shingles and prefixes) is measured first and lies below
+BROADCAST_BYTES; beyond that the same joins are shuffles of hashes and positions. Texts are
+moved once, to their candidates. Hashes only propose; what counts is the comparison of words.
 
 Defined cases: null and empty texts have no words and are never hit; an item without
 words has no window; an item with a null id marks words but is not listed or counted;
-rows of ``docs`` repeated under one id are told apart by their text, equal rows give
-equal results, also under a null id; other columns are not read; without items every
-document is clean.
+rows repeated under one id or without one are told apart by their texts, and equal rows
+have equal results; other columns are not read, and ``keep`` may name any; without items
+every document is clean; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stratum.llm.common import Scratch, table, text_or_empty
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Letters beside A-Z that lower-casing may change, or that are too new to tell.
+OTHER_CAPITALS = r"[[\p{javaUpperCase}\p{javaTitleCase}\p{Cn}]&&[^\x00-\x7F]]"
 WINDOW, SHINGLE = 10, 3
 BROADCAST_BYTES = 16 << 20
 
 
 def words_of(text_col: str = "text") -> Column:
-    """The words of a text, lower-cased (A-Z), as an array."""
-    spaced = F.trim(F.regexp_replace(F.translate(text_or_empty(text_col), UPPER, LOWER), SEPARATORS, " "))
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+    """The words of a text, lower-cased (A-Z), as an array. ``lower`` is many times faster than ``translate``
+    and serves all texts in which it can change nothing else."""
+    text = text_or_empty(text_col)
+    plain = (F.length(text) == F.octet_length(text)) | ~text.rlike(OTHER_CAPITALS)
+    lowered = F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.array_remove(F.split(lowered, SEPARATORS), "")
 
 
-def _shingles(width: int, words: str = "words") -> str:
-    """SQL: hashes of the shingles of one width, by position; empty if there are fewer words."""
-    parts = ", ".join(f"get({words}, i + {j})" for j in range(width))
-    return (f"IF(size({words}) < {width}, CAST(array() AS ARRAY<BIGINT>), "
-            f"transform(sequence(0, size({words}) - {width}), i -> xxhash64({width}, {parts})))")
+def _bound(body: str) -> str:
+    """SQL: ``body``, in which ``w`` is the value of ``words``. As a lambda's variable it is computed once a row, while
+    the optimizer may write out a column's whole expression at each place of use, also inside lambdas."""
+    return f"element_at(transform(array(words), w -> {body}), 1)"
 
 
-def _placed(docs: DataFrame, carry: list[str], widths: list[int]) -> DataFrame:
-    """``carry`` and (hash, pos) of all shingles of the widths that items have."""
-    out = None
-    for width in widths:
-        part = docs.select(*carry, F.posexplode(F.expr(_shingles(width))).alias("pos", "hash"))
-        out = part if out is None else out.unionByName(part)
-    return out
+def _shingles(width: int) -> str:
+    """SQL: hashes of the shingles of ``words`` of one width, by position; empty if there are fewer words."""
+    parts = ", ".join(f"get(w, i + {j})" for j in range(width))
+    return _bound(f"IF(size(w) < {width}, CAST(array() AS ARRAY<BIGINT>), transform(sequence(0, size(w) - {width}), i -> xxhash64({width}, {parts})))")
 
 
 def item_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(item, words, first, m, width, shingles): the windows of each item, of ``m`` words from word ``first`` on."""
-    words = items.select(F.col(id_col).cast("string").alias("item"), words_of(text_col).alias("words")).where("size(words) > 0").distinct()
+    """(item, win, m, width, shingles): the distinct windows of each item, as text, their words and shingle hashes."""
+    words = items.select(F.col(id_col).cast("string").alias("item"), words_of(text_col).alias("words")).where("size(words) > 0")
     sized = words.withColumn("m", F.least(F.size("words"), F.lit(window))).withColumn("width", F.least(F.lit(SHINGLE), "m"))
     cases = "CASE width " + " ".join(f"WHEN {w} THEN {_shingles(w)}" for w in range(1, SHINGLE + 1)) + " END"
-    return (sized.withColumn("hashes", F.expr(cases)).withColumn("first", F.explode(F.expr("sequence(0, size(words) - m)")))
-            .select("item", "words", "first", "m", "width", F.expr("slice(hashes, first + 1, m - width + 1)").alias("shingles")))
-
-
-def prefix_table(windows: DataFrame, rarity: DataFrame) -> DataFrame:
-    """(hash, shift, item, m, span, starts): for each window its rarest shingle (ties: smallest hash). ``span`` is the
-    stretch of the item that the windows of the row cover, ``starts`` their places in it, and ``shift`` the shingle's."""
-    tokens = windows.select("item", "words", "first", "m", F.posexplode("shingles").alias("place", "hash"))
-    chosen = (tokens.join(rarity, "hash", "left").groupBy("item", "words", "first", "m")
-              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "hash", "place")).alias("r")))
-    rows = (chosen.groupBy("item", "words", "m", "r.hash", (F.col("first") + F.col("r.place")).alias("place"))
-            .agg(F.sort_array(F.collect_list("first")).alias("firsts")))
-    low, high = "firsts[0]", "array_max(firsts)"
-    return rows.select("hash", F.expr(f"place - {low}").alias("shift"), "item", "m",
-                       F.expr(f"slice(words, {low} + 1, {high} - {low} + m)").alias("span"),
-                       F.expr(f"transform(firsts, x -> x - {low})").alias("starts"))
-
-
-def occurrences(scratch: Scratch, docs: DataFrame, windows: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Distinct (key, item, a, z): words a to z (exclusive) of a document that are a window; ``docs`` is (key, words)."""
+    placed = sized.withColumn("hashes", F.expr(cases)).withColumn("first", F.explode(F.expr("sequence(0, size(words) - m)")))
+    return placed.select("item", F.expr("concat_ws(' ', slice(words, first + 1, m))").alias("win"), "m", "width",
+                         F.expr("slice(hashes, first + 1, m - width + 1)").alias("shingles")).distinct()
+
+
+def prefixes_of(windows: DataFrame, rarity: DataFrame) -> DataFrame:
+    """(hash, shift, m, win): for each distinct window its rarest shingle (ties: smallest hash, first place) and its place in it."""
+    tokens = windows.select("win", "m", F.posexplode("shingles").alias("shift", "hash"))
+    first = tokens.join(rarity, "hash", "left").groupBy("win", "m").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "hash", "shift")).alias("r"))
+    return first.select("r.hash", "r.shift", "m", "win")
+
+
+def candidates(scratch: Scratch, docs: DataFrame, windows: DataFrame, limit: int) -> DataFrame:
+    """(key, found): for each key of ``docs`` (key, words) the windows whose prefixes it holds, with their starts."""
     widths = sorted(r.width for r in windows.select("width").distinct().collect())  # SHINGLE values at most
+    near = lambda df, size: F.broadcast(df) if size <= limit else df
     wanted = scratch.write(windows.select(F.explode("shingles").alias("hash")).distinct(), "shingles")
-    near = lambda df, size: F.broadcast(df) if size <= broadcast_bytes else df
-    seen = _placed(docs, [], widths).join(near(wanted, 8 * wanted.count()), "hash", "left_semi") if widths else wanted.limit(0)
-    rarity = scratch.write(seen.groupBy("hash").agg(F.count(F.lit(1)).alias("n")), "rarity")
-    prefixes = scratch.write(prefix_table(windows, rarity), "prefixes")
-    size = prefixes.agg(F.sum(F.expr("64 + 4 * size(starts) + aggregate(span, 0L, (a, w) -> a + 16 + octet_length(w))"))).first()[0] or 0
-    if size <= broadcast_bytes:
-        met = _placed(docs, ["key", "words"], widths or [1]).join(F.broadcast(prefixes), "hash")
-    else:
-        met = _placed(docs, ["key"], widths).join(prefixes, "hash").join(docs.dropDuplicates(["key"]), "key")
-    bounds = "pos - shift + s >= 0 AND pos - shift + s + m <= size(words)"
-    same = "slice(words, pos - shift + s + 1, m) = slice(span, s + 1, m)"
-    starts = F.expr(f"filter(starts, s -> {bounds} AND {same})")
-    return (met.select("key", "item", "m", F.expr("pos - shift").alias("base"), F.explode(starts).alias("s"))
-            .select("key", "item", F.expr("base + s").alias("a"), F.expr("base + s + m").alias("z")).distinct())
+    small = near(wanted, 8 * wanted.count())
+    seen = docs.sparkSession.createDataFrame([], "key long, pos int, hash long")
+    for width in widths:
+        placed = docs.select("key", F.expr(_shingles(width)).alias("hashes")).select("key", F.posexplode("hashes").alias("pos", "hash"))
+        seen = seen.unionByName(placed.join(small, "hash", "left_semi"))
+    seen = scratch.write(seen, "seen")
+    rarity = seen.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    prefixes = scratch.write(prefixes_of(windows.select("win", "m", "shingles").distinct(), rarity), "prefixes")
+    size = prefixes.agg(F.sum(F.octet_length("win") + 32)).first()[0] or 0
+    met = seen.join(near(prefixes, size), "hash").where("pos >= shift").select("key", (F.col("pos") - F.col("shift")).alias("at"), "m", "win").distinct()
+    return scratch.write(met.groupBy("key").agg(F.collect_list(F.struct("at", "m", "win")).alias("found")), "candidates")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The ``keep`` columns of every row of ``docs``, then n_words, n_hit and items (sorted array of item ids as strings)."""
     scratch = Scratch(docs.sparkSession, "decontaminate")
-    own = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit(":"), F.md5(F.encode(text_or_empty(text_col), "UTF-8")))
-    keyed = docs.select(own.alias("key"), words_of(text_col).alias("words"))
+    own = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
+    text = text_or_empty(text_col)
+    key = F.xxhash64(F.col(id_col).cast("string"), text)
     windows = scratch.write(item_windows(items, item_id, item_text, window), "windows")
-    found = occurrences(scratch, keyed, windows, broadcast_bytes)
-    before = Window.partitionBy("key").orderBy("a", "z", "item").rowsBetween(Window.unboundedPreceding, -1)
-    covered = F.greatest(F.lit(0), F.col("z") - F.greatest("a", F.coalesce(F.max("z").over(before), F.lit(0))))
-    hits = scratch.write(found.select("key", "item", covered.alias("covered")).groupBy("key").agg(
-        F.sum("covered").alias("_hit"), F.sort_array(F.collect_set("item")).alias("_items")), "hits")
-    rows = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], own.alias("key"), F.size(words_of(text_col)).alias("_words"))
-    return rows.join(hits, "key", "left").select(
-        *[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], F.col("_words").cast("long").alias("n_words"),
-        F.coalesce("_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("_items", F.array().cast("array<string>")).alias("items"))
+    proposed = candidates(scratch, docs.select(key.alias("key"), words_of(text_col).alias("words")), windows, broadcast_bytes)
+    rows = docs.select(*own, F.col(id_col).cast("string").alias("id"), key.alias("key"), text.alias("text"))
+    met = rows.join(proposed, "key", "left")  # grows with the documents: Spark alone decides, by its size, how to join it
+    read = met.select(*[f"k{i}" for i in range(len(keep))], "id", "text", "found", words_of("text").alias("words"))
+    held = _bound("named_struct('n', size(w), 'hits', filter(found, f -> f.at + f.m <= size(w) AND concat_ws(' ', slice(w, f.at + 1, f.m)) = f.win))")
+    covered = ("aggregate(array_sort(coalesce(h.hits, array())), named_struct('n', 0L, 'reach', 0), (a, x) -> named_struct("
+               "'n', a.n + greatest(0, x.at + x.m - greatest(x.at, a.reach)), 'reach', greatest(a.reach, x.at + x.m)), a -> a.n)")
+    judge = (f"element_at(transform(array({held}), h -> named_struct('n_words', CAST(h.n AS BIGINT), 'n_hit', {covered}, "
+             "'wins', array_distinct(transform(coalesce(h.hits, array()), x -> x.win)))), 1)")
+    hit_key = F.concat(F.coalesce("id", F.lit("-")), F.lit(":"), F.md5(F.encode("text", "UTF-8"))).alias("hit_key")
+    judged = scratch.write(read.select(*[f"k{i}" for i in range(len(keep))], hit_key, F.expr(judge).alias("r")), "judged")
+    judged = judged.select(*[f"k{i}" for i in range(len(keep))], F.expr("IF(r.n_hit > 0, hit_key, NULL)").alias("hit_key"), "r.*")
+    named = (judged.where("hit_key IS NOT NULL").select("hit_key", F.explode("wins").alias("win")).distinct()
+             .join(windows.select("win", "item").distinct(), "win").groupBy("hit_key").agg(F.sort_array(F.collect_set("item")).alias("items")))
+    named = scratch.write(named, "items")
+    return judged.join(named, "hit_key", "left").select(
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_words", "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
