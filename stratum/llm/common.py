@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: Text bytes handled at once inside a Python task.
 SLICE_BYTES = 8 << 20
 #: Bytes of one Arrow batch between Spark and a Python worker, unless the session sets its own.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -38,9 +38,10 @@ class PieceEncoder:
                  stops_alone: dict[str, int] | None = None, remembered: int = REMEMBERED):
         self.whole, self.opens, self.first_alike, self.also_uneven = whole, opens, first_alike, also_uneven
         self.stops_alone, self.remembered = stops_alone, remembered
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Start the memory of pieces anew."""
         self.rows: dict[str, int] = {}
         self.start, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
@@ -122,7 +123,7 @@ class PieceEncoder:
         codes = codes[bounds[0]:bounds[-1]]
         bounds = bounds - bounds[0]
         if len(self.rows) + len(pieces) > self.remembered and self.rows:
-            self._forget()
+            self.forget()
         known = self.rows
         self._learn([p for p in pieces if p not in known])
         rows = np.array([known[p] for p in pieces], np.int64)[codes]

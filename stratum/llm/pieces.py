@@ -214,6 +214,7 @@ def digest_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
                  pa.array([sha(",".join([p.names[i] for i in x]).encode()) for x in lists]), pa.array([sha(t.encode()) for t in decoded]),
                  pa.array([sha(s.astype("<i8").tobytes() + e.astype("<i8").tobytes()) for s, e in spans])],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
+        p.encoder.forget()  # a worker that waits, or serves another stage, holds the model alone
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     return src.mapInArrow(released(run), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string").withColumnRenamed("id", id_col)
