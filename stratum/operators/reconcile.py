@@ -63,7 +63,8 @@ def layer_counts(spark: SparkSession, layers: Mapping[str, DataFrame | str]) ->
                 parts.append(spark.createDataFrame([(name, -1, False, str(exc))], COUNT_SCHEMA))
                 continue
         parts.append(src.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("layer"), F.col("rows").cast("bigint"), F.lit(True).alias("ok"),
+            # files without a row group have no footer count to add up: then the sum is NULL
+            F.lit(name).alias("layer"), F.greatest("rows", F.lit(0)).cast("bigint").alias("rows"), F.lit(True).alias("ok"),
             F.lit(None).cast("string").alias("message")))
     out = parts[0]
     for p in parts[1:]:

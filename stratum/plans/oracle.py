@@ -273,6 +273,14 @@ SELECT * FROM t WHERE o_orderkey % 3 <> 0 UNION ALL SELECT *, CASE WHEN o_orderk
         "latest_wins_stream": f"SELECT * EXCLUDE (ingestion_ts) FROM ({q['silver_pipeline']})",
         "stream_catch_up": f"SELECT * EXCLUDE (ingestion_ts) FROM ({q['silver_pipeline']})",
         "csv_zones": q["dim_locations"],
+        "latest_state_stream": f"SELECT * EXCLUDE (ingestion_ts) FROM ({q['silver_pipeline']})",
+        "staging_tests": w(SILVER + """,
+stg0 AS (SELECT * FROM silver WHERE pickup_datetime IS NOT NULL)""", "\nUNION ALL\n".join(
+            [_res("stg_taxi", "not_null", c, f"count(*) FILTER (WHERE {c} IS NULL)", "error", "stg0") for c in ("trip_id", "pickup_datetime", "pickup_date")]
+            + [_res("stg_taxi", "unique", "trip_id", "count(*)", "error", "(SELECT trip_id FROM stg0 WHERE trip_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")]
+            + [_res("stg_taxi", "accepted_range", c, f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({c} {op} 0))", "warn", "stg0")
+               for c, op in (("passenger_count", ">="), ("total_amount", ">"), ("trip_distance_miles", ">="))])),
+        "dataset_run": w(_layers_cte(), "SELECT layer, CAST(n AS BIGINT) AS rows, true AS ok, CAST(NULL AS VARCHAR) AS message FROM layers WHERE layer <> 'events'"),
         "full_refresh": f"SELECT *, {year} AS o_year FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'",
         "published_hot": """SELECT CASE WHEN event_id % 2 = 0 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END AS key, count(*) AS messages,
        CASE WHEN key = 'hot' THEN min(event_id) END AS first_id, CASE WHEN key = 'hot' THEN max(event_id) END AS last_id FROM events GROUP BY 1""",

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.operators import checks as ck
 from stratum.operators import key_state, models, prefix, reconcile
 from stratum.plans import bindings as b
 from stratum.plans.bindings import table
@@ -183,3 +184,29 @@ def full_refresh(spark: SparkSession, d: str) -> DataFrame:
     tables.full_refresh(orders, path, "o_year")
     tables.full_refresh(orders.filter(F.col("o_orderdate") >= F.lit(ORDERS_SPLIT[1]).cast("timestamp_ntz")), path, "o_year")
     return spark.read.parquet(path)
+
+
+@register("latest_state_stream")
+def latest_state_stream(spark: SparkSession, d: str) -> DataFrame:
+    """ST5, latest wins by keyed state: what is not newer than the state of its key never reaches Silver."""
+    from stratum.streaming.latest import start_latest_state_stream
+
+    p, path = _topic(spark, d, "latest_state_stream")
+    start_latest_state_stream(spark, p.manifest, f"{path}/topic", f"{path}/silver", f"{path}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{path}/silver").drop("ingestion_ts")
+
+
+@register("staging_tests")
+def staging_tests(spark: SparkSession, d: str) -> DataFrame:
+    """DT11: the generic test set of the staging model."""
+    p = TripPlan(spark, d)
+    return ck.run_checks(models.stg_generic(p.silver, p.manifest), ck.staging_checks(p.manifest), "stg_taxi")
+
+
+@register("dataset_run")
+def dataset_run(spark: SparkSession, d: str) -> DataFrame:
+    """PL1: the generic run of a dataset, and the rows of its tables, read from their footers."""
+    from stratum.plans import pipeline
+
+    p, warehouse = TripPlan(spark, d), query_folder(spark, "dataset_run")
+    return pipeline.run_dataset(spark, p.manifest, p.topic, warehouse, ingestion_ts=p.run_ts, dlq_max=1 << 60).counts

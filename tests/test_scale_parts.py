@@ -159,8 +159,9 @@ def test_hot_key_is_spread_and_its_order_restored(spark, tmp):
 # ----------------------------------------------------- counts from footers
 def test_layer_counts_read_footers_only(spark, tmp):
     spark.range(1000).withColumn("d", F.col("id") % 3).write.partitionBy("d").parquet(f"{tmp}/t")
-    counts = reconcile.layer_counts(spark, {"t": f"{tmp}/t", "none": f"{tmp}/none", "frame": spark.range(5)})
+    spark.range(0).write.parquet(f"{tmp}/empty")
+    counts = reconcile.layer_counts(spark, {"t": f"{tmp}/t", "none": f"{tmp}/none", "frame": spark.range(5), "empty": f"{tmp}/empty"})
     got = {r.layer: (r.rows, r.ok) for r in counts.collect()}
-    assert got == {"t": (1000, True), "none": (-1, False), "frame": (5, True)}
+    assert got == {"t": (1000, True), "none": (-1, False), "frame": (5, True), "empty": (0, True)}
     plan = reconcile.layer_counts(spark, {"t": f"{tmp}/t"})._jdf.queryExecution().executedPlan().toString()
     assert "PushedAggregation: [COUNT(*)]" in plan
