@@ -133,24 +133,25 @@ def components(scratch: Scratch, links: DataFrame, a: str = "a", b: str = "b") -
     """Connected components of an undirected link table: (id, component), component = smallest id.
 
     Large-star / small-star contraction; every round is two aggregations and two
-    equi-joins, written to the shared folder. Minima are taken by partial
-    aggregates, and the joins back are plain shuffle joins whose hot partitions
-    adaptive execution splits, so a vertex with very many links is no single task.
+    equi-joins, written to the shared folder. Minima are taken by partial aggregates and
+    written first, so that both sides of the joins back are plain sorted shuffles, whose
+    hot partitions adaptive execution splits: the links of one vertex are no single task.
     Self links and repeated links do no harm; no links give an empty table.
     """
     edges = scratch.write(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct(), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = scratch.write(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
         large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u > v").distinct())
         large = scratch.write(large, "large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        scratch.drop(low)
+        low = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).where("u > v").distinct())
         small = scratch.write(small, "small")
-        scratch.drop(edges, large)
+        scratch.drop(edges, large, low)
         edges = small
         # a forest of stars: no root hangs below another vertex
         hanging = edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi")

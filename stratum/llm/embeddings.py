@@ -24,7 +24,8 @@ hubs over the limit are compared in pairs of blocks.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components have no links; vectors of different lengths are never linked; a null id is
-left out; of rows repeated under one id the one with the smallest digest counts.
+left out; of rows repeated under one id the one with the smallest digest counts; an empty
+table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

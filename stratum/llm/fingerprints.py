@@ -9,7 +9,8 @@ bytes whose chunks B has too (weighted containment).
 
 Defined cases: a null text is an empty one, with an empty fingerprint; an empty
 fingerprint is fully contained in an empty one and not in any other. Texts are
-processed whole whatever their length.
+processed whole whatever their length. Rows repeated under one id have a result each; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

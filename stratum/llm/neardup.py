@@ -45,6 +45,7 @@ HALF_ROWS = 2  # minhashes of a half band
 HALF_BANDS = 8  # half bands of each collection
 MINHASHES = 2 * HALF_BANDS * HALF_ROWS
 BLOCK = 1024  # members of a bucket that are compared at once
+BLOCK_SHINGLES = 1 << 21  # and the shingles of their sets, about: 16 MB
 SIEVE = 14  # of 32 packed 4-bit minhashes; 24.5 are expected to agree at similarity 0.75
 
 _rng = np.random.default_rng(20240917)
@@ -189,7 +190,7 @@ def _across(scratch: Scratch, open_rows: DataFrame, reps: DataFrame, found: Data
     rows = (open_rows.join(reps.select("id", "n", "bands"), "id").join(found, "id", "left")
             .withColumn("component", F.coalesce("component", "id")).withColumn("band", F.expr("get(bands, i)")))
     rows = scratch.write(rows, "open")
-    blocks = rows.groupBy("i", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    blocks = rows.groupBy("i", "band").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
     placed = (rows.join(blocks, ["i", "band"]).join(sets, "id").withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")))
               .withColumn("other", F.explode(F.expr("sequence(CAST(0 AS BIGINT), blocks - 1)")))
               .withColumn("lo", F.least("side", "other")).withColumn("hi", F.greatest("side", "other"))

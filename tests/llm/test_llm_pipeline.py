@@ -124,3 +124,98 @@ def test_pipeline_against_brute_force(spark):
         expect[(i, len(tokens), sha(",".join(map(str, tokens))), sha(library.decode(tokens)))] += copies[i]
     got = Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF).collect())
     assert got == +expect
+
+
+# -------------------------------------------------------- names and long texts
+def test_stages_keep_columns_whatever_their_names(spark):
+    """Extra columns named like a stage's own ones pass through unchanged, and repeated and NULL ids do no harm."""
+    from pyspark.sql import functions as F
+
+    from stratum.llm import language, mixing, neardup, pii
+    from stratum.llm.common import importable
+
+    importable(spark)
+    names = ["_kept", "_lang", "_confidence", "_text_lang", "_row", "id", "tid", "row", "n", "component_id", "copies", "taken", "size", "k0", "shard", "_n", "hit_key", "kept"]
+    docs = table(spark, SF, "documents").limit(120)
+    again = docs.limit(5).withColumn("text", F.concat("text", F.lit(" more")))
+    docs = docs.unionByName(again).unionByName(docs.limit(2).withColumn("doc_id", F.lit(None).cast("long")))
+    docs = docs.select("*", *[F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("x"))).alias(c) for c in names])
+    unchanged = lambda df: all(r[c] == f"{c}-{'x' if r.doc_id is None else r.doc_id}" for r in df.collect() for c in names)
+    for stage in (language.keep_identified, neardup.deduplicate, lambda d: pii.redact(d, pii.fit(d), length_col="n_chars"), mixing.mix):
+        out = stage(docs)
+        assert out.columns == docs.columns and out.count() > 20 and unchanged(out)
+    kept = [r.doc_id for r in neardup.deduplicate(docs).where("doc_id IS NOT NULL").collect()]
+    assert len(kept) == len(set(kept))
+    assert sorted(map(str, neardup.deduplicate(docs.repartition(7)).collect())) == sorted(map(str, neardup.deduplicate(docs).collect()))
+
+
+def test_long_pages_take_time_in_proportion():
+    import time
+
+    from stratum.llm.language import html_text
+
+    assert html_text("a<script>x<b></script >b<!-- c -->d<style>e") == "a b d e"
+    assert html_text("<noscript>q</noscript>A &amp; B <i") == " A & B <i"
+    assert html_text("1<!-- 2 <script> 3 --> 4 </script> 5 <STYLE a=b>6</style> <scripty>7") == "1  4   5    7"
+    for unit in ("<!-- x ", "<script> y ", "< z ", "<style><!--"):
+        began = time.process_time()
+        html_text(unit * 200_000)
+        assert time.process_time() - began < 5
+
+
+def test_fused_posterior_against_plain(spark):
+    """The whole fusion of operator 7 recomputed in plain Python from the same trigram model."""
+    import math
+    import random
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from stratum.llm import language as L
+    from stratum.llm.common import importable
+
+    importable(spark)
+    labelled = table(spark, SF, "documents")
+    model = L.fit(labelled, "doc_id", "text", "lang")
+    rng = random.Random(9)
+    rows = []
+    for r in labelled.select("doc_id", "text", "lang").limit(80).collect():
+        text = " ".join((r.text or "").split()[:rng.choice((2, 5, 60))])
+        rows.append((r.doc_id, rng.choice([text, text, text, "", None, "1234"]), rng.choice([r.lang, "xx", None, "de"]), rng.choice([None, "fr"]),
+                     rng.choice([None, "a.one.com", "b.one.com", "c.two.org", "x"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, sfx string, host string").repartition(3)
+    got = {r._row.doc_id: r for r in L.identify(df, model, "text", F.col("lang"), F.col("sfx"), F.col("host")).collect()}
+    n, soft = len(L.LANGUAGES), lambda v: np.exp(v - v.max()) / np.exp(v - v.max()).sum()
+    known = lambda x: None if not x else x if x in L.LANGUAGES else "other"
+    ll, spoken = {}, {}
+    for i, text, *_ in rows:
+        b = L.trigrams(text or "")
+        mean = model[b].mean(axis=0) if len(b) else np.zeros(n + 1)
+        ll[i], spoken[i] = mean[:-1] * min(len(b), L.EFFECTIVE), bool(len(b)) and mean[-1] >= L.KNOWN_SHARE
+    post = {i: soft(v) for i, v in ll.items()}
+    voters = [r for r in rows if spoken[r[0]]]
+
+    def logs(column):
+        values = {}
+        for r in voters:
+            if known(r[column]):
+                values[known(r[column])] = values.get(known(r[column]), 0) + post[r[0]]
+        total = sum(values.values()) if values else np.zeros(n)
+        return {v: np.log((s + 1) / (total + n + 1)) for v, s in values.items()}
+
+    declared, suffix = logs(2), logs(3)
+    corpus = (sum(post[r[0]] for r in voters) + 1) / (len(voters) + n)
+    of = lambda rows_: (len(rows_), sum((post[r[0]] for r in rows_), np.zeros(n)))
+    domain = lambda h: ".".join(h.split(".")[-2:])
+    for i, _, lang, sfx, host in rows:
+        prior = np.log(corpus)
+        if host and any(r[4] == host for r in voters):
+            (hn, hs), (dn, ds) = of([r for r in voters if r[4] == host]), of([r for r in voters if r[4] and domain(r[4]) == domain(host)])
+            d = (ds + L.DOMAIN_STRENGTH * corpus) / (dn + L.DOMAIN_STRENGTH)
+            own = post[i] if spoken[i] else 0
+            prior = np.log((np.maximum(hs - own, 0) + L.HOST_STRENGTH * d) / (hn - spoken[i] + L.HOST_STRENGTH))
+        p = soft(ll[i] + declared.get(known(lang), np.zeros(n)) + suffix.get(known(sfx), np.zeros(n)) + prior)
+        assert got[i].confidence == (0 if not spoken[i] else pytest.approx(p.max(), rel=1e-6))
+        assert got[i].lang == (L.LANGUAGES[int(p.argmax())] if spoken[i] else None)
+        assert got[i].kept == (got[i].confidence >= L.CONFIDENT)
+    assert sum(spoken.values()) > 20 and not math.isnan(sum(r.confidence for r in got.values()))

@@ -312,3 +312,57 @@ def test_license_contexts_hold_every_rule_at_its_longest(spark):
                "in accordance with the terms of the creative commons attribution non commercial 4 0 international license"]
     scores = [r.score for r in licenses.scan(spark.createDataFrame(list(enumerate(sayings)), "doc_id long, text string"), ["doc_id"]).orderBy("doc_id").collect()]
     assert scores == [0.9, 0.85]
+
+
+def test_planted_personal_data_is_found_and_clean_texts_are_left_alone(spark):
+    """Recall of the method's spans over planted data, in the base forms and repeated far away in other forms."""
+    rng = random.Random(12)
+    word = lambda: rng.choice(WORDS)
+    prose = lambda n: " ".join(word() for _ in range(n))
+
+    def card():
+        digits = [4] + [rng.randint(0, 9) for _ in range(14)]
+        total = sum(d if i % 2 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits))
+        return "".join(map(str, [*digits, -total % 10]))
+
+    rows, planted = [], {}
+    for i in range(240):
+        number, text, spans = card(), prose(30), []
+
+        def put(value):
+            nonlocal text
+            spans.append((len(text) + 1, len(text) + 1 + len(value)))
+            text += " " + value + " " + prose(rng.randint(20, 60))
+
+        kind = i % 5
+        if kind == 0:
+            user = f"{word()}.{word()}{rng.randint(1, 99)}"
+            put(f"{user}@example.org"), put(f"{user}@mail.example.com")
+        elif kind == 1:
+            put(number), put(" ".join(number[j:j + 4] for j in range(0, 16, 4)))
+        elif kind == 2:
+            put(f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}")
+        elif kind == 3:
+            put(".".join(str(rng.randint(1, 254)) for _ in range(4)))
+        else:
+            secret = "".join(rng.choice("0123456789abcdef") for _ in range(24))
+            text += f" password={secret} {prose(50)}"
+            spans.append((text.index(secret), text.index(secret) + 24))
+        rows.append((i, text))
+        planted[i] = spans
+    clean = [(1000 + i, prose(120)) for i in range(100)]
+    df = spark.createDataFrame(rows + clean + [(2000, None), (2001, "")], "doc_id long, text string")
+    found = {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x] for r in pii.find_spans(df, pii.fit(df)).collect()}
+    hit = [any(a < end and b > start for a, b in found[i]) for i, spans in planted.items() for start, end in spans]
+    assert sum(hit) >= 0.98 * len(hit), sum(hit) / len(hit)
+    assert not any(found[i] for i, _ in clean) and not found[2000] and not found[2001]
+
+
+def test_number_dense_texts_stay_small(spark):
+    import resource
+
+    model = pii.fit(spark.createDataFrame([(i, f"mail a{i}@b.org call +1 (202) 555-{1000 + i} or 4111 1111 1111 1111") for i in range(40)], "doc_id long, text string"))
+    text = " ".join(str(10_000 + i * 7919 % 900_000) for i in range(60_000))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    pii.detect_texts([text], model)
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 700
