@@ -108,7 +108,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, keep: list[str], id_col: st
     windows = scratch.write(item_windows(items, item_id, item_text, window), "windows")
     proposed = candidates(scratch, docs.select(key.alias("key"), words_of(text_col).alias("words")), windows, broadcast_bytes)
     rows = docs.select(*own, F.col(id_col).cast("string").alias("id"), key.alias("key"), text.alias("text"))
-    met = rows.join(proposed, "key", "left")  # grows with the documents: Spark alone decides, by its size, how to join it
+    met = rows.join(proposed.hint("merge"), "key", "left")  # grows with the documents, so it is never broadcast
     read = met.select(*[f"k{i}" for i in range(len(keep))], "id", "text", "found", words_of("text").alias("words"))
     held = _bound("named_struct('n', size(w), 'hits', filter(found, f -> f.at + f.m <= size(w) AND concat_ws(' ', slice(w, f.at + 1, f.m)) = f.win))")
     covered = ("aggregate(array_sort(coalesce(h.hits, array())), named_struct('n', 0L, 'reach', 0), (a, x) -> named_struct("
