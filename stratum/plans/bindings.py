@@ -16,8 +16,8 @@ per-row projection or a join over the *whole* table; no rows are sampled.
 * zones lookup  ← ``customer ⋈ nation ⋈ region``: a location per customer;
   borough = region name, zone = nation name, service zone = market segment.
 * payment types ← distinct event types of ``events``.
-* calendar      ← the days of ``events``, from the first of their first month; the newest OPEN_DAYS days are
-  not in it yet, so that the daily mart meets days without a calendar row.
+* calendar      ← the whole months of the days of ``events``; ``dim_dates`` shows it from the first of their first
+  month, without the newest OPEN_DAYS days.
 * rate codes    ← ``region``.
 * vendors       ← ``supplier``.
 """
@@ -36,7 +36,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Fixed values of the bindings.
 # event type -> payment type id (5 = unknown)
 PAYMENT_CODES = {"purchase": 1, "click": 2, "view": 3, "signup": 4, "error": 5}
-# Newest days that the calendar does not have yet.
+# Newest days that the query dim_dates does not show yet.
 OPEN_DAYS = 2
 # The run time stamped on Bronze rows by the registered queries, so results
 # are reproducible; a real run uses current_timestamp().
@@ -44,7 +44,7 @@ RUN_TS = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; ``events``, whose rows are encoded and parsed as JSON, never as a single split."""
+    """A driver table; ``events``, whose rows are encoded and parsed as JSON, never by a few tasks only."""
     df = scan(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     return deal_single_split(df) if name == "events" else df
 

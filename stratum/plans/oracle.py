@@ -224,7 +224,9 @@ def sql() -> dict[str, str]:
     bounds = """,
 bounds AS (SELECT date_trunc('month', min(ts))::TIMESTAMP AS start_d, CAST(max(ts) AS DATE)::TIMESTAMP - INTERVAL 1 DAY AS end_d FROM events),"""
     q["dim_dates"] = w(METRICS + bounds + DATES_FROM_BOUNDS, "SELECT * FROM dates")
-    q["mart_daily_revenue"] = w(DAILY + bounds + DATES_FROM_BOUNDS, """SELECT d.date_key, d.day_of_week_name,
+    months = """,
+bounds AS (SELECT date_trunc('month', min(ts))::TIMESTAMP AS start_d, date_trunc('month', max(ts))::TIMESTAMP + INTERVAL 1 MONTH AS end_d FROM events),"""
+    q["mart_daily_revenue"] = w(DAILY + months + DATES_FROM_BOUNDS, """SELECT d.date_key, d.day_of_week_name,
          d.is_weekend, d.is_holiday, d.week_of_year,
          daily.total_trips, daily.total_passengers, daily.total_fare_revenue, daily.total_tip_revenue,
          daily.total_revenue, daily.avg_trip_revenue, daily.avg_tip_percentage,

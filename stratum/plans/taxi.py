@@ -96,9 +96,14 @@ class TripPlan:
         """The calendar of the events' days, of which the last ones are not closed yet (see ``bindings``)."""
         return models.dim_dates_until(b.event_days(self.table("events")), "day", b.OPEN_DAYS)
 
+    @cached_property
+    def calendar(self) -> DataFrame:
+        """The calendar of the whole months of the events, so that no day of the fact is without a row."""
+        return models.dim_dates_covering(b.event_days(self.table("events")), "day")
+
     @cached_property
     def mart_daily_revenue(self) -> DataFrame:
-        return models.mart_daily_revenue(self.daily_summary, self.dim_dates)
+        return models.mart_daily_revenue(self.daily_summary, self.calendar)
 
     @cached_property
     def mart_hourly_demand(self) -> DataFrame:

@@ -45,3 +45,12 @@ def test_query_equals_its_sql(spark, duck, name):
     assert sorted(result.columns) == sorted(df.columns)
     expect = [dict(zip(result.columns, r, strict=True)) for r in result.fetchall()]
     assert rows_of([r.asDict() for r in rows], df.columns, 9) == rows_of(expect, df.columns, 9)
+
+
+def test_daily_revenue_has_every_day_of_the_trips(spark):
+    from stratum.plans.taxi import TripPlan
+
+    plan = TripPlan(spark, SF)
+    days = {r.pickup_date for r in plan.daily_summary.select("pickup_date").collect()}
+    rows = plan.mart_daily_revenue.select("date_key", "total_trips").collect()
+    assert {r.date_key for r in rows} == days and sum(r.total_trips for r in rows) == plan.trip_metrics.count()
