@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -19,15 +20,19 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
 
 
 def deal_single_split(df: DataFrame) -> DataFrame:
-    """Deal an input that comes as one split over the session's cores, before per-row work such as JSON.
+    """Deal an input that few of its splits hold over the session's cores, before per-row work such as JSON.
 
-    A file with a single row group cannot be split and would be parsed by one task. One split is
-    at most ``spark.sql.files.maxPartitionBytes``, so this never shuffles more than that;
-    an input of two splits or more is returned as it is.
+    A row group cannot be split: its rows are all read by one task, and the other splits of its bytes
+    are empty. So what counts is not the number of splits but the rows that each has, which the
+    footers tell without reading a column. An input is dealt when its largest split has over twice an
+    even share of a core; one that is spread over the cores is returned as it is, and never shuffled.
     """
-    if df.rdd.getNumPartitions() > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    if splits > 1:
+        rows = df.groupBy(F.spark_partition_id()).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
+        if not rows["all"] or rows["most"] * cores <= 2 * rows["all"]:
+            return df
+    return df.repartition(max(splits, cores))
 
 
 def first_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:

@@ -31,3 +31,23 @@ def test_only_a_single_split_is_dealt(spark):
     assert tables.deal_single_split(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     two = spark.range(0, 100, numPartitions=2)
     assert tables.deal_single_split(two) is two
+
+
+def test_an_input_of_one_row_group_in_many_splits_is_dealt(spark, tmp):
+    """The rows of a row group are read by one task, however many splits its bytes give."""
+    from pyspark.sql import functions as F
+
+    name, cores = "spark.sql.files.maxPartitionBytes", spark.sparkContext.defaultParallelism
+    before = spark.conf.get(name)
+    spark.range(0, 50_000, numPartitions=1).selectExpr("id", "md5(CAST(id AS STRING)) AS v").write.parquet(f"{tmp}/one")
+    spark.range(0, 50_000, numPartitions=2 * cores).selectExpr("id", "md5(CAST(id AS STRING)) AS v").write.parquet(f"{tmp}/many")
+    spark.conf.set(name, "100k")
+    try:
+        one, many = spark.read.parquet(f"{tmp}/one"), spark.read.parquet(f"{tmp}/many")
+        assert one.rdd.getNumPartitions() > cores
+        dealt = tables.deal_single_split(one)
+        most = max(r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect())
+        assert most * cores <= 2 * 50_000 and dealt.exceptAll(one).isEmpty() and dealt.count() == 50_000
+        assert tables.deal_single_split(many) is many
+    finally:
+        spark.conf.set(name, before)
