@@ -169,7 +169,8 @@ def json_type_of(schema_text: Column) -> Column:
     """JSON-Schema type name from a variant schema string
     (``schema_of_variant``): ``null``, ``boolean``, ``string``, ``object``,
     ``array``, ``integer`` (whole numbers) or ``number``."""
-    base = F.regexp_extract(schema_text, r"^([A-Z]+)", 1)
+    # cuts at the first bracket, not a regex: every branch below evaluates it again
+    base = F.substring_index(F.substring_index(schema_text, "(", 1), "<", 1)
     return (F.when(schema_text.isNull(), F.lit(None))
             .when(base == "VOID", F.lit("null"))
             .when(base == "BOOLEAN", F.lit("boolean"))
