@@ -147,3 +147,60 @@ def test_latest_state_keeps_the_newest_over_batches_and_restarts(spark, tmp):
     assert all(got[k] == want[k] for k in set(want) - ties)
     times = {(k, v): at for k, _, at, v in rows}
     assert all(r.at == times[r.k, r.v] for r in spark.read.parquet(f"{tmp}/out").collect())
+
+
+def test_latest_state_needs_a_few_calls_for_many_keys(spark):
+    """A bucket of keys: newest rows, ties, forgotten keys, and as many calls of the state for a thousand keys as for one."""
+    from types import SimpleNamespace as Of
+
+    from stratum.streaming.latest import _Latest
+
+    class Handle:
+        def __init__(self):
+            self.calls, self.entries, self.timers = 0, [], set()
+
+        def getListState(self, name, schema):
+            def put(entries):
+                self.calls, self.entries = self.calls + 1, list(entries)
+
+            def get():
+                self.calls += 1
+                return iter(self.entries)
+
+            def exists():
+                self.calls += 1
+                return bool(self.entries)
+            return Of(put=put, get=get, exists=exists, clear=lambda: put([]))
+
+        def listTimers(self):
+            self.calls += 1
+            return iter(self.timers)
+
+        def registerTimer(self, at):
+            self.calls += 1
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            self.calls += 1
+            self.timers.discard(at)
+
+    handle, latest = Handle(), _Latest(keep_ms=800)
+    latest.init(handle)
+
+    def feed(now, *rows):
+        rows = [Of(key=k, version=v, row=r, event_ms=at) for k, v, r, at in rows]
+        return sorted(tuple(r) for r in latest.handleInputRows((0,), iter(rows), Of(getCurrentWatermarkInMs=lambda: now)))
+
+    assert feed(0, *[(f"k{i}", 1, "a", i) for i in range(1000)], ("k0", 3, "a", 5), ("k0", 2, "z", 7)) == sorted(
+        [("k0", 3, 5, "a"), *[(f"k{i}", 1, i, "a") for i in range(1, 1000)]])
+    assert handle.calls < 10 and handle.timers == {900}
+    handle.calls = 0
+    assert feed(0, ("k0", 3, "a", 5), ("k1", 0, "x", 5), ("k2", 1, "b", 5)) == [("k2", 1, 5, "b")]  # a replay, an older one, a tie
+    assert handle.calls < 10
+    assert feed(0, ("null", 1, "n", None), ("null", 1, "m", None)) == [("null", 1, None, "n")]
+    # forgotten after 800 ms: k1 (of 1 + 800) counts as new again, k200 (of 200 + 800) does not
+    assert feed(850, ("k1", 0, "old", 900), ("k200", 0, "old", 900)) == [("k1", 0, 900, "old")]
+    assert len(handle.entries) == 1001 - 51 + 1 and handle.timers == {900}  # k0 of 5 and k2 of 5 are forgotten too
+    list(latest.handleExpiredTimer((0,), Of(getCurrentWatermarkInMs=lambda: 1_799), Of(getExpiryTimeInMs=lambda: 900)))
+    assert [e[0] for e in handle.entries] == ["null"] and handle.timers == {900}  # which Spark deletes
+    assert feed(5_000, ("null", 0, "x", None)) == []
