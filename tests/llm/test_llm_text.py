@@ -240,3 +240,31 @@ def test_token_files_equal_the_unmodified_library(spark, tmp):
     rows = tokenfile.read_tokens(spark, f"{tmp}/t").orderBy("start").collect()
     assert [r.token_ids for r in rows] == [[*library.encode(t, add_special_tokens=False).ids, tokenfile.END_ID] for t in texts]
     assert rows[0].token_ids[:-1] == [64, 50256, 65]
+
+
+def test_a_word_with_several_marks_is_asked_once():
+    """Pieces are divided where a run of letters ends; the ids are the library's all the same."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from stratum.llm.encoding import byte_bpe
+
+    encoder, asked = byte_bpe(public_tokenizers.path("byte_bpe_50k.json"), specials=True), []
+    encoder.forget()
+    whole = encoder.whole
+    texts = ["x " + " ".join(f"unquestionably{m}" for m in ("", ".", ",", "$$$", "!!", "7", "\nAnd", "'s", "'tis", ".,", "...\n\nÜber")),
+             "a don't we'll it'S x1y2 é́b. naïve; Straße- ñandú́! łódź. wordя. я.b ×. a×b _a a_b {a}b <a|b> a b. ́a. á. ½a a½ a²b. 東京. a東京! x\t.y e‍.",
+             "a .b a. .a 'a a' \n.a a.\n a", "", "a", "a.", "$a b$"]
+    want = whole(texts)
+    encoder.whole = lambda t: asked.extend(t) or whole(t)
+    try:
+        for _ in range(2):
+            got = [x.tolist() for x in encoder.encode(pa.array(texts))]
+            assert got == [list(x) for x in want]
+        encoder.forget()
+        asked.clear()
+        encoder.encode(pa.array(texts[:1]))
+        assert sum(t.count("unquestionably") for t in asked) == 1
+    finally:
+        encoder.whole = whole
+        encoder.forget()
